@@ -21,7 +21,6 @@ from quarterstone.streaming.quotes import append_stream, read_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-AS_OF = dt.date(2024, 6, 30)  # date of the consensus look-up
 LOAD_CHECK = dt.date(2001, 8, 1)  # date of the staleness check
 CHECKED_PERIOD = "2000-12-31"
 
@@ -67,17 +66,9 @@ def comparable(rows: DataFrame) -> DataFrame:
     return rows.select(*columns)
 
 
-def warehouse(t: TestTables) -> catalog.Warehouse:
-    return catalog.Warehouse(
-        statements=t, company=t.company(), quotes=t.quotes(),
-        board_members=board.board_all(t.members()), consensus=t.consensus(AS_OF),
-        surveys=t.surveys(), latest_periods=t.latest_periods(), as_of=AS_OF,
-        quote_stamps=t.quote_days())
-
-
 def _relation(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        rows = comparable(warehouse(TestTables(spark, folder)).relations()[name]())
+        rows = comparable(catalog.RELATIONS[name](TestTables(spark, folder)))
         if name == "tdx_va_mrq":  # interpolated values are compared at eight digits
             rows = rows.select(*[
                 F.round(c, 8).alias(c) if kind == "double" else c for c, kind in rows.dtypes])
@@ -130,7 +121,7 @@ def stmt_document(t):
 
 @query
 def stmt_latest_period(t):
-    return t.latest_periods()
+    return t.latest_periods
 
 
 @query
@@ -146,9 +137,9 @@ def upsert_by_key(t):
 @query
 def full_refresh(t):
     path = shared_dir(t.spark, "companies")
-    old = company.dim_company(t.company()).withColumn("name", F.lower("name"))
+    old = company.dim_company(t.company).withColumn("name", F.lower("name"))
     keyed.write_snapshot(old, path)
-    keyed.write_snapshot(company.dim_company(t.company()), path)
+    keyed.write_snapshot(company.dim_company(t.company), path)
     return t.spark.read.parquet(path)
 
 
@@ -158,7 +149,7 @@ def snapshot_append(t):
     day = F.col("inserted")
     for in_batch, stamp in ((day < "2024-01-16", "2024-01-15 21:10:00"),
                             (day >= "2024-01-16", "2024-01-30 21:10:00")):
-        rows = t.quotes().where(in_batch).select("code", "price", day.cast("string").alias("quoted"))
+        rows = t.quotes.where(in_batch).select("code", "price", day.cast("string").alias("quoted"))
         snapshots.append_snapshot(rows, path, F.lit(stamp))
     return t.spark.read.parquet(path)
 
@@ -200,7 +191,7 @@ def csv_cache_gbk(t):
 
 @query
 def dim_company(t):
-    return company.dim_company(t.company())
+    return company.dim_company(t.company)
 
 
 @query
@@ -406,7 +397,7 @@ def sql_functions(t):
 
 @query
 def sql_over_views(t):
-    catalog.register_views(t.spark, warehouse(t))
+    catalog.register_views(t.spark, t, ["roe_q4", "s_q4a"])
     return t.spark.sql("""
         SELECT idst, count(*) AS n, count(roe) AS n_roe, sum(tca) AS tca, max(rp) AS last_rp
         FROM (SELECT r.code, r.idst, r.rp, r.roe, s.tca FROM roe_q4 r JOIN s_q4a s ON r.code = s.code)
@@ -441,22 +432,22 @@ def _present(t):
 
 @query
 def missing_statements(t):
-    return quality.missing_statements(t.company(), _present(t))
+    return quality.missing_statements(t.company, _present(t))
 
 
 @query
 def load_progress(t):
-    return quality.load_progress(t.company(), _present(t))
+    return quality.load_progress(t.company, _present(t))
 
 
 @query
 def trading_day_gate(t):
-    return snapshots.open_day_rows(t.quotes(), t.calendar(), F.col("inserted"))
+    return snapshots.open_day_rows(t.quotes, t.calendar(), F.col("inserted"))
 
 
 @query
 def latest_snapshot(t):
-    return snapshots.latest_snapshot(t.quotes(), t.quote_days())
+    return snapshots.latest_snapshot(t.quotes, t.quote_stamps)
 
 
 @query
@@ -467,7 +458,7 @@ def join_three_statements(t):
     def columns(lk: Lookup):
         wanted = {"is": "net_profit", "bs": "total_assets", "cf": "operating_cash"}
         return ["code", *[lk.rp(s).alias(f"{s}_rp") for s in wanted],
-                *[lk.value(s, item, lk.rp(s)).alias(item) for s, item in wanted.items()]]
+                *[lk.value(s, item, lk.latest(s)).alias(item) for s, item in wanted.items()]]
     return report(source, columns)
 
 

@@ -20,7 +20,7 @@ def cash_quality(source: StatementSource, years: int = 5) -> DataFrame:
         profit = [lk.value("is", "net_profit", lk.annual("is", k)) for k in range(years)]
         cash = [lk.value("cf", "operating_cash", lk.annual("cf", k)) for k in range(years)]
         return [
-            F.col("code").alias(CODE), lk.annual("is").alias(LATEST_ANNUAL),
+            F.col("code").alias(CODE), lk.annual("is").label.alias(LATEST_ANNUAL),
             F.round(profit[0] + profit[1] + profit[2], 4).alias(PROFIT3),
             F.round(cash[0] + cash[1] + cash[2], 4).alias(CASH3),
             *[(-F.round(profit[k] - cash[k], 4)).alias(f"{GAP}{k or ''}") for k in range(years)],

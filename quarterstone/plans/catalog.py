@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -39,68 +40,95 @@ STORED: dict[str, Callable[[StatementSource], DataFrame]] = {
 }
 
 
-@dataclass
-class Warehouse:
-    """The inputs of all relations."""
+class Inputs(Protocol):
+    """The inputs of all relations; a relation touches only those it needs."""
 
     statements: StatementSource
     company: DataFrame
     quotes: DataFrame
-    board_members: DataFrame  # the columns of ``board.COLUMNS``
+    quote_stamps: DataFrame | None  # a cheaper table with the quotes' largest ``inserted``
+    board_rows: DataFrame  # the columns of ``board.COLUMNS``
     consensus: DataFrame
     surveys: DataFrame
     latest_periods: DataFrame  # statement, rp: one row per document
+    as_of: dt.date | None  # date of the consensus look-up; today where None
+
+
+@dataclass
+class Tables:
+    """Inputs held as tables."""
+
+    statements: StatementSource
+    company: DataFrame
+    quotes: DataFrame
+    board_rows: DataFrame
+    consensus: DataFrame
+    surveys: DataFrame
+    latest_periods: DataFrame
     as_of: dt.date | None = None
     quote_stamps: DataFrame | None = None
 
-    def relations(self) -> dict[str, Callable[[], DataFrame]]:
-        """Every relation; a view is computed when it is read."""
-        s, c = self.statements, self.company
-
-        def priced(kind: str, label: str) -> DataFrame:
-            latest = latest_snapshot(self.quotes, self.quote_stamps)
-            return valuation.valuation(latest, c, growth.growth_report(s, kind), label)
-
-        def outlook(figures) -> DataFrame:
-            return consensus.company_outlook(
-                c, figures(self.consensus, self.as_of), consensus.surveys(self.surveys))
-
-        stored = {name: (lambda plan=plan: plan(s)) for name, plan in STORED.items()}
-        return stored | {
-            "_data_stats": lambda: quality.data_stats(s),
-            "_bod_summ": lambda: board.board_summary(self.board_members),
-            "bod": lambda: board.board(c, self.board_members),
-            "cashflows_q4": lambda: cash.public_cash_quality(s, c),
-            "cog_q4": lambda: governance.public_governance(s, c),
-            "cons_data": lambda: consensus.consensus_growth(self.consensus, self.as_of),
-            "cons_data_pe": lambda: consensus.consensus_pe(self.consensus, self.as_of),
-            "cost_mrqa": lambda: income.public_cost(s, c, "mrq"),
-            "cost_q4a": lambda: income.public_cost(s, c, "q4"),
-            "f_data_error": lambda: quality.period_errors(s),
-            "f_data_stat": lambda: quality.period_counts(self.latest_periods),
-            "income_mrqa": lambda: income.public_income(s, c, "mrq"),
-            "income_q4a": lambda: income.public_income(s, c, "q4"),
-            "inst_data": lambda: consensus.surveys(self.surveys),
-            "inst": lambda: outlook(consensus.consensus_growth),
-            "inst2": lambda: outlook(consensus.consensus_pe),
-            "pg_yoy_q4": lambda: growth.public_yearly_growth(s, c, "net_profit", "pg"),
-            "rg_yoy_q4": lambda: growth.public_yearly_growth(s, c, "total_revenue", "rg"),
-            "roe_mrq": lambda: returns.public_roe(s, c, "mrq"),
-            "roe_q4": lambda: returns.public_roe(s, c, "q4"),
-            "s_mrqa": lambda: scale.public_scale(s, c, "mrq"),
-            "s_q4a": lambda: scale.public_scale(s, c, "q4"),
-            "va_mrqa": lambda: priced("mrq", PERIOD),
-            "va_q4a": lambda: priced("q4", LATEST_ANNUAL),
-            "tdx_va_mrq": lambda: valuation.industry_stats(priced("mrq", PERIOD)),
-        }
-
-
-def register_views(spark: SparkSession, warehouse: Warehouse) -> list[str]:
-    """Temporary views under the relation names, and the SQL functions."""
+
+Relation = Callable[[Inputs], DataFrame]
+
+
+def _priced(kind: str, label: str) -> Relation:
+    def plan(i: Inputs) -> DataFrame:
+        latest = latest_snapshot(i.quotes, i.quote_stamps)
+        return valuation.valuation(latest, i.company, growth.growth_report(i.statements, kind), label)
+    return plan
+
+
+def _outlook(figures) -> Relation:
+    return lambda i: consensus.company_outlook(
+        i.company, figures(i.consensus, i.as_of), consensus.surveys(i.surveys))
+
+
+def _public(plan, *arguments) -> Relation:
+    return lambda i: plan(i.statements, i.company, *arguments)
+
+
+def _stored(plan) -> Relation:
+    return lambda i: plan(i.statements)
+
+
+# Views, computed when they are read. Names are fixed values.
+VIEWS: dict[str, Relation] = {
+    "_data_stats": _stored(quality.data_stats),
+    "_bod_summ": lambda i: board.board_summary(i.board_rows),
+    "bod": lambda i: board.board(i.company, i.board_rows),
+    "cashflows_q4": _public(cash.public_cash_quality),
+    "cog_q4": _public(governance.public_governance),
+    "cons_data": lambda i: consensus.consensus_growth(i.consensus, i.as_of),
+    "cons_data_pe": lambda i: consensus.consensus_pe(i.consensus, i.as_of),
+    "cost_mrqa": _public(income.public_cost, "mrq"),
+    "cost_q4a": _public(income.public_cost, "q4"),
+    "f_data_error": _stored(quality.period_errors),
+    "f_data_stat": lambda i: quality.period_counts(i.latest_periods),
+    "income_mrqa": _public(income.public_income, "mrq"),
+    "income_q4a": _public(income.public_income, "q4"),
+    "inst_data": lambda i: consensus.surveys(i.surveys),
+    "inst": _outlook(consensus.consensus_growth),
+    "inst2": _outlook(consensus.consensus_pe),
+    "pg_yoy_q4": _public(growth.public_yearly_growth, "net_profit", "pg"),
+    "rg_yoy_q4": _public(growth.public_yearly_growth, "total_revenue", "rg"),
+    "roe_mrq": _public(returns.public_roe, "mrq"),
+    "roe_q4": _public(returns.public_roe, "q4"),
+    "s_mrqa": _public(scale.public_scale, "mrq"),
+    "s_q4a": _public(scale.public_scale, "q4"),
+    "va_mrqa": _priced("mrq", PERIOD),
+    "va_q4a": _priced("q4", LATEST_ANNUAL),
+    "tdx_va_mrq": lambda i: valuation.industry_stats(_priced("mrq", PERIOD)(i)),
+}
+
+RELATIONS: dict[str, Relation] = {name: _stored(plan) for name, plan in STORED.items()} | VIEWS
+
+
+def register_views(spark: SparkSession, inputs: Inputs, names: list[str] | None = None) -> None:
+    """Temporary views under the relation names (all by default), and the SQL functions."""
     register_functions(spark)
-    for name, build in warehouse.relations().items():
-        build().createOrReplaceTempView(name)
-    return list(warehouse.relations())
+    for name in RELATIONS if names is None else names:
+        RELATIONS[name](inputs).createOrReplaceTempView(name)
 
 
 def store_statements(spark: SparkSession, documents: dict[str, DataFrame], path: str) -> DocumentSource:

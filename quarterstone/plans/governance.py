@@ -52,7 +52,7 @@ def governance_items(source: StatementSource) -> DataFrame:
             "三年净利": _total([income("net_profit", k) for k in range(3)]),
             "股本变动倍数": ratio(*capital, digits=2),
         }
-        return [F.col("code").alias(CODE), year[0].alias(LATEST_ANNUAL)] + [
+        return [F.col("code").alias(CODE), year[0].label.alias(LATEST_ANNUAL)] + [
             value.alias(head) for head, value in heads.items()]
     return report(source, columns)
 

@@ -25,7 +25,7 @@ def growth_report(source: StatementSource, kind: str) -> DataFrame:
             now, one, three = (lk.value("is", item, at(lk, "is", k)) for k in (0, 1, 3))
             return [growth(now, one).alias(yearly), compound3(now, three).alias(compound)]
 
-        return [F.col("code").alias(CODE), at(lk, "is").alias(LABELS[kind]),
+        return [F.col("code").alias(CODE), at(lk, "is").label.alias(LABELS[kind]),
                 *pair("total_revenue", "营收同比", "营收复合"),
                 *pair("net_profit", "利润同比", "利润复合")]
     return report(source, columns)
@@ -37,7 +37,7 @@ def yearly_growth(source: StatementSource, item: str, kind: str, years: int = 5)
         at = PERIODS[kind]
         values = [lk.value("is", item, at(lk, "is", k)) for k in range(years + 1)]
         head = f"{SERIES[item]}({kind})"
-        return [F.col("code").alias(CODE), at(lk, "is").alias(LABELS[kind])] + [
+        return [F.col("code").alias(CODE), at(lk, "is").label.alias(LABELS[kind])] + [
             growth(values[k], values[k + 1]).alias(f"{head}{k or ''}") for k in range(years)
         ]
     return report(source, columns)

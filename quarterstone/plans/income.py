@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterstone.functions import any_q4, ratio
-from quarterstone.operators.statements import Lookup, StatementSource, report
+from quarterstone.operators.statements import Lookup, Period, StatementSource, report
 from quarterstone.plans.company import with_company
 from quarterstone.plans.items import CODE, INCOME_HEADS, PERIOD
 
@@ -17,7 +17,7 @@ def income_items(source: StatementSource, kind: str) -> DataFrame:
     """All income items of the latest report (``mrq``) or fiscal year (``q4``), unrounded."""
     def columns(lk: Lookup):
         period = PERIODS[kind](lk, "is")
-        return [F.col("code").alias(CODE), period.alias(PERIOD)] + [
+        return [F.col("code").alias(CODE), period.label.alias(PERIOD)] + [
             lk.value("is", item, period).alias(head) for item, head in INCOME_HEADS.items()
         ]
     return report(source, columns)
@@ -30,17 +30,20 @@ def income_years(source: StatementSource, years: int = 5, *, fix_investment: boo
     latest year. That is kept by default so results stay equal; ``fix_investment`` reads
     the row's own year.
     """
-    lk = Lookup()
-    first, period = lk.annual("is"), F.col("period")
-    own_year = period if fix_investment else F.when(F.col("back") >= 2, first).otherwise(period)
-    values = [
-        lk.value("is", item, own_year if item == "investment_income" else period).alias(head)
-        for item, head in INCOME_HEADS.items()
-    ]
-    rows = (source.joined(lk.needs)
-            .withColumn("back", F.explode(F.array(*[F.lit(k) for k in range(years)])))
-            .withColumn("period", any_q4(F.col("is_rp"), -F.col("back"))))
-    return rows.select(F.col("code").alias(CODE), period.alias(PERIOD), *values).distinct()
+    def columns(lk: Lookup):
+        period = Period("row's year", F.col("period"))
+        first = F.when(F.col("back") >= 2, lk.annual("is").label).otherwise(period.label)
+        investment_year = period if fix_investment else Period("first year", first)
+        return [F.col("code").alias(CODE), period.label.alias(PERIOD)] + [
+            lk.value("is", item, investment_year if item == "investment_income" else period).alias(head)
+            for item, head in INCOME_HEADS.items()]
+
+    def spread(rows: DataFrame) -> DataFrame:
+        back = F.explode(F.array(*[F.lit(k) for k in range(years)]))
+        return (rows.withColumn("back", back)
+                .withColumn("period", any_q4(F.col("is_rp"), -F.col("back"))))
+
+    return report(source, columns, spread).distinct()
 
 
 def cost_shares(source: StatementSource, kind: str) -> DataFrame:
@@ -48,7 +51,7 @@ def cost_shares(source: StatementSource, kind: str) -> DataFrame:
     def columns(lk: Lookup):
         period = PERIODS[kind](lk, "is")
         revenue = lk.value("is", "total_revenue", period)
-        return [F.col("code").alias(CODE), period.alias(PERIOD)] + [
+        return [F.col("code").alias(CODE), period.label.alias(PERIOD)] + [
             ratio(lk.value("is", item, period), revenue).alias(head)
             for item, head in INCOME_HEADS.items() if item != "eps"
         ]

@@ -19,7 +19,7 @@ ROA, ROE = "资产收益率", "净资产收益率"
 def _returns(source: StatementSource, base_item: str, head: str, kind: str, years: int) -> DataFrame:
     def columns(lk: Lookup):
         at = PERIODS[kind]
-        return [F.col("code").alias(CODE), at(lk, "bs").alias(LABELS[kind])] + [
+        return [F.col("code").alias(CODE), at(lk, "bs").label.alias(LABELS[kind])] + [
             # each side is read at its own statement's period
             ratio(lk.value("is", "parent_net_profit", at(lk, "is", k)),
                   lk.value("bs", base_item, at(lk, "bs", k))).alias(f"{head}{k or ''}")

@@ -64,7 +64,7 @@ def scale_report(source: StatementSource, kind: str) -> DataFrame:
                 total = total - part(item)
             return total.alias(head)
 
-        return [F.col("code").alias(CODE), at(lk, "bs").alias(LABELS[kind])] + [
+        return [F.col("code").alias(CODE), at(lk, "bs").label.alias(LABELS[kind])] + [
             measure(head) for head in _heads(kind)]
     return report(source, columns)
 

@@ -15,6 +15,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # reports are built from many small expressions; recording a call site for each of
+    # them takes longer than planning the query
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

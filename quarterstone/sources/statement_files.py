@@ -78,13 +78,8 @@ def nested_documents(cells: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("item", "periods"))).alias("data"))
 
 
-def _record(statement: str, value_of) -> Column:
-    return F.struct(*[value_of(label).cast(MONEY_TYPE).alias(field)
-                      for field, label in STATEMENTS[statement].items()])
-
-
 def period_documents(cells: DataFrame, statement: str) -> DataFrame:
-    """Documents of one statement in lookup form: ``code, rp, data`` = period -> items.
+    """Documents of one statement in lookup form: ``code, rp, data`` (an element per period).
 
     Only the known line items are kept, as struct fields, so that a report's scan reads
     just the fields it uses. Rows are combined per period before they are gathered.
@@ -93,9 +88,9 @@ def period_documents(cells: DataFrame, statement: str) -> DataFrame:
     by_period = own.groupBy("code", "period").agg(*[
         F.max(F.when(F.col("item") == label, F.col("value"))).alias(field)
         for field, label in STATEMENTS[statement].items()])
-    entry = F.struct("period", F.struct(*STATEMENTS[statement]))
+    entry = F.struct("period", *STATEMENTS[statement])
     return by_period.groupBy("code").agg(
-        F.max("period").alias("rp"), F.map_from_entries(F.collect_list(entry)).alias("data"))
+        F.max("period").alias("rp"), F.collect_list(entry).alias("data"))
 
 
 def lookup_form(documents: DataFrame, statement: str) -> DataFrame:
@@ -103,9 +98,14 @@ def lookup_form(documents: DataFrame, statement: str) -> DataFrame:
 
     Keeps one output row per document, so several documents of a company stay several.
     """
-    keys = F.array_distinct(F.flatten(F.transform(F.map_values("data"), F.map_keys)))
-    rows = F.transform(keys, lambda p: _record(statement, lambda label: F.col("data")[label][p]))
-    return documents.withColumn("data", F.map_from_arrays(keys, rows))
+    periods = F.array_distinct(F.flatten(F.transform(F.map_values("data"), F.map_keys)))
+
+    def element(period: Column) -> Column:
+        return F.struct(period.alias("period"), *[
+            F.col("data")[label][period].cast(MONEY_TYPE).alias(field)
+            for field, label in STATEMENTS[statement].items()])
+
+    return documents.withColumn("data", F.transform(periods, element))
 
 
 def parse_documents(documents: DataFrame) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterstone.functions import money
+from quarterstone.functions import exact_sum, money
+from quarterstone.plans.board import board_all
 from quarterstone.plans.items import STATEMENTS
 from quarterstone.sources.testformulas import EVIDENCE, HORIZON, INTERIM_FROM, INTERIM_RULE, ITEMS, MEASURES
 
@@ -22,11 +24,20 @@ class TestTables:
         self.folder = folder
         self.stored_cells = stored_cells
 
+    @cache  # noqa: B019 (one object per query)
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    # the inputs of the report catalog
+    as_of = dt.date(2024, 6, 30)  # date of the consensus look-up
+
+    @property
+    def statements(self) -> TestTables:
+        return self
+
     # ---- statements --------------------------------------------------------------
-    def cells(self, statements: list[str]) -> DataFrame:
+    @cache  # noqa: B019
+    def cells(self, *statements: str) -> DataFrame:
         """Sums per company and quarter. Partial sums keep a hot company off the shuffle."""
         if self.stored_cells:
             return self.spark.read.parquet(self.stored_cells)
@@ -36,7 +47,7 @@ class TestTables:
                 .where(day < F.lit(HORIZON).cast("timestamp_ntz"))
                 .groupBy(F.col("l_suppkey").alias("code"),
                          (F.year(day) * 4 + F.quarter(day)).alias("q"))
-                .agg(*[F.sum(F.expr(e).cast("decimal(18,4)")).alias(m) for m, e in MEASURES.items()],
+                .agg(*[exact_sum(F.expr(e)).alias(m) for m, e in MEASURES.items()],
                      F.count_if(F.expr(INTERIM_RULE)).alias("interim_lines"), *evidence))
         year, month = F.expr("CAST((q - 1) DIV 4 AS INT)"), F.expr("((q - 1) % 4 + 1) * 3")
         period = F.last_day(F.make_date(year, month, F.lit(1)))
@@ -45,7 +56,7 @@ class TestTables:
 
     def with_stored_cells(self, path: str) -> TestTables:
         """Write the sums once; statements of the returned object read them from there."""
-        self.cells(list(EVIDENCE)).write.mode("overwrite").parquet(path)
+        self.cells(*EVIDENCE).write.mode("overwrite").parquet(path)
         return TestTables(self.spark, self.folder, path)
 
     def joined(self, needs: dict[str, list[str]]) -> DataFrame:
@@ -54,19 +65,18 @@ class TestTables:
         A company has one document per statement here, so gathering them side by side
         equals the join. A document holds one entry per quarter, which bounds its size.
         """
-        cells = self.cells(list(needs))
+        cells = self.cells(*needs)
         parts: list[Column] = []
         for s, items in needs.items():
             present = F.col(f"{s}_lines") > 0
-            entry = F.struct("period", self._items(s, items))
             parts.append(F.max(F.when(present, F.col("period"))).alias(f"{s}_rp"))
             if items:
-                parts.append(F.collect_list(F.when(present, entry)).alias(f"{s}_list"))
+                entry = F.struct("period", *self._items(s, items))
+                parts.append(F.collect_list(F.when(present, entry)).alias(f"{s}_data"))
         docs = cells.groupBy("code").agg(*parts)
         for s in needs:
             docs = docs.where(F.col(f"{s}_rp").isNotNull())
-        data = [F.map_from_entries(f"{s}_list").alias(f"{s}_data") for s, items in needs.items() if items]
-        return docs.select("code", *[f"{s}_rp" for s in needs], *data)
+        return docs
 
     def documents(self, statement: str, items: list[str] | None = None) -> DataFrame:
         """One statement as a document table ``code, rp, data``."""
@@ -77,9 +87,8 @@ class TestTables:
     def statement_rows(self, statement: str, items: list[str] | None = None) -> DataFrame:
         """One row per company and period with a column per item."""
         wanted = list(ITEMS[statement]) if items is None else items
-        cells = self.cells([statement]).where(F.col(f"{statement}_lines") > 0)
-        return cells.select("code", "period", *[
-            money(F.expr(ITEMS[statement][i])).alias(i) for i in wanted])
+        cells = self.cells(statement).where(F.col(f"{statement}_lines") > 0)
+        return cells.select("code", "period", *self._items(statement, wanted))
 
     def long_cells(self, statement: str, items: list[str] | None = None) -> DataFrame:
         """``statement, code, item, period, value`` with the source's item labels."""
@@ -92,18 +101,15 @@ class TestTables:
 
     def report_texts(self, statement: str) -> DataFrame:
         """``file, content``: each company's statement as report text, newest period first."""
-        fields = list(ITEMS[statement])
-        docs = self.documents(statement)
-        periods = F.array_sort(F.map_keys("data"), lambda a, b: F.when(a < b, 1).otherwise(-1))
+        newest_first = F.array_sort("data", lambda a, b: F.when(a["period"] < b["period"], 1).otherwise(-1))
+        docs = self.documents(statement).withColumn("data", newest_first)
 
-        def line(head: str, cell) -> Column:
-            return F.array_join(F.concat(F.array(F.lit(head)), F.transform(periods, cell)), ",")
+        def line(head: str, field: str) -> Column:
+            cells = F.transform(F.col("data"), lambda e: e[field].cast("string"))
+            return F.array_join(F.concat(F.array(F.lit(head)), cells), ",")
 
-        def amount(field: str):
-            return lambda p: F.col("data")[p][field].cast("string")
-
-        lines = [line("报告日期", lambda p: p)] + [
-            line(STATEMENTS[statement][f], amount(f)) for f in fields]
+        lines = [line("报告日期", "period")] + [
+            line(STATEMENTS[statement][f], f) for f in ITEMS[statement]]
         name = F.concat(F.lit(f"{statement}_"), F.lpad(F.col("code").cast("string"), 6, "0"), F.lit(".csv"))
         return docs.select(name.alias("file"), F.array_join(F.array(*lines), "\r\n").alias("content"))
 
@@ -112,17 +118,19 @@ class TestTables:
         kinds = list(EVIDENCE)
         reported = F.array_compact(F.array(*[
             F.when(F.col(f"{s}_lines") > 0, F.lit(s)) for s in kinds]))
-        return self.cells(kinds).select("code", "period", F.explode(reported).alias("statement"))
+        return self.cells(*kinds).select("code", "period", F.explode(reported).alias("statement"))
 
+    @cached_property
     def latest_periods(self) -> DataFrame:
         """``statement, code, rp`` of every document."""
         return self.present().groupBy("statement", "code").agg(F.max("period").alias("rp"))
 
     @staticmethod
-    def _items(statement: str, items: list[str]) -> Column:
-        return F.struct(*[money(F.expr(ITEMS[statement][i])).alias(i) for i in items])
+    def _items(statement: str, items: list[str]) -> list[Column]:
+        return [money(F.expr(ITEMS[statement][i])).alias(i) for i in items]
 
     # ---- other inputs ------------------------------------------------------------
+    @cached_property
     def company(self) -> DataFrame:
         """Suppliers without a negative balance, with nation as industry and region as area."""
         listing = (self.table("supplier").where(F.col("s_acctbal") >= 0)
@@ -134,24 +142,26 @@ class TestTables:
             F.col("s_acctbal").alias("outstanding"), (F.col("s_acctbal") * 2).alias("totals"),
             F.col("s_nationkey").cast("double").alias("holders"))
 
+    @cached_property
     def quotes(self) -> DataFrame:
         """One quote per user and day of events; ``inserted`` is the day."""
-        value = F.col("value").cast("decimal(18,4)")
+        value = F.col("value")
         signed = F.when(F.col("event_type") == "error", -value).otherwise(value)
+        span = F.max(value).cast("decimal(18,4)") - F.min(value).cast("decimal(18,4)")
         double = [
-            F.max("value").alias("price"), F.sum(signed).cast("double").alias("pe_ttm"),
-            F.sum(value).cast("double").alias("mktcap"), F.min("value").alias("pb"),
-            (F.max(value) - F.min(value)).cast("double").alias("pctchg"),
-            F.count("*").cast("double").alias("turnover")]
+            F.max(value).alias("price"), exact_sum(signed).cast("double").alias("pe_ttm"),
+            exact_sum(value).cast("double").alias("mktcap"), F.min(value).alias("pb"),
+            span.cast("double").alias("pctchg"), F.count("*").cast("double").alias("turnover")]
         rows = (self.table("events")
                 .groupBy(F.col("user_id").alias("code"), F.to_date("ts").alias("inserted")).agg(*double))
         return rows.withColumn("name", F.concat(F.lit("u"), F.col("code").cast("string")))
 
-    def quote_days(self) -> DataFrame:
+    @cached_property
+    def quote_stamps(self) -> DataFrame:
         return self.table("events").select(F.to_date("ts").alias("inserted"))
 
     def calendar(self) -> DataFrame:
-        days = self.quote_days().distinct()
+        days = self.quote_stamps.distinct()
         return days.select(F.col("inserted").alias("calendarDate"),
                            (F.weekday("inserted") < 5).alias("isOpen"))
 
@@ -166,9 +176,10 @@ class TestTables:
             status.alias("职务"), amount.alias("持股数"), amount.alias("报酬"),
             F.to_date("o_orderdate").cast("string").alias("起止时间"))
 
-    def consensus(self, as_of: dt.date) -> DataFrame:
+    @cached_property
+    def consensus(self) -> DataFrame:
         """Consensus documents per supplier; rich suppliers lack the last forecast year."""
-        keys = [f"{as_of.year - 1}"] + [f"{as_of.year + k}预测" for k in range(3)]
+        keys = [f"{self.as_of.year - 1}"] + [f"{self.as_of.year + k}预测" for k in range(3)]
         pairs: list[Column] = []
         for i, key in enumerate(keys):
             name = F.lit(key)
@@ -178,6 +189,11 @@ class TestTables:
         return self.table("supplier").select(
             F.col("s_suppkey").alias("code"), F.create_map(*pairs).alias("data"))
 
+    @cached_property
+    def board_rows(self) -> DataFrame:
+        return board_all(self.members())
+
+    @cached_property
     def surveys(self) -> DataFrame:
         pairs: list[Column] = []
         for i, key in enumerate(("家数", "评级系数")):
