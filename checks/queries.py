@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarterstone.functions import (
     any_q4, eofm, exchange_prefix, exchange_suffix, norm_code, pub_date, ratio, register_functions)
 from quarterstone.operators import keyed, snapshots
-from quarterstone.operators.statements import DocumentSource, Lookup, report
+from quarterstone.operators.statements import Lookup, report
 from quarterstone.plans import board, catalog, company, income, quality
 from quarterstone.plans.items import INCOME
 from quarterstone.session import shared_dir
@@ -84,20 +84,15 @@ def base_income_q4_fixed(t):
     return income.income_years(t, fix_investment=True)
 
 
-# ---- sources and sinks ---------------------------------------------------------------
-
-def _reports(t) -> DataFrame:
-    files = t.report_texts("is").unionByName(t.report_texts("bs")).unionByName(t.report_texts("cf"))
-    return statement_files.report_files(files)
+def _buckets(t) -> int:
+    return int(t.spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _long(t) -> DataFrame:
-    return t.long_cells("is").unionByName(t.long_cells("bs")).unionByName(t.long_cells("cf"))
-
+# ---- sources and sinks ---------------------------------------------------------------
 
 @query
 def src_statement_files(t):
-    return statement_files.report_cells(_reports(t))
+    return statement_files.report_cells(statement_files.report_files(t.report_texts("is", "bs", "cf")))
 
 
 @query
@@ -113,7 +108,7 @@ def src_statement_folder(t):
 
 @query
 def stmt_document(t):
-    docs = statement_files.nested_documents(_long(t))
+    docs = statement_files.nested_documents(t.long_cells())
     items = docs.select("statement", "code", "rp", F.explode("data").alias("item", "periods"))
     return items.select("statement", "code", "rp", "item", F.size("periods").alias("n_periods"),
                         F.col("periods")[F.col("rp")].alias("latest_value"))
@@ -224,8 +219,8 @@ def pledge_ranked(t):
 def refresh_reports(t):
     path = shared_dir(t.spark, "reports")
     stored = t.with_stored_cells(f"{path}/cells")
-    source = catalog.store_statements(
-        t.spark, {s: stored.documents(s) for s in ("is", "bs", "cf")}, f"{path}/statements")
+    documents = {s: stored.documents(s) for s in ("is", "bs", "cf")}
+    source = catalog.store_statements(t.spark, documents, f"{path}/statements", _buckets(t))
     tables_ = catalog.refresh_reports(t.spark, source, f"{path}/reports")
     result = None
     for name, rows in tables_.items():
@@ -387,12 +382,11 @@ def fn_pub_date(t):
 @query
 def sql_functions(t):
     register_functions(t.spark)
-    _dated(t).join(t.table("orders").select("o_orderkey", "o_totalprice", "o_custkey"), "o_orderkey") \
-        .createOrReplaceTempView("dated_orders")
+    t.table("orders").createOrReplaceTempView("all_orders")
     return t.spark.sql("""
-        SELECT o_orderkey, any_q4(d, -1) AS y1, eofm(d, -24) AS m2,
+        SELECT o_orderkey, any_q4(CAST(o_orderdate AS STRING), -1) AS y1, eofm(CAST(o_orderdate AS STRING), -24) AS m2,
                round(my_div(CAST(o_totalprice AS DECIMAL(20,4)), CAST(o_custkey AS DECIMAL(20,4))), 4) AS share
-        FROM dated_orders""")
+        FROM all_orders""")
 
 
 @query
@@ -406,7 +400,7 @@ def sql_over_views(t):
 
 @query
 def json_lookup(t):
-    docs = statement_files.nested_documents(t.long_cells("is", ["total_revenue", "net_profit"]))
+    docs = statement_files.nested_documents(t.long_cells({"is": ["total_revenue", "net_profit"]}))
     stored = docs.select("code", "rp", F.to_json("data").alias("data"))
     parsed = statement_files.parse_documents(stored)
     at = statement_files.document_value
@@ -452,11 +446,13 @@ def latest_snapshot(t):
 
 @query
 def join_three_statements(t):
-    source = DocumentSource({"is": t.documents("is", ["net_profit"]), "bs": t.documents("bs", ["total_assets"]),
-                             "cf": t.documents("cf", ["operating_cash"])})
+    """Documents are stored bucketed by code, as a deployment keeps them, and then joined."""
+    wanted = {"is": "net_profit", "bs": "total_assets", "cf": "operating_cash"}
+    path = shared_dir(t.spark, "statements")
+    cells = t.with_stored_cells(f"{path}/cells")
+    source = catalog.store_statements(t.spark, {s: cells.documents(s) for s in wanted}, path, _buckets(t))
 
     def columns(lk: Lookup):
-        wanted = {"is": "net_profit", "bs": "total_assets", "cf": "operating_cash"}
         return ["code", *[lk.rp(s).alias(f"{s}_rp") for s in wanted],
                 *[lk.value(s, item, lk.latest(s)).alias(item) for s, item in wanted.items()]]
     return report(source, columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -16,6 +17,7 @@ from quarterstone.operators.snapshots import latest_snapshot
 from quarterstone.operators.statements import DocumentSource, StatementSource
 from quarterstone.plans import board, cash, consensus, governance, growth, income, quality, returns, scale, valuation
 from quarterstone.plans.items import LATEST_ANNUAL, PERIOD
+from quarterstone.sources.statement_files import store_documents
 
 # Stored reports: relation name -> plan over a statement source. Names are fixed values.
 STORED: dict[str, Callable[[StatementSource], DataFrame]] = {
@@ -131,27 +133,32 @@ def register_views(spark: SparkSession, inputs: Inputs, names: list[str] | None
         RELATIONS[name](inputs).createOrReplaceTempView(name)
 
 
-def store_statements(spark: SparkSession, documents: dict[str, DataFrame], path: str) -> DocumentSource:
-    """Write the statement documents once, so that all reports read stored rows."""
+def store_statements(spark: SparkSession, documents: dict[str, DataFrame], path: str,
+                     buckets: int) -> DocumentSource:
+    """Write the statement documents once, bucketed by code.
+
+    All reports then read stored rows, only the items they use, and join them without an
+    exchange.
+    """
+    prefix = "statements_" + hashlib.md5(path.encode()).hexdigest()
     stored = {}
     for statement, rows in documents.items():
-        rows.write.mode("overwrite").parquet(f"{path}/{statement}")
-        stored[statement] = spark.read.parquet(f"{path}/{statement}")
+        table = f"{prefix}_{statement}"
+        store_documents(rows, table, buckets, f"{path}/{statement}")
+        stored[statement] = spark.table(table)
     return DocumentSource(stored)
 
 
 def refresh_reports(spark: SparkSession, source: StatementSource, path: str,
-                    at_once: int = 4) -> dict[str, DataFrame]:
+                    at_once: int = 8) -> dict[str, DataFrame]:
     """Compute all stored reports and overwrite their tables; several jobs run side by side.
 
     Reports read statements only, so their order does not matter. Returns the stored
     tables.
     """
-    plans = {name: plan(source) for name, plan in STORED.items()}
-
-    def store(name: str) -> None:
-        plans[name].write.mode("overwrite").parquet(f"{path}/{name}")
+    def store(name: str) -> DataFrame:
+        STORED[name](source).write.mode("overwrite").parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}")
 
     with ThreadPoolExecutor(at_once) as pool:
-        list(pool.map(inheritable_thread_target(spark)(store), plans))
-    return {name: spark.read.parquet(f"{path}/{name}") for name in plans}
+        return dict(zip(STORED, pool.map(inheritable_thread_target(spark)(store), STORED)))

@@ -120,7 +120,11 @@ def document_value(data: Column, item: Column | str, period: Column) -> Column:
     return data[item][period].cast(MONEY_TYPE)
 
 
-def store_documents(documents: DataFrame, table: str, buckets: int) -> None:
-    """Save documents bucketed by code: later joins on code need no exchange."""
-    (documents.write.mode("overwrite").bucketBy(buckets, "code").sortBy("code")
-     .format("parquet").saveAsTable(table))
+def store_documents(documents: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Save documents bucketed by code: later joins on code need no exchange.
+
+    Rows are put into their bucket's task first, so that each bucket is one file.
+    """
+    rows = documents.repartition(buckets, "code").write.mode("overwrite")
+    rows = rows.option("path", path) if path else rows
+    rows.bucketBy(buckets, "code").sortBy("code").format("parquet").saveAsTable(table)

@@ -49,10 +49,14 @@ class TestTables:
                          (F.year(day) * 4 + F.quarter(day)).alias("q"))
                 .agg(*[exact_sum(F.expr(e)).alias(m) for m, e in MEASURES.items()],
                      F.count_if(F.expr(INTERIM_RULE)).alias("interim_lines"), *evidence))
-        year, month = F.expr("CAST((q - 1) DIV 4 AS INT)"), F.expr("((q - 1) % 4 + 1) * 3")
-        period = F.last_day(F.make_date(year, month, F.lit(1)))
-        return (sums.where((year < INTERIM_FROM) | (F.col("interim_lines") > 0))
-                .withColumn("period", period.cast("string")))
+        reported = (F.col("q") <= INTERIM_FROM * 4) | (F.col("interim_lines") > 0)
+        return sums.where(reported).withColumn("period", self._label("q"))
+
+    @staticmethod
+    def _label(quarter: str) -> Column:
+        """Last day of a quarter numbered year * 4 + quarter."""
+        year, month = F.expr(f"CAST(({quarter} - 1) DIV 4 AS INT)"), F.expr(f"(({quarter} - 1) % 4 + 1) * 3")
+        return F.last_day(F.make_date(year, month, F.lit(1))).cast("string")
 
     def with_stored_cells(self, path: str) -> TestTables:
         """Write the sums once; statements of the returned object read them from there."""
@@ -63,20 +67,27 @@ class TestTables:
         """All needed statements from one scan: they come from the same cells.
 
         A company has one document per statement here, so gathering them side by side
-        equals the join. A document holds one entry per quarter, which bounds its size.
+        equals the join.
+        """
+        docs = self.gathered(needs)
+        for s in needs:
+            docs = docs.where(F.col(f"{s}_rp").isNotNull())
+        return docs
+
+    def gathered(self, needs: dict[str, list[str]]) -> DataFrame:
+        """Statements side by side; a company that lacks one has NULL in its ``<s>_rp``.
+
+        A document holds one element per quarter, which bounds its size.
         """
-        cells = self.cells(*needs)
         parts: list[Column] = []
         for s, items in needs.items():
             present = F.col(f"{s}_lines") > 0
-            parts.append(F.max(F.when(present, F.col("period"))).alias(f"{s}_rp"))
+            parts.append(F.max(F.when(present, F.col("q"))).alias(f"{s}_rp"))
             if items:
-                entry = F.struct("period", *self._items(s, items))
-                parts.append(F.collect_list(F.when(present, entry)).alias(f"{s}_data"))
-        docs = cells.groupBy("code").agg(*parts)
-        for s in needs:
-            docs = docs.where(F.col(f"{s}_rp").isNotNull())
-        return docs
+                element = F.struct("period", *self._items(s, items))
+                parts.append(F.collect_list(F.when(present, element)).alias(f"{s}_data"))
+        docs = self.cells(*needs).groupBy("code").agg(*parts)
+        return docs.withColumns({f"{s}_rp": self._label(f"{s}_rp") for s in needs})
 
     def documents(self, statement: str, items: list[str] | None = None) -> DataFrame:
         """One statement as a document table ``code, rp, data``."""
@@ -84,34 +95,38 @@ class TestTables:
         return self.joined({statement: wanted}).select(
             "code", F.col(f"{statement}_rp").alias("rp"), F.col(f"{statement}_data").alias("data"))
 
-    def statement_rows(self, statement: str, items: list[str] | None = None) -> DataFrame:
-        """One row per company and period with a column per item."""
-        wanted = list(ITEMS[statement]) if items is None else items
-        cells = self.cells(statement).where(F.col(f"{statement}_lines") > 0)
-        return cells.select("code", "period", *self._items(statement, wanted))
-
-    def long_cells(self, statement: str, items: list[str] | None = None) -> DataFrame:
-        """``statement, code, item, period, value`` with the source's item labels."""
-        rows = self.statement_rows(statement, items)
-        fields = rows.columns[2:]
-        labels = rows.select("code", "period", *[F.col(f).alias(STATEMENTS[statement][f]) for f in fields])
-        values = [f"`{STATEMENTS[statement][f]}`" for f in fields]
-        long = labels.unpivot(["code", "period"], values, "item", "value")
-        return long.select(F.lit(statement).alias("statement"), "code", "item", "period", "value")
-
-    def report_texts(self, statement: str) -> DataFrame:
+    def long_cells(self, needs: dict[str, list[str]] = ITEMS) -> DataFrame:
+        """``statement, code, item, period, value`` with the source's item labels; one scan."""
+        def cell(s: str, item: str) -> Column:
+            value = money(F.expr(ITEMS[s][item]))
+            return F.struct(F.lit(s).alias("statement"), F.lit(STATEMENTS[s][item]).alias("item"),
+                            value.alias("value"))
+
+        reported = F.flatten(F.array_compact(F.array(*[
+            F.when(F.col(f"{s}_lines") > 0, F.array(*[cell(s, i) for i in items]))
+            for s, items in needs.items()])))
+        rows = self.cells(*needs).select("code", "period", F.explode(reported).alias("c"))
+        return rows.select("c.statement", "code", "c.item", "period", "c.value")
+
+    def report_texts(self, *statements: str) -> DataFrame:
         """``file, content``: each company's statement as report text, newest period first."""
-        newest_first = F.array_sort("data", lambda a, b: F.when(a["period"] < b["period"], 1).otherwise(-1))
-        docs = self.documents(statement).withColumn("data", newest_first)
+        docs = self.gathered({s: list(ITEMS[s]) for s in statements})
+
+        def text(s: str) -> Column:
+            newest_first = F.array_sort(
+                F.col(f"{s}_data"), lambda a, b: F.when(a["period"] < b["period"], 1).otherwise(-1))
+
+            def line(head: str, field: str) -> Column:
+                cells = F.transform(newest_first, lambda e: e[field].cast("string"))
+                return F.array_join(F.concat(F.array(F.lit(head)), cells), ",")
 
-        def line(head: str, field: str) -> Column:
-            cells = F.transform(F.col("data"), lambda e: e[field].cast("string"))
-            return F.array_join(F.concat(F.array(F.lit(head)), cells), ",")
+            lines = [line("报告日期", "period")] + [line(STATEMENTS[s][f], f) for f in ITEMS[s]]
+            name = F.concat(F.lit(f"{s}_"), F.format_string("%06d", "code"), F.lit(".csv"))
+            return F.when(F.col(f"{s}_rp").isNotNull(), F.struct(
+                name.alias("file"), F.array_join(F.array(*lines), "\r\n").alias("content")))
 
-        lines = [line("报告日期", "period")] + [
-            line(STATEMENTS[statement][f], f) for f in ITEMS[statement]]
-        name = F.concat(F.lit(f"{statement}_"), F.lpad(F.col("code").cast("string"), 6, "0"), F.lit(".csv"))
-        return docs.select(name.alias("file"), F.array_join(F.array(*lines), "\r\n").alias("content"))
+        files = F.array_compact(F.array(*[text(s) for s in statements]))
+        return docs.select(F.explode(files).alias("f")).select("f.*")
 
     def present(self) -> DataFrame:
         """``code, statement, period`` of every reported period."""
