@@ -15,7 +15,8 @@ CLASS_COLUMNS = ["code", "name", "class_code", "class_name", "idst_code", "idst_
 
 
 def pledge_ranked(sheet: DataFrame) -> DataFrame:
-    """Pledged shares by ascending ratio.
+    """Pledged shares by ascending ratio, then code, so that rows of a frequent ratio (or
+    without one) are sorted by several tasks.
 
     ``sheet`` has the 0-based ``row_no`` and eight text columns in sheet order.
     """
@@ -24,7 +25,7 @@ def pledge_ranked(sheet: DataFrame) -> DataFrame:
         *[F.col(c).alias(name) for c, name in zip(cells, PLEDGE_COLUMNS, strict=True)])
     numbers = [c for c in PLEDGE_COLUMNS if c not in ("date", "name")]
     return (try_numbers(rows, numbers)
-            .orderBy(F.col("ratio_num").asc_nulls_last(), F.col("ratio").asc_nulls_last()))
+            .orderBy(F.col("ratio_num").asc_nulls_last(), F.col("ratio").asc_nulls_last(), "code_num"))
 
 
 def _allow_charset(spark: SparkSession, encoding: str) -> None:
