@@ -427,6 +427,7 @@ tops AS (SELECT statement, code, max(period) AS rp FROM long GROUP BY ALL)
 SELECT l.statement, l.code, t.rp, l.item, CAST(count(*) AS INTEGER) AS n_periods,
 max(l.value) FILTER (WHERE l.period = t.rp) AS latest_value
 FROM long l JOIN tops t ON l.statement = t.statement AND l.code = t.code GROUP BY 1, 2, 3, 4"""
+SQL["stmt_document_from_cells"] = SQL["stmt_document"]
 SQL["stmt_latest_period"] = f"WITH {BASE}\n" + " UNION ALL ".join(
     f"SELECT '{s}' AS statement, code, rp FROM {NAME[s]}d" for s in NAME)
 SQL["upsert_by_key"] = """WITH rows AS (SELECT o_custkey AS code, o_orderkey AS position, o_totalprice AS amount, o_orderdate FROM orders),

@@ -108,8 +108,19 @@ def src_statement_folder(t):
 
 @query
 def stmt_document(t):
-    docs = statement_files.nested_documents(t.long_cells())
-    items = docs.select("statement", "code", "rp", F.explode("data").alias("item", "periods"))
+    """Straight from report files, without a shuffle."""
+    reports = statement_files.report_files(t.report_texts("is", "bs", "cf"))
+    return _document_items(statement_files.file_documents(reports))
+
+
+@query
+def stmt_document_from_cells(t):
+    return _document_items(statement_files.nested_documents(t.long_cells()))
+
+
+def _document_items(docs: DataFrame) -> DataFrame:
+    # outer: the plain form would compute the document twice, once for a filter
+    items = docs.select("statement", "code", "rp", F.explode_outer("data").alias("item", "periods"))
     return items.select("statement", "code", "rp", "item", F.size("periods").alias("n_periods"),
                         F.col("periods")[F.col("rp")].alias("latest_value"))
 

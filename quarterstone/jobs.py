@@ -64,10 +64,10 @@ class Store:
 def load_statements(store: Store, files: str) -> None:
     """Report files replace the documents of their companies."""
     reports = statement_files.read_statement_folder(store.spark, files)
-    cells = statement_files.report_cells(
-        reports.withColumn("content", cleaning.clean_report(F.col("content"))))
+    clean = reports.withColumn("content", cleaning.clean_report(F.col("content")))
     for statement in STATEMENTS:
-        documents = statement_files.period_documents(cells, statement)
+        own = statement_files.file_documents(clean.where(F.col("statement") == statement))
+        documents = statement_files.lookup_form(own, statement).drop("statement")
         store.upsert(f"statements_{statement}", documents.withColumn("c_date", F.current_timestamp()))
 
 

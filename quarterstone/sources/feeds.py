@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarterstone.functions import exploded
+
 # Field names of the feeds in delivery order; fixed values.
 UNLOCK_FIELDS = ["sn", "code", "market", "name", "date", "count", "ratio", "close", "mktvalue",
                  "shares", "c_shares", "a", "b"]
@@ -17,7 +19,7 @@ DIVIDEND_KEPT = ["code", "name", "method", "amounts", "dps", "dpr", "eps", "rps"
 
 def _records(payload: DataFrame, strings: Column, fields: list[str], keep: list[str]) -> DataFrame:
     others = [c for c in payload.columns if c != "payload"]
-    records = payload.select(*others, F.explode(strings).alias("record"))
+    records = exploded(payload, others, strings, "record")
     parts = records.select(*others, F.split("record", ",").alias("f"))
     return parts.select(*others, *[F.get("f", F.lit(fields.index(k))).alias(k) for k in keep])
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarterstone.functions import exploded
+
 
 def _inside(text: Column, tag: str) -> Column:
     """Contents of every ``tag`` element: any letter case, over line ends, shortest match."""
@@ -12,9 +14,9 @@ def _inside(text: Column, tag: str) -> Column:
 
 
 def _cells(rows: DataFrame, keys: list[str], found_rows: Column, cell_tag: str) -> DataFrame:
-    by_row = rows.select(*keys, F.posexplode(found_rows).alias("row_no", "row_text"))
-    return by_row.select(
-        *keys, "row_no", F.posexplode(_inside(F.col("row_text"), cell_tag)).alias("cell_no", "cell"))
+    by_row = exploded(rows, keys, found_rows, "row_text", "row_no")
+    cells = _inside(F.col("row_text"), cell_tag)
+    return exploded(by_row, [*keys, "row_no"], cells, "cell", "cell_no")
 
 
 def clean_sheet(text: Column) -> Column:

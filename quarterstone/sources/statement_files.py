@@ -1,9 +1,9 @@
 """Statement report files to documents.
 
 A report file is a CSV with line items down and periods across. One file holds one
-company's one statement, so a file is read as one value and taken apart by expressions:
-no shuffle until documents are assembled, and no shuffle at all when a file is turned
-into its document directly.
+company's one statement, so a file is read as one value, taken apart by expressions, and
+becomes its document without a shuffle. Cells of any origin can be gathered into the same
+documents as well.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterstone.functions import MONEY_TYPE
+from quarterstone.functions import MONEY_TYPE, exploded
 from quarterstone.plans.items import STATEMENTS
 
 # File names: statement prefix, then the six characters of the code (more, if all are
@@ -42,21 +42,39 @@ def report_files(files: DataFrame) -> DataFrame:
             .drop("file"))
 
 
-def report_cells(reports: DataFrame) -> DataFrame:
-    """``statement, code, item, period, value``: one row per cell of each report.
-
-    Header cells that are no dates are dropped with their column.
-    """
+def _tables(reports: DataFrame) -> DataFrame:
+    """Adds ``rows`` (cells of each non-empty line after the head) and ``dated`` (period and
+    position of the head's cells that are dates; other columns are dropped)."""
     lines = F.filter(F.split("content", r"\r?\n"), lambda x: F.length(x) > 0)
-    split = reports.withColumn("cells", F.transform(lines, lambda x: F.split(x, ",")))
-    rows = split.select("statement", "code", F.get("cells", F.lit(0)).alias("head"),
-                        F.explode(F.slice("cells", F.lit(2), F.greatest(F.size("cells") - 1, F.lit(0)))).alias("row"))
-    pairs = F.transform(F.col("head"), lambda label, i: F.struct(
-        label.alias("period"), F.get("row", i).alias("value")))
-    dated = F.filter(pairs, lambda p: F.rlike(p["period"], F.lit(PERIOD_LABEL)))
-    return (rows.select("statement", "code", F.get("row", F.lit(0)).alias("item"), F.explode(dated).alias("p"))
-            .select("statement", "code", "item", "p.period",
-                    F.nullif(F.col("p.value"), F.lit("")).cast(MONEY_TYPE).alias("value")))
+    cells = reports.withColumn("cells", F.transform(lines, lambda x: F.split(x, ",")))
+    head = F.transform(F.get("cells", F.lit(0)), lambda label, i: F.struct(
+        label.alias("period"), i.alias("position")))
+    body = F.slice("cells", F.lit(2), F.greatest(F.size("cells") - 1, F.lit(0)))
+    return cells.select("statement", "code", body.alias("rows"), F.filter(
+        head, lambda h: F.rlike(h["period"], F.lit(PERIOD_LABEL))).alias("dated"))
+
+
+def _values(row: Column) -> Column:
+    """Pairs of period and value of a row; an empty cell is NULL."""
+    return F.transform("dated", lambda d: F.struct(
+        d["period"].alias("period"),
+        F.nullif(F.get(row, d["position"]), F.lit("")).cast(MONEY_TYPE).alias("value")))
+
+
+def file_documents(reports: DataFrame) -> DataFrame:
+    """Documents ``statement, code, rp, data`` (item -> {period -> value}), one per report."""
+    items = F.transform("rows", lambda row: F.struct(
+        F.get(row, F.lit(0)), F.map_from_entries(_values(row))))
+    return _tables(reports).select(
+        "statement", "code", F.array_max("dated.period").alias("rp"), F.map_from_entries(items).alias("data"))
+
+
+def report_cells(reports: DataFrame) -> DataFrame:
+    """``statement, code, item, period, value``: one row per cell of each report."""
+    rows = exploded(_tables(reports), ["statement", "code", "dated"], "rows", "row")
+    rows = rows.withColumn("item", F.get("row", F.lit(0)))
+    cells = exploded(rows, ["statement", "code", "item"], _values(F.col("row")), "c")
+    return cells.select("statement", "code", "item", "c.period", "c.value")
 
 
 def latest_period(cells: DataFrame) -> DataFrame:

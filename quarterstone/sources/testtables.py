@@ -8,7 +8,7 @@ from functools import cache, cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterstone.functions import exact_sum, money
+from quarterstone.functions import exact_sum, exploded, money
 from quarterstone.plans.board import board_all
 from quarterstone.plans.items import STATEMENTS
 from quarterstone.sources.testformulas import EVIDENCE, HORIZON, INTERIM_FROM, INTERIM_RULE, ITEMS, MEASURES
@@ -105,19 +105,17 @@ class TestTables:
         reported = F.flatten(F.array_compact(F.array(*[
             F.when(F.col(f"{s}_lines") > 0, F.array(*[cell(s, i) for i in items]))
             for s, items in needs.items()])))
-        rows = self.cells(*needs).select("code", "period", F.explode(reported).alias("c"))
+        rows = exploded(self.cells(*needs), ["code", "period"], reported, "c")
         return rows.select("c.statement", "code", "c.item", "period", "c.value")
 
     def report_texts(self, *statements: str) -> DataFrame:
         """``file, content``: each company's statement as report text, newest period first."""
         docs = self.gathered({s: list(ITEMS[s]) for s in statements})
+        docs = docs.withColumns({f"{s}_data": F.reverse(F.array_sort(f"{s}_data")) for s in statements})
 
         def text(s: str) -> Column:
-            newest_first = F.array_sort(
-                F.col(f"{s}_data"), lambda a, b: F.when(a["period"] < b["period"], 1).otherwise(-1))
-
             def line(head: str, field: str) -> Column:
-                cells = F.transform(newest_first, lambda e: e[field].cast("string"))
+                cells = F.col(f"{s}_data.{field}").cast("array<string>")
                 return F.array_join(F.concat(F.array(F.lit(head)), cells), ",")
 
             lines = [line("报告日期", "period")] + [line(STATEMENTS[s][f], f) for f in ITEMS[s]]
@@ -126,14 +124,14 @@ class TestTables:
                 name.alias("file"), F.array_join(F.array(*lines), "\r\n").alias("content")))
 
         files = F.array_compact(F.array(*[text(s) for s in statements]))
-        return docs.select(F.explode(files).alias("f")).select("f.*")
+        return exploded(docs, [], files, "f").select("f.*")
 
     def present(self) -> DataFrame:
         """``code, statement, period`` of every reported period."""
         kinds = list(EVIDENCE)
         reported = F.array_compact(F.array(*[
             F.when(F.col(f"{s}_lines") > 0, F.lit(s)) for s in kinds]))
-        return self.cells(*kinds).select("code", "period", F.explode(reported).alias("statement"))
+        return exploded(self.cells(*kinds), ["code", "period"], reported, "statement")
 
     @cached_property
     def latest_periods(self) -> DataFrame:

@@ -56,6 +56,12 @@ def test_documents_from_files(spark, folder):
             "code", "rp", "e.period", F.coalesce("e.total_revenue", F.lit(-1)), F.coalesce("e.net_profit", F.lit(-1))))
     assert flat(direct) == flat(via_nested)
     assert growth.growth_report(DocumentSource({"is": direct}), "q4").count() == 1
+    reports = statement_files.read_statement_folder(spark, folder)
+    documents = statement_files.file_documents(reports)
+    assert "Exchange" not in documents._jdf.queryExecution().executedPlan().toString()
+    mine = documents.where("statement = 'is'")
+    assert mine.first()["data"] == nested["data"] and mine.first()["rp"] == nested["rp"]
+    assert flat(statement_files.lookup_form(mine, "is")) == flat(direct)
 
 
 def test_stored_documents_are_pruned_and_bucketed(spark):
