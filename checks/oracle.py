@@ -506,6 +506,11 @@ SQL["markup_rows"] = _cells(f"SELECT page_id, {_extract(_clean, 'li')} AS r FROM
 _space = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 _page = f"regexp_replace(regexp_replace(replace(html, ',', ''), '<!--.*?-->', '', 'g'), '{_space}', '', 'g')"
 SQL["html_table_rows"] = _cells(f"SELECT page_id, {_extract(f'{_extract(_page, chr(117) + chr(108))}[1]', 'li')} AS r FROM pages")
+SQL["board_pages"] = f"""WITH {MEMBERS}
+SELECT position AS "股票代码", list, 0 AS position, replace(name, ' ', '') AS "姓名", duty AS "职务",
+CAST(CASE WHEN duty = 'O' THEN 0 ELSE shares END AS DOUBLE) AS "持股数",
+CAST(CAST('1' || CAST(salary AS VARCHAR) AS DECIMAL(20,2)) AS DOUBLE) AS "报酬", replace(term, '-', '.') AS "起止时间"
+FROM members"""
 _bal = "CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR)"
 SQL["sheet_document"] = " UNION ALL ".join(
     f"SELECT s_suppkey AS code, '{head}' AS head, '{row}' AS row_no, {value} AS value FROM supplier"

@@ -289,6 +289,21 @@ def html_table_rows(t):
                                   table_tag="ul", row_tag="li", cell_tag="a")
 
 
+@query
+def board_pages(t):
+    """A page with one board table per order, read back as members."""
+    def row(tag, *cells):
+        return F.concat(F.lit("<tr>\n"), *[F.concat(F.lit(f"<{tag} class='x'>"), c, F.lit(f"</{tag}>")) for c in cells], F.lit("</tr>"))
+    o = t.members()
+    heads = [F.lit(h) for h in ("序号", "姓 名", "职务", "起止时间", "持股数", "报酬")]
+    shares = F.when(F.col("职务") == "O", "--").otherwise(F.col("持股数").cast("string"))
+    page = F.concat(F.lit("<html><!-- x --><table>"), row("th", *heads), row(
+        "td", F.lit("1"), "姓名", "职务", F.regexp_replace("起止时间", "-", "."), shares,
+        F.concat(F.lit("1,"), F.col("报酬").cast("string"))), F.lit("</table></html>"))
+    pages = o.select(F.col("position").alias("code"), "list", page.alias("html"))
+    return board.members_from_pages(pages)
+
+
 @query
 def sheet_document(t):
     def row(*cells):

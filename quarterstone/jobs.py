@@ -18,14 +18,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterstone.operators.keyed import upsert_by_key
+from quarterstone.functions import exploded
+from quarterstone.operators.keyed import append_new_keys, upsert_by_key
 from quarterstone.operators.snapshots import append_snapshot, open_day_rows
 from quarterstone.operators.statements import DocumentSource
 from quarterstone.plans import catalog
-from quarterstone.plans.board import board_all
+from quarterstone.plans.board import board_all, members_from_pages
+from quarterstone.plans.company import dim_company
 from quarterstone.plans.items import STATEMENTS
 from quarterstone.session import build_session
-from quarterstone.sources import cleaning, markup, quotes, statement_files
+from quarterstone.sources import cleaning, markup, quotes, statement_files, tables
 
 
 class Store:
@@ -91,6 +93,43 @@ def load_board(store: Store, members: DataFrame) -> None:
     store.upsert("board", board_all(members), "股票代码")
 
 
+def load_board_pages(store: Store, files: str) -> None:
+    """Pages named ``<list>_<code>.html`` replace the boards of their companies."""
+    pages = store.spark.read.option("recursiveFileLookup", True).text(files, wholetext=True)
+    name = F.col("_metadata.file_name")
+    load_board(store, members_from_pages(pages.select(
+        F.regexp_extract(name, r"^([a-z]+)_(\d+)", 1).alias("list"),
+        F.regexp_extract(name, r"^([a-z]+)_(\d+)", 2).cast("bigint").alias("code"), F.col("value").alias("html"))))
+
+
+def load_company(store: Store, files: str) -> None:
+    """The company listing (CSV with a header) replaces the dimension."""
+    schema = ("code BIGINT, name STRING, area STRING, industry STRING, outstanding DOUBLE, "
+              "totals DOUBLE, holders DOUBLE")
+    listing = store.spark.read.schema(schema).csv(files, header=True, enforceSchema=False)
+    store.publish("company", dim_company(listing))
+
+
+def load_classes(store: Store, files: str) -> None:
+    """Industry classes of companies that are not stored yet are added."""
+    schema = ", ".join(f"{c} STRING" for c in tables.CLASS_COLUMNS)
+    listing = cleaning.zero_marks(tables.read_csv_cache(store.spark, files, schema))
+    stored = store.read("classes")
+    store.publish("classes", listing if stored is None else append_new_keys(stored, listing, "code"))
+
+
+def load_pledges(store: Store, file: str) -> None:
+    """The pledge sheet, as comma-separated text, replaces the table.
+
+    A sheet is read as one value, since the rows above its data are found by position.
+    """
+    sheet = store.spark.read.text(file, wholetext=True)
+    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.length(x) > 0)
+    rows = exploded(sheet, [], lines, "line", "row_no")
+    cells = [F.get(F.split("line", ","), F.lit(i)).alias(f"c{i}") for i in range(len(tables.PLEDGE_COLUMNS))]
+    store.publish("pledges", tables.pledge_ranked(rows.select("row_no", *cells)))
+
+
 def inputs(store: Store, as_of: dt.date | None = None) -> catalog.Tables:
     documents = {s: store.read(f"statements_{s}") for s in STATEMENTS}
     latest = None
@@ -114,6 +153,10 @@ def main() -> None:
 
     command("load-statements", "files")
     command("load-sheets", "files", "name")
+    loaders = {"load-board": load_board_pages, "load-company": load_company,
+               "load-classes": load_classes, "load-pledges": load_pledges}
+    for name in loaders:
+        command(name, "files")
     command("append-quotes", "files")
     command("refresh", "reports")
     command("export", "relation", "target")
@@ -125,6 +168,8 @@ def main() -> None:
         load_statements(store, args.files)
     elif args.command == "load-sheets":
         load_sheets(store, args.name, args.files)
+    elif args.command in loaders:
+        loaders[args.command](store, args.files)
     elif args.command == "append-quotes":
         append_quotes(store, args.files, dt.date.today())
     elif args.command == "refresh":

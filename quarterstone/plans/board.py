@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarterstone.functions import scaled
 from quarterstone.operators.keyed import keep_first
+from quarterstone.sources.markup import html_records
 
 # The three member lists in the order in which they are concatenated, and the columns
 # kept; fixed values.
@@ -14,6 +15,16 @@ LISTS = ("dsh", "jsh", "ggc")
 COLUMNS = ("股票代码", "姓名", "职务", "持股数", "报酬", "起止时间")
 
 
+def members_from_pages(pages: DataFrame) -> DataFrame:
+    """Members in the board tables of web pages (``code, list, html``); ``--`` counts as 0."""
+    cleaned = pages.withColumn("html", F.replace("html", F.lit("--"), F.lit("0")))
+    records = html_records(cleaned, ["code", "list"], "html", list(COLUMNS[1:]))
+    return records.select(
+        F.col("code").alias("股票代码"), "list", F.col("row_no").alias("position"), "姓名", "职务",
+        F.col("持股数").cast("decimal(20,2)").alias("持股数"),
+        F.col("报酬").cast("decimal(20,2)").alias("报酬"), "起止时间")
+
+
 def _with_rank(members: DataFrame) -> DataFrame:
     rank = F.array_position(F.array(*[F.lit(name) for name in LISTS]), F.col("list"))
     return members.withColumn("list_rank", rank)

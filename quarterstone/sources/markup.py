@@ -32,6 +32,14 @@ def sheet_rows(rows: DataFrame, keys: list[str], text: str,
     return _cells(rows, keys, _inside(clean_sheet(F.col(text)), row_tag), cell_tag)
 
 
+def _table_rows(text: str, table: int, replace: tuple[str, str], table_tag: str, row_tag: str) -> Column:
+    """Rows of the ``table``-th table, after removing comments and white space."""
+    page = F.replace(F.col(text), F.lit(replace[0]), F.lit(replace[1]))
+    page = F.regexp_replace(page, "<!--.*?-->", "")
+    page = F.regexp_replace(page, r"(?U)\s+", "")
+    return _inside(F.get(_inside(page, table_tag), F.lit(table)), row_tag)
+
+
 def html_table_rows(rows: DataFrame, keys: list[str], text: str, table: int = 0, *,
                     headers: bool = True, replace: tuple[str, str] = (",", ""),
                     table_tag: str = "table", row_tag: str = "tr",
@@ -41,12 +49,23 @@ def html_table_rows(rows: DataFrame, keys: list[str], text: str, table: int = 0,
     Comments within a line and all white space are removed first. A page with too few
     tables gives no rows.
     """
-    page = F.replace(F.col(text), F.lit(replace[0]), F.lit(replace[1]))
-    page = F.regexp_replace(page, "<!--.*?-->", "")
-    page = F.regexp_replace(page, r"(?U)\s+", "")
-    tables = _inside(page, table_tag)
     cells = f"(?:{cell_tag}|{header_tag})" if headers else cell_tag
-    return _cells(rows, keys, _inside(F.get(tables, F.lit(table)), row_tag), cells)
+    return _cells(rows, keys, _table_rows(text, table, replace, table_tag, row_tag), cells)
+
+
+def html_records(rows: DataFrame, keys: list[str], text: str, names: list[str], table: int = 0) -> DataFrame:
+    """Rows of a table as records: ``keys, row_no`` and the columns headed by ``names``.
+
+    The first row holds the heads; a head that is missing gives NULL. One page is one
+    expression, so nothing is shuffled.
+    """
+    found = F.transform(_table_rows(text, table, (",", ""), "table", "tr"), lambda r: _inside(r, "t(?:d|h)"))
+    tables = rows.select(*keys, found.alias("found"))
+    body = F.slice("found", F.lit(2), F.greatest(F.size("found") - 1, F.lit(0)))
+    records = exploded(tables.select(*keys, F.get("found", F.lit(0)).alias("heads"), body.alias("body")),
+                       [*keys, "heads"], "body", "cells", "row_no")
+    return records.select(*keys, "row_no", *[
+        F.get("cells", F.array_position("heads", F.lit(name)).cast("int") - 1).alias(name) for name in names])
 
 
 def sheet_document(text: Column, row_tag: str = "row", cell_tag: str = "data") -> Column:

@@ -86,6 +86,31 @@ def test_deliveries_to_reports(spark, store, tmp_path):
     assert stored["_income_q4"].count() == 10
 
 
+def test_other_loaders(spark, store, tmp_path):
+    jobs.load_company(store, deliver(tmp_path, "co", {
+        "c.csv": "code,name,area,industry,outstanding,totals,holders\n1,平安,深圳,银行,1.5,2,3\n"}))
+    assert store.read("company").first()["industry"] == "银行"
+    folder = tmp_path / "classes"
+    folder.mkdir()
+    (folder / "c.csv").write_bytes("code,name,class_code,class_name,idst_code,idst_name\n1,平安,J,金融业,--,货币\n".encode("gbk"))
+    jobs.load_classes(store, str(folder))
+    (folder / "c.csv").write_bytes("code,name,class_code,class_name,idst_code,idst_name\n1,x,x,x,x,x\n2,万科,K,房地产,1,开发\n".encode("gbk"))
+    jobs.load_classes(store, str(folder))
+    assert sorted(tuple(r) for r in store.read("classes").select("code", "name", "idst_code").collect()) == [
+        ("1", "平安", "0"), ("2", "万科", "1")]
+    sheet = "t\nt\nt\n" + "\n".join(f"2018.04.06,{c},n,1,2,3,4,{r}" for c, r in ((600660, 9.5), (1, "n/a"), (2, 0.5)))
+    jobs.load_pledges(store, deliver(tmp_path, "p", {"p.csv": sheet}))
+    assert [r["code"] for r in store.read("pledges").orderBy(F.col("ratio_num").asc_nulls_last()).collect()] == ["2", "600660", "1"]
+    def page(*members):
+        return ("<table><tr><th>姓 名</th><th>职务</th><th>起止时间</th><th>持股数</th><th>报酬</th></tr>"
+                + "".join(f"<tr><td>{n}</td><td>{d}</td><td>2017</td><td>{s}</td><td>{p}</td></tr>" for n, d, s, p in members) + "</table>")
+    jobs.load_board_pages(store, deliver(tmp_path, "b", {
+        "dsh_1.html": page(("甲", "董事长", "1,000", "--"), ("甲", "董事", "5", "5")),
+        "ggc_1.html": page(("甲", "总经理", "7", "7"), ("乙", "经理", "--", "3.5"))}))
+    assert sorted((r["姓名"], r["职务"], float(r["持股数"]), float(r["报酬"])) for r in store.read("board").collect()) == [
+        ("乙", "经理", 0.0, 3.5), ("甲", "董事长", 1000.0, 0.0)]
+
+
 def test_views_by_name(spark):
     from quarterstone.sources.testtables import TestTables
     t = TestTables(spark, "/root/testdata/sf0.001")
