@@ -356,6 +356,7 @@ SELECT code, price, CAST(inserted AS VARCHAR) AS quoted,
 CASE WHEN inserted < DATE '2024-01-16' THEN '2024-01-15 21:10:00' ELSE '2024-01-30 21:10:00' END AS inserted,
 CASE WHEN inserted < DATE '2024-01-16' THEN '2024-01-15' ELSE '2024-01-30' END AS snapshot_day
 FROM quotes"""
+SQL["latest_snapshot_stored"] = SQL["snapshot_append"] + " WHERE inserted >= DATE '2024-01-16'"
 SQL["snapshot_append_stream"] = """SELECT event_id, user_id AS code, value AS price,
 CAST(CAST(ts AS DATE) AS VARCHAR) AS snapshot_day FROM events"""
 SQL["parse_quote_records"] = """SELECT user_id AS code, 'u' || user_id AS name, value AS price, value AS pe_ttm,

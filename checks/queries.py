@@ -149,8 +149,8 @@ def full_refresh(t):
     return t.spark.read.parquet(path)
 
 
-@query
-def snapshot_append(t):
+def _two_batches(t) -> DataFrame:
+    """Quotes appended to a stored table as two batches."""
     path = shared_dir(t.spark, "quotes")
     day = F.col("inserted")
     for in_batch, stamp in ((day < "2024-01-16", "2024-01-15 21:10:00"),
@@ -160,6 +160,17 @@ def snapshot_append(t):
     return t.spark.read.parquet(path)
 
 
+@query
+def snapshot_append(t):
+    return _two_batches(t)
+
+
+@query
+def latest_snapshot_stored(t):
+    """Only the newest day's partition is read."""
+    return snapshots.latest_snapshot(_two_batches(t))
+
+
 @query
 def snapshot_append_stream(t):
     path = shared_dir(t.spark, "quote-stream")

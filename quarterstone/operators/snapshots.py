@@ -20,7 +20,11 @@ def latest_snapshot(rows: DataFrame, stamps: DataFrame | None = None) -> DataFra
     Codes that are absent from the newest batch are not filled from older ones. The
     maximum is a scalar subquery, so nothing passes through the driver and the equality
     is evaluated at the scan. ``stamps`` may name a cheaper table with the same maximum.
+    In a table of ``append_snapshot`` only the newest day's partition is read.
     """
+    if "snapshot_day" in rows.columns:
+        last_day = rows.agg(F.max("snapshot_day")).scalar()
+        rows = rows.where(F.col("snapshot_day") == last_day)
     newest = (rows if stamps is None else stamps).agg(F.max("inserted"))
     return rows.where(F.col("inserted") == newest.scalar())
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import cache, cached_property
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +23,12 @@ class TestTables:
         self.spark = spark
         self.folder = folder
         self.stored_cells = stored_cells
+        self._frames: dict[tuple[str, ...], DataFrame] = {}
 
-    @cache  # noqa: B019 (one object per query)
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if ("table", name) not in self._frames:  # opening a table costs a look at its files
+            self._frames["table", name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._frames["table", name]
 
     # the inputs of the report catalog
     as_of = dt.date(2024, 6, 30)  # date of the consensus look-up
@@ -36,7 +38,6 @@ class TestTables:
         return self
 
     # ---- statements --------------------------------------------------------------
-    @cache  # noqa: B019
     def cells(self, *statements: str) -> DataFrame:
         """Sums per company and quarter. Partial sums keep a hot company off the shuffle."""
         if self.stored_cells:

@@ -125,6 +125,8 @@ def test_full_refresh_and_snapshots(spark):
     append_snapshot(batch.where("code = 2").withColumn("price", F.lit(0.5)), path)
     table = spark.read.parquet(path)
     assert table.count() == 4
+    scan = latest_snapshot(table)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_day" in scan and "(snapshot_day" in scan.split("PartitionFilters: [isnotnull(snapshot_day", 1)[1]
     newest = latest_snapshot(table)  # code 1 is missing from the newest batch and vanishes
     assert [(r["code"], r["price"]) for r in newest.collect()] == [(2, 0.5)]
 
