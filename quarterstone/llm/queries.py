@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterstone.llm import records
+from quarterstone.llm import records, simhash
 from quarterstone.llm.common import load
 from quarterstone.session import shared_dir
 
@@ -18,5 +18,9 @@ def op1_token_records(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "start", "n_tokens", "ids_crc32", "file", "offset", "length")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_records,)}
+def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_records, op7_simhash_near_duplicates)}
 SQL: dict[str, str] = {}
