@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterstone.llm import records, simhash
+from quarterstone.llm import pivots, records, simhash, topk
 from quarterstone.llm.common import load
 from quarterstone.session import shared_dir
 
@@ -18,9 +18,18 @@ def op1_token_records(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "start", "n_tokens", "ids_crc32", "file", "offset", "length")
 
 
+def op2_pivot_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.near_duplicates(load(spark, folder, "embeddings"))
+
+
 def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_records, op7_simhash_near_duplicates)}
+def op8_impact_ordered_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.nearest(load(spark, folder, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_records, op2_pivot_near_duplicates, op7_simhash_near_duplicates, op8_impact_ordered_top_k)}
 SQL: dict[str, str] = {}
