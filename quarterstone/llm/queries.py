@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterstone.llm import pivots, records, simhash, topk
+from quarterstone.llm import pivots, quality, records, simhash, topk, toxicity
 from quarterstone.llm.common import load
 from quarterstone.session import shared_dir
 
@@ -22,6 +22,14 @@ def op2_pivot_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return pivots.near_duplicates(load(spark, folder, "embeddings"))
 
 
+def op5_toxicity_machine(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
+def op6_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
 def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -31,5 +39,6 @@ def op8_impact_ordered_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_records, op2_pivot_near_duplicates, op7_simhash_near_duplicates, op8_impact_ordered_top_k)}
+    op1_token_records, op2_pivot_near_duplicates, op5_toxicity_machine, op6_quality_ranking,
+    op7_simhash_near_duplicates, op8_impact_ordered_top_k)}
 SQL: dict[str, str] = {}
