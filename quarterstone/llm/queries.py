@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarterstone.llm import pivots, quality, records, simhash, topk, toxicity
+from quarterstone.llm import lines, pivots, quality, records, simhash, topk, toxicity
 from quarterstone.llm.common import load
 from quarterstone.session import shared_dir
 
@@ -38,7 +39,12 @@ def op8_impact_ordered_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.nearest(load(spark, folder, "embeddings"))
 
 
+def op9_repeated_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return (lines.dedup_lines(load(spark, folder, "documents"))
+            .select("doc_id", "lines", F.size("removed").alias("n_removed"), "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_records, op2_pivot_near_duplicates, op5_toxicity_machine, op6_quality_ranking,
-    op7_simhash_near_duplicates, op8_impact_ordered_top_k)}
-SQL: dict[str, str] = {}
+    op7_simhash_near_duplicates, op8_impact_ordered_top_k, op9_repeated_line_runs)}
+SQL: dict[str, str] = {"op9_repeated_line_runs": lines.SQL}
