@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarterstone.llm.common import stored
+
 SIDE = ["block_low", "block_high", "block_second"]
 
 
@@ -23,7 +25,8 @@ def block_pairs(rows: DataFrame, bucket: list[str], member: str, size: int = 256
     stays small whatever the bucket's size, so that groups spread evenly over tasks. The result
     is dealt out and sorted by group.
     """
-    sizes = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("block_n")).filter("block_n > 1")
+    # written first: a join with a plain table may split a bucket's rows over tasks
+    sizes = stored(rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("block_n")).filter("block_n > 1"), "buckets")
     n = F.col("block_n")
     number = (F.when(n <= size * spread, F.ceil(n / size))
               .otherwise(F.greatest(F.lit(spread), F.ceil(n / largest))))
