@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterstone.llm import lines, pivots, quality, records, simhash, topk, toxicity
+from quarterstone.llm import lines, pivots, quality, records, simhash, topk, toxicity, unigram
 from quarterstone.llm.common import load
 from quarterstone.session import shared_dir
 
@@ -44,7 +44,18 @@ def op9_repeated_line_runs(spark: SparkSession, folder: str) -> DataFrame:
             .select("doc_id", "lines", F.size("removed").alias("n_removed"), "text"))
 
 
+def op10_unigram_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = load(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return unigram.decode(unigram.encode(docs, path), path).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids_crc32", F.length("decoded").alias("decoded_chars"),
+        (F.col("decoded") == F.col("text")).alias("lossless"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_records, op2_pivot_near_duplicates, op5_toxicity_machine, op6_quality_ranking,
-    op7_simhash_near_duplicates, op8_impact_ordered_top_k, op9_repeated_line_runs)}
+    op7_simhash_near_duplicates, op8_impact_ordered_top_k, op9_repeated_line_runs,
+    op10_unigram_pieces)}
 SQL: dict[str, str] = {"op9_repeated_line_runs": lines.SQL}
