@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterstone.llm import lines, mixing, pivots, quality, records, simhash, topk, toxicity, unigram
+from quarterstone.llm import lines, mixing, pages, pivots, quality, records, simhash, topk, toxicity, unigram
 from quarterstone.llm.common import load, stored
 from quarterstone.session import shared_dir
 
@@ -23,6 +23,10 @@ def op2_pivot_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return pivots.near_duplicates(load(spark, folder, "embeddings"))
 
 
+def op3_host_repeats_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.main_text(load(spark, folder, "pages"))
+
+
 def op4_mixture(spark: SparkSession, folder: str) -> DataFrame:
     rows = stored(mixing.sized(load(spark, folder, "documents")).select("doc_id", "source", "size", "_key"), "sizes")
     return mixing.mix(rows).select("doc_id", "size", "source_size", "target", "taken", "draws")
@@ -60,7 +64,7 @@ def op10_unigram_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_records, op2_pivot_near_duplicates, op4_mixture, op5_toxicity_machine, op6_quality_ranking,
+    op1_token_records, op2_pivot_near_duplicates, op3_host_repeats_main_text, op4_mixture, op5_toxicity_machine, op6_quality_ranking,
     op7_simhash_near_duplicates, op8_impact_ordered_top_k, op9_repeated_line_runs,
     op10_unigram_pieces)}
 SQL: dict[str, str] = {"op9_repeated_line_runs": lines.SQL}

@@ -20,9 +20,10 @@ from quarterstone.llm.common import drop_stored, stored
 
 
 def named(rows: DataFrame, by: list[str], place: str = "at") -> DataFrame:
-    """The rows whose ``by`` occurs more than once, with ``rank``, the smallest ``place`` among them.
-    Counted with map-side combination and written, so that the join may split a frequent key."""
-    groups = stored(rows.groupBy(*by).agg(F.min(place).alias("rank"), F.count(F.lit(1)).alias("_times"))
+    """The rows whose ``by`` occurs more than once, with ``rank``, the smallest ``place`` among them,
+    and ``apart``, whether they are in more than one sequence. Counted with map-side combination and written, so that the join may split a frequent key."""
+    groups = stored(rows.groupBy(*by).agg(F.min(place).alias("rank"), F.count(F.lit(1)).alias("_times"),
+                                          (F.min("seq") < F.max("seq")).alias("apart"))
                     .filter("_times > 1").drop("_times"), "ranks")
     return rows.join(groups, by)
 
@@ -35,34 +36,36 @@ def ahead(rows: DataFrame, by: int) -> DataFrame:
 
 def doubled(rows: DataFrame, length: int) -> DataFrame:
     """Ranks for ``2 * length`` elements from those for ``length`` (seq, pos, at, rank and more)."""
-    paired = stored(ahead(rows, length), "pairs")
+    paired = stored(ahead(rows.drop("apart"), length), "pairs")
     return named(paired.withColumnRenamed("rank", "first"), ["first", "next"])
 
 
-def repeated_windows(rows: DataFrame) -> DataFrame:
-    """The windows that have an earlier occurrence: seq, pos, length.
+def repeated_windows(rows: DataFrame, across: bool = False) -> DataFrame:
+    """The windows that have an earlier occurrence, or with ``across`` all those that occur in two
+    sequences or more: seq, pos, length.
 
     ``rows`` has one row per element: seq and pos (its place in its sequence), at (its place in the
     order of all elements), keys ``key1`` and ``key2`` that are equal for equal elements only, and
     ``lengths``, the lengths of the windows that begin there.
     """
-    level = stored(named(rows, ["key1", "key2"]).select("seq", "pos", "at", "rank", "lengths"), "level")
+    level = stored(named(rows, ["key1", "key2"]).select("seq", "pos", "at", "rank", "apart", "lengths"), "level")
     found, length = [], 1
+    counts = F.col("apart") if across else F.col("rank") < F.col("at")
     while True:
-        spans = (level.select("seq", "pos", "at", "rank", F.explode("lengths").alias("length"))
+        spans = (level.select("seq", "pos", "at", "rank", "apart", F.explode("lengths").alias("length"))
                  .filter((F.col("length") >= length) & (F.col("length") < 2 * length)))
         if length == 1:
-            found.append(spans.filter(F.col("rank") < F.col("at")).select("seq", "pos", "length"))
+            found.append(spans.filter(counts).select("seq", "pos", "length"))
         else:
             last = level.select("seq", F.col("pos").alias("last"), F.col("rank").alias("last_rank"))
             runs = stored(spans.withColumn("last", F.col("pos") + F.col("length") - length).join(last, ["seq", "last"])
                           .select("seq", "pos", "at", "length", F.col("rank").alias("first_rank"), "last_rank"), "runs")
-            found.append(stored(named(runs, ["length", "first_rank", "last_rank"]).filter(F.col("rank") < F.col("at"))
+            found.append(stored(named(runs, ["length", "first_rank", "last_rank"]).filter(counts)
                                 .select("seq", "pos", "length"), "found"))
         longer = level.filter(F.exists("lengths", lambda n: n >= 2 * length)).isEmpty()
         if longer:
             break
-        following = stored(doubled(level, length).select("seq", "pos", "at", "rank", "lengths"), "level")
+        following = stored(doubled(level, length).select("seq", "pos", "at", "rank", "apart", "lengths"), "level")
         if length > 1:
             drop_stored(level)
         level, length = following, 2 * length
