@@ -95,20 +95,28 @@ def simhashes(texts: list[str | None], width: int = 3, seed: int = 42) -> np.nda
     return fingerprints
 
 
-def _fingerprint_batches(batches, most=1 << 21):
-    for batch in batches:
-        prints, part, size = [np.zeros(0, np.uint64)], [], 0
-        for text in batch.column(1):
-            part.append(text.as_py())
-            size += len(part[-1] or "")
-            if size > most:
-                prints.append(simhashes(part))
-                part, size = [], 0
-        prints.append(simhashes(part))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(prints).view(np.int64))], ["doc_id", "fp"])
+def _fingerprint_batches(text: int, most: int = 1 << 21):
+    def run(batches):
+        for batch in batches:
+            prints, part, size = [np.zeros(0, np.uint64)], [], 0
+            for value in batch.column(text):
+                part.append(value.as_py())
+                size += len(part[-1] or "")
+                if size > most:
+                    prints.append(simhashes(part))
+                    part, size = [], 0
+            prints.append(simhashes(part))
+            fp = pa.array(np.concatenate(prints).view(np.int64))
+            kept = [k for k in range(batch.num_columns) if batch.schema.names[k] != "_printed_text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), fp], [*(batch.schema.names[k] for k in kept), "fp"])
+    return run
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and the fingerprint's 64 bits as a (signed) long, of whole texts; null text: zero."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        _fingerprint_batches, "doc_id long, fp long")
+def fingerprints(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """doc_id, or the columns ``keep``, and ``fp``: the fingerprint's 64 bits as a (signed) long, of
+    whole texts; null text: zero."""
+    if keep is None:
+        docs, keep = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), ["doc_id"]
+    rows = docs.select(*keep, F.col("text").alias("_printed_text"))
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.select(*keep).schema.fields)
+    return rows.mapInArrow(_fingerprint_batches(len(keep)), kinds + "fp long")

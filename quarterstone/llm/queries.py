@@ -63,8 +63,14 @@ def op10_unigram_pieces(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("decoded") == F.col("text")).alias("lossless"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_records, op2_pivot_near_duplicates, op3_host_repeats_main_text, op4_mixture, op5_toxicity_machine, op6_quality_ranking,
     op7_simhash_near_duplicates, op8_impact_ordered_top_k, op9_repeated_line_runs,
-    op10_unigram_pieces)}
+    op10_unigram_pieces, pipeline)}
 SQL: dict[str, str] = {"op9_repeated_line_runs": lines.SQL}

@@ -7,7 +7,8 @@ One record is, all integers little-endian:
     payload                      u32  masked CRC-32 of the payload
     one byte 0x0A
 
-and a payload is ``u8 has_id, i64 doc_id, u32 ids...``. The mask rotates the checksum right by
+and a payload is ``u8 has_id, u8 width, i64 doc_id`` and the ids in ``width`` (2 or 4) bytes each,
+2 where the whole vocabulary and the end id fit. The mask rotates the checksum right by
 15 bits and adds a constant, so that a checksum stored inside checksummed data stays harmless.
 Files are written through Spark's own committed text writer (a record's bytes are the line), so
 a lost executor or a repeated task leaves neither gaps nor repeated records, on any file system
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MASK = 0xA282EAD8
-HEAD, TAIL, ID = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<Bq")
+HEAD, TAIL, ID = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<BBq")
 END = b"\n"
 
 
@@ -37,14 +38,14 @@ def masked(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + MASK) & 0xFFFFFFFF
 
 
-def frame(doc_id: int | None, ids: bytes) -> bytes:
+def frame(doc_id: int | None, ids: bytes, width: int) -> bytes:
     """One record without its end byte."""
-    payload = ID.pack(doc_id is not None, doc_id or 0) + ids
+    payload = ID.pack(doc_id is not None, width, doc_id or 0) + ids
     size = struct.pack("<Q", len(payload))
     return size + TAIL.pack(masked(size)) + payload + TAIL.pack(masked(payload))
 
 
-def frames(content: bytes) -> Iterator[tuple[int, int, int | None, memoryview]]:
+def frames(content: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
     """(offset, length, doc_id, ids) of each record; raises on any damage."""
     at, view = 0, memoryview(content)
     while at < len(view):
@@ -55,9 +56,9 @@ def frames(content: bytes) -> Iterator[tuple[int, int, int | None, memoryview]]:
         payload = view[start:end]
         if len(payload) != size or TAIL.unpack_from(view, end)[0] != masked(payload):
             raise ValueError(f"record at {at}: payload checksum differs")
-        has_id, doc_id = ID.unpack_from(payload)
+        has_id, width, doc_id = ID.unpack_from(payload)
         end += TAIL.size + len(END)
-        yield at, end - at, doc_id if has_id else None, payload[ID.size:]
+        yield at, end - at, doc_id if has_id else None, np.frombuffer(payload[ID.size:], f"<u{width}").astype("<u4")
         at = end
 
 
@@ -72,7 +73,7 @@ class Encoder:
 
     RUN = r"(^|[\s\p{Z}\x{85}\x1c-\x1f\x0b]) "
 
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, end_id: int = 0, keep: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep, self.known = Tokenizer.from_file(path), keep, {}
@@ -81,32 +82,45 @@ class Encoder:
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # byte-level: one character of a token is one byte
             self.sizes[i] = len(added[i].encode()) if i in added else len(token)
+        self.width = 2 if max(len(self.sizes) - 1, end_id) < 1 << 16 else 4
+        self.end = end_id.to_bytes(self.width, "little")
+        self.marks = {mark: self.whole([mark])[0].tobytes() for mark in ".,"}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in
+        return [np.array(e.ids, f"<u{self.width}") for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def spaced(self, words: list[str]) -> list[bytes]:
-        """Ids of each word with a space before it."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.keep:
-            self.known, new = {}, words
+    def learn(self, words: list[str]) -> None:
+        """Remember the ids of each word with a space before it. A mark after Latin letters is a
+        piece of its own by the tokenizer's pattern, so such words share their letters' ids."""
+        bases = [w[:-1] if w[-1:] in self.marks and w[:-1].isalpha() and max(w) < "\u0250" else w for w in words]
+        new = list(dict.fromkeys(b for b in bases if b not in self.known))
         for start in range(0, len(new), 4096):
             part = new[start:start + 4096]
-            joined = " " + " ".join(part)
-            ids = self.whole([joined])[0]
+            ids = self.whole([" " + " ".join(part)])[0]
             ends = np.cumsum(self.sizes[ids])
             stops = np.cumsum([len(w.encode()) + 1 for w in part])
             cut = np.searchsorted(ends, stops) + 1
             if cut[-1] != len(ids) or not np.array_equal(ends[cut - 1], stops):
                 pieces = [p.tobytes() for p in self.whole([" " + w for w in part])]
             else:
-                raw, cut = ids.tobytes(), [0, *(4 * cut).tolist()]
+                raw, cut = ids.tobytes(), [0, *(self.width * cut).tolist()]
                 pieces = [raw[a:b] for a, b in zip(cut, cut[1:])]
             self.known.update(zip(part, pieces))
-        return [self.known[w] for w in words]
+        self.known.update((w, self.known[b] + self.marks[w[-1]]) for w, b in zip(words, bases) if w is not b)
+
+    def spaced(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, words))
+        new = [w for w, ids in zip(words, found) if ids is None]
+        if new:
+            if len(self.known) + len(new) > self.keep:
+                self.known, new = {}, words
+            self.learn(new)
+            found = list(map(self.known.__getitem__, words))
+        return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian integers of ``width`` bytes."""
         texts = texts.cast(pa.string())
         odd = pc.match_substring_regex(texts, self.RUN).to_numpy(zero_copy_only=False).astype(bool)
         out: list[bytes] = [b""] * len(texts)
@@ -120,36 +134,36 @@ class Encoder:
         coded = lists.flatten().dictionary_encode()
         codes = coded.indices.to_numpy().astype(np.int64)
         starts = np.asarray(lists.offsets)[:-1] - int(lists.offsets[0].as_py())
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary
         firsts, place = np.unique(codes[starts], return_inverse=True)
-        first_texts = [words[i] for i in firsts]
         others = np.ones(len(codes), bool)
         others[starts] = False
-        used = np.unique(codes[others])
-        table = [b""] * len(words)
-        for i, ids in zip(used, self.spaced([words[i] for i in used])):
-            table[i] = ids
+        used = np.flatnonzero(np.bincount(codes[others], minlength=len(words)))
+        table = np.empty(len(words) + len(firsts), object)
+        table[used] = np.array([*self.spaced(words.take(pa.array(used)).to_pylist()), None], object)[:-1]
+        table[len(words):] = np.array([*(p.tobytes() for p in self.whole(words.take(pa.array(firsts)).to_pylist())), None],
+                                      object)[:-1]
         codes[starts] = len(words) + place
-        table += [ids.tobytes() for ids in self.whole(first_texts)]
-        ends = np.append(starts[1:], len(codes))
-        table = np.array(table, dtype=object)
         joined = table[codes]
+        ends = np.append(starts[1:], len(codes))
         for row, a, b in zip(rows.tolist(), starts.tolist(), ends.tolist()):
             out[row] = b"".join(joined[a:b])
         return out
 
 
-def encode_batches(path: str, end_id: int, rows: int = 512):
-    end = struct.pack("<I", end_id)
-
+def encode_batches(path: str, end_id: int, most: int = 1 << 22):
     def run(batches):
-        encoder = Encoder(path)
+        encoder = Encoder(path, end_id)
         for batch in batches:
-            for start in range(0, batch.num_rows, rows):
-                part = batch.slice(start, rows)
-                ids = encoder.encode(part.column(1))
-                yield pa.RecordBatch.from_arrays([pa.array(
-                    [frame(d, x + end) for d, x in zip(part.column(0).to_pylist(), ids)], pa.binary())], ["frame"])
+            sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy())
+            start = 0
+            while start < batch.num_rows:  # a slice of about ``most`` bytes of text
+                stop = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + most)) + 1
+                part = batch.slice(start, stop - start)
+                frames_ = [frame(d, x + encoder.end, encoder.width)
+                           for d, x in zip(part.column(0).to_pylist(), encoder.encode(part.column(1)))]
+                yield pa.RecordBatch.from_arrays([pa.array(frames_, pa.binary())], ["frame"])
+                start = stop
     return run
 
 
@@ -178,8 +192,8 @@ def _index_batches(batches):
         for row in range(batch.num_rows):
             file, before, out = batch.column(0)[row].as_py(), 0, []
             for at, size, doc_id, ids in frames(batch.column(1)[row].as_py()):
-                n = len(ids) // 4
-                out.append((file, doc_id, at, size, n, before, zlib.crc32(ids)))
+                n = len(ids)
+                out.append((file, doc_id, at, size, n, before, zlib.crc32(ids.tobytes())))
                 before += n
             columns = list(zip(*out)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
@@ -225,7 +239,7 @@ def _pick_batches(batches):
             rows = []
             for place, at, size in zip(*(batch.column(2)[row].as_py()[k] for k in ("place", "offset", "length"))):
                 _, _, doc_id, ids = next(frames(content[at:at + size]))
-                rows.append((place, doc_id, np.frombuffer(ids, "<u4").astype(np.int64)))
+                rows.append((place, doc_id, ids.astype(np.int64)))
             columns = list(zip(*rows)) or [[]] * 3
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterstone.llm.blocks import SIDE, block_pairs, candidate_pairs, roots, whole_groups
@@ -141,6 +141,15 @@ def linked(prints: DataFrame, bits: int = 3) -> DataFrame:
     return block_pairs(rows, ["bucket"], "fp").mapInArrow(_link_batches(bits), "a long, b long")
 
 
+def _placed(marked: DataFrame, bits: int) -> DataFrame:
+    """(fp, component_id) for the fingerprints of ``marked`` (doc_id, fp)."""
+    prints = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
+    found = components(linked(prints, bits))
+    placed = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    return stored(placed.join(smallest, "component").select("fp", "component_id"), "placed")
+
+
 def near_duplicates(docs: DataFrame, bits: int = 3) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id
     that links reach), kept.
@@ -151,12 +160,20 @@ def near_duplicates(docs: DataFrame, bits: int = 3) -> DataFrame:
     holds for each of them; an empty table gives an empty result.
     """
     marked = stored(fingerprints(docs), "fingerprints")
-    prints = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = components(linked(prints, bits))
-    # the smallest document of a component, then of each fingerprint
-    placed = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_print = placed.join(smallest, "component").select("fp", "component_id")
-    return (marked.join(by_print, "fp")
+    return (marked.join(_placed(marked, bits), "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
                     F.equal_null("doc_id", "component_id").alias("kept")))
+
+
+def distinct(docs: DataFrame, bits: int = 3) -> DataFrame:
+    """The rows of ``docs``, one of each group of near-duplicates: that with the smallest doc_id, and
+    of rows that share it one with the smallest fingerprint, whichever of these repeats. Texts stay
+    where they are until the kept ids are known, then meet them in one join."""
+    marked = stored(fingerprints(docs), "fingerprints")
+    kept = stored(marked.join(_placed(marked, bits), "fp").filter(F.equal_null("doc_id", "component_id"))
+                  .groupBy("component_id").agg(F.min("fp").alias("fp"))
+                  .select(F.col("component_id").alias("_kept"), F.col("fp").alias("_fp")), "kept")
+    columns = docs.columns
+    rows = fingerprints(docs, columns).join(kept, F.equal_null("doc_id", "_kept") & (F.col("fp") == F.col("_fp")))
+    once = Window.partitionBy("_kept", "_fp").orderBy(F.lit(1))
+    return rows.withColumn("_copy", F.row_number().over(once)).filter("_copy = 1").select(*columns)
