@@ -6,7 +6,9 @@ rounded exactly with integers, because DuckDB divides decimals as doubles.
 
 from __future__ import annotations
 
-from quarterstone.sources.testformulas import EVIDENCE, HORIZON, INTERIM_FROM, INTERIM_RULE, ITEMS, MEASURES
+import re
+
+from quarterstone.sources.testformulas import FISCAL_MONTHS, ITEMS, MEASURES
 
 SQL: dict[str, str] = {}
 NAME = {"is": "ist", "bs": "bst", "cf": "cft"}
@@ -14,28 +16,23 @@ NAME = {"is": "ist", "bs": "bst", "cf": "cft"}
 # ---- statements ----------------------------------------------------------------------
 
 _SUMS = ",\n".join(f"sum(CAST({e} AS DECIMAL(18,4))) AS {m}" for m, e in MEASURES.items())
-_FLAGS = ",\n".join(f"count(*) FILTER (WHERE {e}) AS {s}_lines" for s, e in EVIDENCE.items())
 CELLS = f"""cells AS (
-SELECT l_suppkey AS code,
-strftime(last_day(make_date(year(l_shipdate), quarter(l_shipdate) * 3, 1)), '%Y-%m-%d') AS period,
-{_SUMS},
-{_FLAGS}
-FROM lineitem WHERE l_shipdate < TIMESTAMP '{HORIZON}'
-GROUP BY 1, 2
-HAVING min(year(l_shipdate)) < {INTERIM_FROM} OR count(*) FILTER (WHERE {INTERIM_RULE}) > 0)"""
+SELECT l_suppkey AS code, make_date(year(l_shipdate), quarter(l_shipdate) * 3, 1) AS month,
+{_SUMS}
+FROM lineitem GROUP BY 1, 2)"""
 
 
 def _statement(s: str) -> str:
     items = ", ".join(f"CAST({e} AS DECIMAL(20,4)) AS {i}" for i, e in ITEMS[s].items())
-    return (f"{NAME[s]} AS (SELECT code, period, {items} FROM cells WHERE {s}_lines > 0),\n"
+    label = f"strftime(last_day(month + to_months(CAST({FISCAL_MONTHS[s]} AS INTEGER))), '%Y-%m-%d')"
+    return (f"{NAME[s]} AS (SELECT code, {label} AS period, {items} FROM cells),\n"
             f"{NAME[s]}d AS (SELECT code, max(period) AS rp FROM {NAME[s]} GROUP BY code)")
 
 
 BASE = ",\n".join([CELLS] + [_statement(s) for s in NAME])
 COMPANY = """company AS (SELECT s_suppkey AS code, s_name AS name, r_name AS area, n_name AS industry,
 s_acctbal AS outstanding, s_acctbal * 2 AS totals, CAST(s_nationkey AS DOUBLE) AS holders
-FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE s_acctbal >= 0)"""
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
 def q4(date: str, n: int) -> str:
@@ -118,8 +115,13 @@ class Report:
 PLANS: dict[str, str] = {}  # internal relations as SELECTs over BASE
 
 
+HEADS: dict[str, dict[str, bool]] = {}  # columns of the internal relations, and whether they hold text
+
+
 def _internal(key: str, r: Report) -> None:
     PLANS[key] = r.select()
+    HEADS[key] = {"股票代码": False} | {re.search('AS "(.*)"$', c).group(1): not c.startswith("CAST(") or " AS DOUBLE) AS " not in c
+                                    for c in r.columns}
     SQL[key] = f"WITH {BASE}\n{PLANS[key]}"
 
 
@@ -250,10 +252,20 @@ SQL["base_income_q4_fixed"] = f"WITH {BASE}\n{_income_years(True)}"
 # ---- public reports ------------------------------------------------------------------
 
 
+# Order of the leading columns where it is not code, name, idst, area, rp; fixed values.
+ORDER = {
+    "cashflows_q4": "code name rp idst area", "cog_q4": "code name rp idst area",
+    "cost_mrqa": "code name area idst rp", "cost_q4a": "code name area idst rp",
+    "pg_yoy_q4": "code rp name idst area", "rg_yoy_q4": "code rp name idst area",
+}
+
+
 def _public(key: str, base: str, label: str, values: dict[str, str]) -> None:
+    heads = {"code": "a.code", "name": "a.name", "idst": "a.industry AS idst", "area": "a.area", "rp": f'b."{label}" AS rp'}
+    first = ", ".join(heads[h] for h in ORDER.get(key, "code name idst area rp").split())
     columns = ",\n".join(f"CAST({e} AS DOUBLE) AS {name}" for name, e in values.items())
     SQL[key] = (f"WITH {BASE},\n{COMPANY},\nb AS ({PLANS[base]})\n"
-                f'SELECT a.code, a.name, a.industry AS idst, a.area, b."{label}" AS rp, {columns}\n'
+                f'SELECT {first}, {columns}\n'
                 f'FROM b JOIN company a ON a.code = b."股票代码"')
 
 
@@ -422,7 +434,13 @@ def _long(*statements: str) -> str:
 
 
 SQL["src_statement_files"] = f"WITH {BASE}\n{_long('is', 'bs', 'cf')}"
-SQL["src_statement_folder"] = f"WITH {BASE}\n{_long('is')}"
+SQL["src_statement_folder"] = SQL["src_statement_files"]
+_most = max(len(items) for items in ITEMS.values())
+SQL["load_statements_job"] = f"WITH {BASE}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{s}' AS statement, d.code, d.rp, a.period, " + ", ".join(
+        f"CAST({'a.' + [*STATEMENTS[s]][i] if i < len(STATEMENTS[s]) else 'NULL'} AS DOUBLE) AS v{i}" for i in range(_most))
+    + f" FROM {NAME[s]}d d JOIN {NAME[s]} a ON a.code = d.code" for s in STATEMENTS)
+SQL["replace_table"] = "SELECT c_custkey, c_name FROM customer"
 SQL["stmt_document"] = f"""WITH {BASE}, long AS ({_long('is', 'bs', 'cf')}),
 tops AS (SELECT statement, code, max(period) AS rp FROM long GROUP BY ALL)
 SELECT l.statement, l.code, t.rp, l.item, CAST(count(*) AS INTEGER) AS n_periods,
@@ -441,7 +459,9 @@ SQL["incremental_antijoin"] = """SELECT c_custkey AS code, c_name AS name, c_mkt
 CASE WHEN c_acctbal < 0 THEN 'cached' ELSE 'listed' END AS origin FROM customer"""
 SQL["csv_cache_gbk"] = """SELECT c_custkey AS code, c_name AS name, c_mktsegment[1:1] AS class_code,
 '行业' || c_mktsegment AS class_name, CAST(c_nationkey AS VARCHAR) AS idst_code,
-'门类' || c_nationkey AS idst_name FROM customer"""
+'门类' || c_nationkey AS idst_name,
+CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS pe, CAST(CAST(c_acctbal AS DECIMAL(18,2)) + 1 AS VARCHAR) AS pe_ttm,
+CAST(CAST(c_acctbal AS DECIMAL(18,2)) + 2 AS VARCHAR) AS pb, CAST(CAST(c_acctbal AS DECIMAL(18,2)) + 3 AS VARCHAR) AS dpr FROM customer"""
 SQL["pledge_ranked"] = """SELECT '2018.04.06' AS date, CAST(c_custkey AS VARCHAR) AS code, c_name AS name,
 CAST(c_nationkey AS VARCHAR) AS stroke_nu, CASE WHEN c_acctbal < 0 THEN '--' ELSE CAST(c_acctbal AS VARCHAR) END AS am_u,
 CAST(c_acctbal AS VARCHAR) AS am_l, c_acctbal || ' x' AS shares,
@@ -464,28 +484,38 @@ _fields = ["method", "inshare", "divmethod", "amounts", "dps", "dpr", "eps", "rp
 SQL["feed_dividends"] = f"""SELECT CAST(o_custkey AS VARCHAR) AS code, o_orderpriority AS name,
 {", ".join(f"'f{i}-' || o_orderkey AS {f}" for i, f in enumerate(_fields) if f not in ("inshare", "divmethod", "pdate"))}
 FROM orders {_twice}"""
-SQL["refresh_reports"] = f"WITH {BASE}\n" + "\nUNION ALL\n".join(
-    f"""SELECT '{name}' AS report, count(*) AS n_rows, CAST(sum("股票代码") AS BIGINT) AS sum_codes, max("{label}") AS last_period,
-CAST(sum(CAST("{first}" AS DECIMAL(24,4))) AS DOUBLE) AS sum_first_value FROM ({PLANS[key]})"""
-    for name, key, label, first in (
-        ("_cashflows_q4", "base_cashflows_q4", "最新年报", "三年净利润"),
-        ("_cog_q4a", "base_cog_q4a", "最新年报", "净利润"),
-        ("_cost_mrq", "base_cost_mrq", "报告期", "营业总收入"),
-        ("_cost_q4a", "base_cost_q4a", "报告期", "营业总收入"),
-        ("_growth_report_mrq", "base_growth_mrq", "报告期", "营收同比"),
-        ("_growth_report_q4", "base_growth_q4", "最新年报", "营收同比"),
-        ("_income_mrqa", "base_income_mrqa", "报告期", "营业总收入"),
-        ("_income_q4", "base_income_q4", "报告期", "营业总收入"),
-        ("_income_q4a", "base_income_q4a", "报告期", "营业总收入"),
-        ("_pg_yoy_mrq", "base_pg_yoy_mrq", "报告期", "净利同比(mrq)"),
-        ("_pg_yoy_q4", "base_pg_yoy_q4", "最新年报", "净利同比(q4)"),
-        ("_rg_yoy_mrq", "base_rg_yoy_mrq", "报告期", "营收同比(mrq)"),
-        ("_rg_yoy_q4", "base_rg_yoy_q4", "最新年报", "营收同比(q4)"),
-        ("_roa_q4", "base_roa_q4", "最新年报", "资产收益率"),
-        ("_roe_mrq", "base_roe_mrq", "报告期", "净资产收益率"),
-        ("_roe_q4", "base_roe_q4", "最新年报", "净资产收益率"),
-        ("_s_mrqa", "base_scale_mrqa", "最新季报", "流动资产"),
-        ("_s_q4a", "base_scale_q4a", "最新年报", "流动资产")))
+HEADS["base_income_q4"] = {"股票代码": False, "报告期": True} | dict.fromkeys(INCOME_HEADS.values(), False)
+
+
+def _column_sums(name: str, key: str) -> str:
+    rows = [f"""SELECT '{name}' AS report, '{head}' AS head, count(*) AS n_rows, count("{head}") AS n_values,
+{'CAST(NULL AS DOUBLE)' if text else f'CAST(sum(CAST("{head}" AS DECIMAL(24,4))) AS DOUBLE)'} AS total,
+{f'max("{head}")' if text else 'CAST(NULL AS VARCHAR)'} AS largest FROM {key}""" for head, text in HEADS[key].items()]
+    return "\nUNION ALL\n".join(rows)
+
+
+_stored = {
+    "_cashflows_q4": "base_cashflows_q4",
+    "_cog_q4a": "base_cog_q4a",
+    "_cost_mrq": "base_cost_mrq",
+    "_cost_q4a": "base_cost_q4a",
+    "_growth_report_mrq": "base_growth_mrq",
+    "_growth_report_q4": "base_growth_q4",
+    "_income_mrqa": "base_income_mrqa",
+    "_income_q4": "base_income_q4",
+    "_income_q4a": "base_income_q4a",
+    "_pg_yoy_mrq": "base_pg_yoy_mrq",
+    "_pg_yoy_q4": "base_pg_yoy_q4",
+    "_rg_yoy_mrq": "base_rg_yoy_mrq",
+    "_rg_yoy_q4": "base_rg_yoy_q4",
+    "_roa_q4": "base_roa_q4",
+    "_roe_mrq": "base_roe_mrq",
+    "_roe_q4": "base_roe_q4",
+    "_s_mrqa": "base_scale_mrqa",
+    "_s_q4a": "base_scale_q4a",
+}
+SQL["refresh_reports"] = (f"WITH {BASE},\n" + ",\n".join(f"{key} AS MATERIALIZED ({PLANS[key]})" for key in _stored.values())
+                          + "\n" + "\nUNION ALL\n".join(_column_sums(name, key) for name, key in _stored.items()))
 
 # ---- markup and text -----------------------------------------------------------------
 
@@ -572,8 +602,8 @@ SQL["stale_reports"] = """SELECT code, strftime(c_date, '%Y-%m-%d') AS c_date, C
 FROM (SELECT o_custkey AS code, CAST(max(o_orderdate) AS DATE) AS c_date FROM orders GROUP BY o_custkey)
 WHERE DATE '2001-08-01' - c_date >= 90"""
 _expected = f"""WITH {BASE},\n{COMPANY},
-expected AS (SELECT code, s AS statement FROM company CROSS JOIN (VALUES ('bs'), ('is'), ('cf')) AS k(s)),
-present AS ({' UNION ALL '.join(f"SELECT code, '{s}' AS statement FROM {NAME[s]} WHERE period = '2000-12-31'" for s in NAME)})"""
+expected AS (SELECT code, s AS statement FROM (SELECT code FROM company UNION SELECT c_custkey FROM customer) CROSS JOIN (VALUES ('bs'), ('is'), ('cf')) AS k(s)),
+present AS ({' UNION ALL '.join(f"SELECT DISTINCT code, '{s}' AS statement FROM {NAME[s]}" for s in NAME)})"""
 SQL["missing_statements"] = f"{_expected}\nSELECT code, statement FROM expected EXCEPT SELECT code, statement FROM present"
 SQL["load_progress"] = f"""{_expected}
 SELECT count(p.code) AS loaded, count(*) AS total

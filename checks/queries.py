@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterstone import jobs
 from quarterstone.functions import (
     any_q4, eofm, exchange_prefix, exchange_suffix, norm_code, pub_date, ratio, register_functions)
 from quarterstone.operators import keyed, snapshots
 from quarterstone.operators.statements import Lookup, report
 from quarterstone.plans import board, catalog, company, income, quality
-from quarterstone.plans.items import INCOME
+from quarterstone.plans.items import INCOME, STATEMENTS
 from quarterstone.session import shared_dir
 from quarterstone.sources import cleaning, feeds, markup, quotes, statement_files, tables
 from quarterstone.sources.testtables import TestTables
@@ -22,7 +24,6 @@ from quarterstone.streaming.quotes import append_stream, read_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOAD_CHECK = dt.date(2001, 8, 1)  # date of the staleness check
-CHECKED_PERIOD = "2000-12-31"
 
 # Query key -> relation name.
 RELATIONS = {
@@ -81,11 +82,7 @@ QUERIES.update({key: _relation(name) for key, name in RELATIONS.items()})
 
 @query
 def base_income_q4_fixed(t):
-    return income.income_years(t, fix_investment=True)
-
-
-def _buckets(t) -> int:
-    return int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return income.income_years(t.statements, fix_investment=True)
 
 
 # ---- sources and sinks ---------------------------------------------------------------
@@ -97,15 +94,52 @@ def src_statement_files(t):
 
 @query
 def src_statement_folder(t):
-    """One file per company and statement is written, then the folder is scanned."""
+    """One file per company and statement is written, and a foreign one for each company; then
+    the folder is scanned."""
     path = shared_dir(t.spark, "reports")
-    files = t.report_texts("is").withColumnRenamed("content", "value")
-    # the text source ends a line with \n; the report keeps \r\n between its own lines
-    files.repartition("file").write.partitionBy("file").text(path)
+    _write_reports(t, path)
     found = statement_files.read_statement_folder(t.spark, path)
     return statement_files.report_cells(found)
 
 
+def _write_reports(t, path: str) -> None:
+    files = t.report_texts("is", "bs", "cf").withColumnRenamed("content", "value")
+    foreign = t.company.select(F.concat(F.lit("notes_"), F.format_string("%06d", "code"), F.lit(".csv")).alias("file"),
+                               F.col("name").alias("value"))
+    stray = t.company.select(F.concat(F.lit("is_n"), F.format_string("%05d", "code"), F.lit(".csv")).alias("file"),
+                             F.lit("<!DOCTYPE html><p>not found</p>").alias("value"))
+    # the text source ends a line with \n; the report keeps \r\n between its own lines
+    (files.unionByName(foreign).unionByName(stray).repartition("file").write.partitionBy("file").text(path))
+
+
+@query
+def load_statements_job(t):
+    """The load job over a folder with foreign files and error pages, twice; then the stored documents."""
+    path = shared_dir(t.spark, "delivery")
+    _write_reports(t, f"{path}/reports")
+    store = jobs.Store(t.spark, f"{path}/store")
+    for _ in range(2):
+        jobs.load_statements(store, f"{path}/reports")
+    rows = None
+    for s, items in STATEMENTS.items():
+        docs = store.read(f"statements_{s}")
+        part = docs.select(F.lit(s).alias("statement"), "code", "rp", F.explode("data").alias("e")).select(
+            "statement", "code", "rp", F.col("e.period").alias("period"), *[
+                F.lit(None).cast("double").alias(f"v{i}") if i >= len(items) else F.col(f"e.{list(items)[i]}").cast("double").alias(f"v{i}")
+                for i in range(max(map(len, STATEMENTS.values())))])
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+@query
+def replace_table(t):
+    """A table is replaced by another with other columns, and read back."""
+    name = f"replaced_{uuid.uuid4().hex}"
+    tables.replace_table(t.table("region"), name)
+    tables.replace_table(t.table("customer").select("c_custkey", "c_name"), name)
+    return t.spark.table(name)
+
+
 @query
 def stmt_document(t):
     """Straight from report files, without a shuffle."""
@@ -142,33 +176,32 @@ def upsert_by_key(t):
 
 @query
 def full_refresh(t):
-    path = shared_dir(t.spark, "companies")
-    old = company.dim_company(t.company).withColumn("name", F.lower("name"))
-    keyed.write_snapshot(old, path)
-    keyed.write_snapshot(company.dim_company(t.company), path)
-    return t.spark.read.parquet(path)
+    store = jobs.Store(t.spark, shared_dir(t.spark, "companies"))
+    store.publish("company", company.dim_company(t.company).withColumn("name", F.lower("name")))
+    store.publish("company", company.dim_company(t.company))
+    return store.read("company")
 
 
-def _two_batches(t) -> DataFrame:
-    """Quotes appended to a stored table as two batches."""
+def _two_batches(t) -> str:
+    """Quotes appended to a stored table as two batches; its folder."""
     path = shared_dir(t.spark, "quotes")
     day = F.col("inserted")
     for in_batch, stamp in ((day < "2024-01-16", "2024-01-15 21:10:00"),
                             (day >= "2024-01-16", "2024-01-30 21:10:00")):
         rows = t.quotes.where(in_batch).select("code", "price", day.cast("string").alias("quoted"))
         snapshots.append_snapshot(rows, path, F.lit(stamp))
-    return t.spark.read.parquet(path)
+    return path
 
 
 @query
 def snapshot_append(t):
-    return _two_batches(t)
+    return t.spark.read.parquet(_two_batches(t))
 
 
 @query
 def latest_snapshot_stored(t):
     """Only the newest day's partition is read."""
-    return snapshots.latest_snapshot(_two_batches(t))
+    return snapshots.latest_snapshot(snapshots.newest_day(t.spark, _two_batches(t)))
 
 
 @query
@@ -200,9 +233,10 @@ def csv_cache_gbk(t):
         F.substring("c_mktsegment", 1, 1).alias("class_code"),
         F.concat(F.lit("行业"), "c_mktsegment").alias("class_name"),
         F.col("c_nationkey").cast("string").alias("idst_code"),
-        F.concat(F.lit("门类"), F.col("c_nationkey").cast("string")).alias("idst_name"))
+        F.concat(F.lit("门类"), F.col("c_nationkey").cast("string")).alias("idst_name"),
+        *[(F.col("c_acctbal").cast("decimal(18,2)") + i).cast("decimal(18,2)").cast("string").alias(c) for i, c in enumerate(("pe", "pe_ttm", "pb", "dpr"))])
     tables.write_csv_cache(rows, path)
-    schema = "code BIGINT, " + ", ".join(f"{c} STRING" for c in tables.CLASS_COLUMNS[1:])
+    schema = "code BIGINT, " + ", ".join(f"{c} STRING" for c in tables.CACHE_COLUMNS[1:])
     return tables.read_csv_cache(t.spark, path, schema)
 
 
@@ -239,19 +273,17 @@ def pledge_ranked(t):
 
 @query
 def refresh_reports(t):
-    path = shared_dir(t.spark, "reports")
-    stored = t.with_stored_cells(f"{path}/cells")
-    documents = {s: stored.documents(s) for s in ("is", "bs", "cf")}
-    source = catalog.store_statements(t.spark, documents, f"{path}/statements", _buckets(t))
-    tables_ = catalog.refresh_reports(t.spark, source, f"{path}/reports")
-    result = None
-    for name, rows in tables_.items():
-        code, label = rows.columns[:2]
-        part = rows.agg(F.count("*").alias("n_rows"), F.sum(code).alias("sum_codes"),
-                        F.max(label).alias("last_period"),
-                        F.sum(F.col(f"`{rows.columns[2]}`")).alias("sum_first_value"))
-        part = part.select(F.lit(name).alias("report"), "*").withColumn(
-            "sum_first_value", F.col("sum_first_value").cast("double"))
+    """All stored reports are written and read back; every column of each is summed up."""
+    store, result = jobs.Store(t.spark, shared_dir(t.spark, "reports")), None
+    for name, rows in catalog.refresh_reports(t.spark, t.statements, store.replaced).items():
+        columns = []
+        for head, kind in rows.dtypes:
+            column, text = F.col(f"`{head}`"), kind == "string"
+            total = F.lit(None).cast("double") if text else F.sum(column.cast("decimal(24,4)")).cast("double")
+            columns.append(F.struct(F.lit(name).alias("report"), F.lit(head).alias("head"), F.count("*").alias("n_rows"),
+                                    F.count(column).alias("n_values"), total.alias("total"),
+                                    (F.max(column) if text else F.lit(None).cast("string")).alias("largest")))
+        part = rows.agg(F.array(*columns).alias("c")).select(F.explode("c").alias("c")).select("c.*")
         result = part if result is None else result.unionByName(part)
     return result
 
@@ -437,7 +469,7 @@ def sql_over_views(t):
 
 @query
 def json_lookup(t):
-    docs = statement_files.nested_documents(t.long_cells({"is": ["total_revenue", "net_profit"]}))
+    docs = statement_files.nested_documents(t.long_cells()).where(F.col("statement") == "is")
     stored = docs.select("code", "rp", F.to_json("data").alias("data"))
     parsed = statement_files.parse_documents(stored)
     at = statement_files.document_value
@@ -457,18 +489,19 @@ def stale_reports(t):
     return quality.stale_reports(loads, LOAD_CHECK)
 
 
-def _present(t):
-    return t.present().where(F.col("period") == CHECKED_PERIOD)
+def _listed(t):
+    """Suppliers and customers as one listing; only the former have statements."""
+    return t.company.select("code").union(t.table("customer").select("c_custkey")).distinct()
 
 
 @query
 def missing_statements(t):
-    return quality.missing_statements(t.company, _present(t))
+    return quality.missing_statements(_listed(t), t.present())
 
 
 @query
 def load_progress(t):
-    return quality.load_progress(t.company, _present(t))
+    return quality.load_progress(_listed(t), t.present())
 
 
 @query
@@ -485,14 +518,11 @@ def latest_snapshot(t):
 def join_three_statements(t):
     """Documents are stored bucketed by code, as a deployment keeps them, and then joined."""
     wanted = {"is": "net_profit", "bs": "total_assets", "cf": "operating_cash"}
-    path = shared_dir(t.spark, "statements")
-    cells = t.with_stored_cells(f"{path}/cells")
-    source = catalog.store_statements(t.spark, {s: cells.documents(s) for s in wanted}, path, _buckets(t))
 
     def columns(lk: Lookup):
         return ["code", *[lk.rp(s).alias(f"{s}_rp") for s in wanted],
                 *[lk.value(s, item, lk.latest(s)).alias(item) for s, item in wanted.items()]]
-    return report(source, columns)
+    return report(t.statements, columns)
 
 
 @query

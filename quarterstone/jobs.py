@@ -12,22 +12,27 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import hashlib
+import re
 import time
 import uuid
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterstone.functions import exploded
-from quarterstone.operators.keyed import append_new_keys, upsert_by_key
-from quarterstone.operators.snapshots import append_snapshot, open_day_rows
+from quarterstone.operators.keyed import append_new_keys, keep_first, upsert_by_key
+from quarterstone.operators.snapshots import newest_day, open_day_rows, replace_day
 from quarterstone.operators.statements import DocumentSource
-from quarterstone.plans import catalog
+from quarterstone.plans import catalog, quality
 from quarterstone.plans.board import board_all, members_from_pages
 from quarterstone.plans.company import dim_company
 from quarterstone.plans.items import STATEMENTS
 from quarterstone.session import build_session
-from quarterstone.sources import cleaning, markup, quotes, statement_files, tables
+from quarterstone.sources import cleaning, feeds, markup, quotes, statement_files, tables
 
 
 class Store:
@@ -51,42 +56,85 @@ class Store:
         return None
 
     def read(self, name: str) -> DataFrame | None:
+        """The newest version; a bucketed one as a table that keeps its buckets."""
         newest = self._newest(name)
-        return None if newest is None else self.spark.read.parquet(newest)
-
-    def publish(self, name: str, rows: DataFrame) -> None:
-        """Full refresh as a new version; it counts once Spark has committed it."""
-        rows.write.parquet(f"{self.root}/{name}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
-
-    def upsert(self, name: str, rows: DataFrame, key: str = "code") -> None:
+        buckets = newest and re.search(r"-b(\d+)$", newest)
+        if not buckets:
+            return None if newest is None else self.spark.read.parquet(newest)
+        table = self._table(newest)
+        if not self.spark.catalog.tableExists(table):
+            columns = self.spark.read.parquet(newest)._jdf.schema().toDDL()
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (code) SORTED BY (code) "
+                           f"INTO {buckets.group(1)} BUCKETS LOCATION '{newest}'")
+        return self.spark.table(table)
+
+    def need(self, name: str) -> DataFrame:
+        rows = self.read(name)
+        if rows is None:
+            raise LookupError(f"the store has no {name!r} yet; load it first")
+        return rows
+
+    @staticmethod
+    def _table(path: str) -> str:
+        return "stored_" + hashlib.md5(path.encode()).hexdigest()
+
+    def publish(self, name: str, rows: DataFrame, bucketed: bool = False) -> None:
+        """Full refresh as a new version; it counts once Spark has committed it. ``bucketed``: by code."""
+        path = f"{self.root}/{name}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        if bucketed:
+            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            path = f"{path}-b{buckets}"
+            statement_files.store_documents(rows, self._table(path), buckets, path)
+        else:
+            rows.write.parquet(path)
+
+    def replaced(self, name: str, rows: DataFrame) -> DataFrame:
+        self.publish(name, rows)
+        return self.need(name)
+
+    def upsert(self, name: str, rows: DataFrame, key: str = "code", bucketed: bool = False) -> None:
         stored = self.read(name)
-        self.publish(name, rows if stored is None else upsert_by_key(stored, rows, key))
+        self.publish(name, rows if stored is None else upsert_by_key(stored, rows, key), bucketed)
+
+    def reject(self, name: str, rows: DataFrame) -> None:
+        """Keep rejected payloads with their reason beside the store's tables."""
+        rows.withColumn("rejected", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/rejects_{name}")
 
 
 def load_statements(store: Store, files: str) -> None:
-    """Report files replace the documents of their companies."""
-    reports = statement_files.read_statement_folder(store.spark, files)
-    clean = reports.withColumn("content", cleaning.clean_report(F.col("content")))
+    """Report files replace the documents of their companies; of several files for one company the
+    newest counts. Error pages and malformed reports go to ``rejects_statements`` with the reason and
+    change nothing."""
+    found = statement_files.read_statement_folder(store.spark, files)
+    judged = statement_files.judged_reports(found)
+    usable = statement_files.newest_reports(judged.where(F.col("verdict") == "ok").drop("verdict"))
     for statement in STATEMENTS:
-        own = statement_files.file_documents(clean.where(F.col("statement") == statement))
+        own = statement_files.file_documents(usable.where(F.col("statement") == statement))
         documents = statement_files.lookup_form(own, statement).drop("statement")
-        store.upsert(f"statements_{statement}", documents.withColumn("c_date", F.current_timestamp()))
+        store.upsert(f"statements_{statement}", documents.withColumn("c_date", F.current_timestamp()), bucketed=True)
+    store.reject("statements", judged.where(F.col("verdict") != "ok"))
 
 
 def load_sheets(store: Store, name: str, files: str) -> None:
-    """Consensus or survey sheets (``<code>.xls`` text files) replace their documents."""
+    """Consensus or survey sheets (``<code>.xls`` text files) replace their documents. Error pages and
+    files without a code in their name are rejected; of several sheets of a code the newest counts."""
     sheets = (store.spark.read.option("recursiveFileLookup", True).text(files, wholetext=True)
-              .withColumn("code", F.regexp_extract("_metadata.file_name", r"(\d+)", 1).cast("bigint")))
-    usable = sheets.where(~F.contains("value", F.lit(cleaning.HTML_PAGE)))
+              .select("value", F.regexp_extract("_metadata.file_name", r"(\d+)", 1).try_cast("bigint").alias("code"),
+                      F.col("_metadata.file_modification_time").alias("loaded")))
+    verdict = (F.when(F.contains("value", F.lit(cleaning.HTML_PAGE)), "html").when(F.col("code").isNull(), "code").otherwise("ok"))
+    judged = sheets.withColumn("verdict", verdict)
+    usable = keep_first(judged.where(F.col("verdict") == "ok"), ["code"], [-F.unix_micros("loaded"), F.xxhash64("value")])
     store.upsert(name, usable.select("code", markup.sheet_document(F.col("value")).alias("data")))
+    store.reject(name, judged.where(F.col("verdict") != "ok"))
 
 
 def append_quotes(store: Store, files: str, day: dt.date, calendar: DataFrame | None = None) -> None:
-    """One quote snapshot; nothing is appended on a day the calendar does not open."""
+    """One quote snapshot; nothing is written on a day the calendar does not open, and a repeated run
+    replaces the day's own rows."""
     rows = quotes.parse_quote_records(store.spark.read.text(files), "value")
     if calendar is not None:
         rows = open_day_rows(rows, calendar, F.lit(day))
-    append_snapshot(rows, f"{store.root}/quotes")
+    replace_day(rows, f"{store.root}/quotes", day)
 
 
 def load_board(store: Store, members: DataFrame) -> None:
@@ -97,9 +145,9 @@ def load_board_pages(store: Store, files: str) -> None:
     """Pages named ``<list>_<code>.html`` replace the boards of their companies."""
     pages = store.spark.read.option("recursiveFileLookup", True).text(files, wholetext=True)
     name = F.col("_metadata.file_name")
-    load_board(store, members_from_pages(pages.select(
-        F.regexp_extract(name, r"^([a-z]+)_(\d+)", 1).alias("list"),
-        F.regexp_extract(name, r"^([a-z]+)_(\d+)", 2).cast("bigint").alias("code"), F.col("value").alias("html"))))
+    named = pages.select(F.regexp_extract(name, r"^([a-z]+)_(\d+)", 1).alias("list"),
+                         F.regexp_extract(name, r"^([a-z]+)_(\d+)", 2).try_cast("bigint").alias("code"), F.col("value").alias("html"))
+    load_board(store, members_from_pages(named.where(F.col("code").isNotNull())))
 
 
 def load_company(store: Store, files: str) -> None:
@@ -111,11 +159,31 @@ def load_company(store: Store, files: str) -> None:
 
 
 def load_classes(store: Store, files: str) -> None:
-    """Industry classes of companies that are not stored yet are added."""
-    schema = ", ".join(f"{c} STRING" for c in tables.CLASS_COLUMNS)
+    """Industry classes of companies that are not stored yet are added; codes compare as numbers. The
+    cache keeps all delivered columns, the table of classes the first ones."""
+    schema = "code BIGINT, " + ", ".join(f"{c} STRING" for c in tables.CACHE_COLUMNS[1:])
     listing = cleaning.zero_marks(tables.read_csv_cache(store.spark, files, schema))
-    stored = store.read("classes")
-    store.publish("classes", listing if stored is None else append_new_keys(stored, listing, "code"))
+    stored = store.read("class_cache")
+    store.publish("class_cache", listing if stored is None else append_new_keys(stored, listing, "code"))
+    store.publish("classes", store.need("class_cache").select(*tables.CLASS_COLUMNS))
+
+
+def load_feed(store: Store, kind: str, files: str) -> None:
+    """Corporate-action feeds (one JSON payload a file) replace the table of their kind."""
+    payloads = store.spark.read.option("recursiveFileLookup", True).text(files, wholetext=True).select(F.col("value").alias("payload"))
+    store.publish(f"feed_{kind}", FEEDS[kind](payloads))
+
+
+def load_checks(store: Store, as_of: dt.date) -> None:
+    """What is stale, what is missing, and how much is loaded, as tables of the store."""
+    loads = None
+    for s in STATEMENTS:
+        part = store.need(f"statements_{s}").select(F.lit(s).alias("statement"), "code", "rp", F.to_date("c_date").alias("c_date"))
+        loads = part if loads is None else loads.unionByName(part)
+    store.publish("stale_reports", quality.stale_reports(loads, as_of))
+    company = store.need("company")
+    store.publish("missing_statements", quality.missing_statements(company, loads))
+    store.publish("load_progress", quality.load_progress(company, loads))
 
 
 def load_pledges(store: Store, file: str) -> None:
@@ -130,26 +198,64 @@ def load_pledges(store: Store, file: str) -> None:
     store.publish("pledges", tables.pledge_ranked(rows.select("row_no", *cells)))
 
 
-def inputs(store: Store, as_of: dt.date | None = None) -> catalog.Tables:
-    documents = {s: store.read(f"statements_{s}") for s in STATEMENTS}
-    latest = None
-    for s, rows in documents.items():
-        part = rows.select(F.lit(s).alias("statement"), "rp")
-        latest = part if latest is None else latest.unionByName(part)
-    return catalog.Tables(
-        statements=DocumentSource(documents), company=store.read("company"),
-        quotes=store.spark.read.parquet(f"{store.root}/quotes"), board_rows=store.read("board"),
-        consensus=store.read("consensus"), surveys=store.read("surveys"), latest_periods=latest, as_of=as_of)
+class StoredInputs:
+    """The catalog's inputs out of a store; each is opened when a relation asks for it."""
+
+    quote_stamps = None
+
+    def __init__(self, store: Store, as_of: dt.date | None = None):
+        self.store, self.as_of = store, as_of
+
+    @property
+    def statements(self) -> DocumentSource:
+        return DocumentSource(_Documents(self.store))
+
+    @property
+    def quotes(self) -> DataFrame:
+        path = f"{self.store.root}/quotes"
+        try:
+            return newest_day(self.store.spark, path)
+        except (Py4JJavaError, AnalysisException) as error:
+            raise LookupError("the store has no 'quotes' yet; append them first") from error
+
+    @property
+    def latest_periods(self) -> DataFrame:
+        parts = [self.store.need(f"statements_{s}").select(F.lit(s).alias("statement"), "rp") for s in STATEMENTS]
+        return reduce(DataFrame.unionByName, parts)
+
+    company = property(lambda self: self.store.need("company"))
+    board_rows = property(lambda self: self.store.need("board"))
+    consensus = property(lambda self: self.store.need("consensus"))
+    surveys = property(lambda self: self.store.need("surveys"))
+
+
+class _Documents(dict):
+    """Statement documents by name, opened on demand."""
+
+    def __init__(self, store: Store):
+        super().__init__()
+        self.store = store
+
+    def __missing__(self, statement: str) -> DataFrame:
+        return self.store.need(f"statements_{statement}")
+
+
+def inputs(store: Store, as_of: dt.date | None = None) -> StoredInputs:
+    return StoredInputs(store, as_of)
+
+
+FEEDS = {"unlocks": feeds.share_unlocks, "holders": feeds.holder_changes, "dividends": feeds.profit_distribution}
 
 
-def main() -> None:
+def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="quarterstone.jobs")
     commands = parser.add_subparsers(dest="command", required=True)
 
-    def command(name: str, *options: str) -> None:
+    def command(name: str, *options: str) -> argparse.ArgumentParser:
         sub = commands.add_parser(name)
         for option in ("store", *options):
             sub.add_argument(f"--{option}", required=True)
+        return sub
 
     command("load-statements", "files")
     command("load-sheets", "files", "name")
@@ -157,10 +263,14 @@ def main() -> None:
                "load-classes": load_classes, "load-pledges": load_pledges}
     for name in loaders:
         command(name, "files")
-    command("append-quotes", "files")
+    command("load-feed", "files", "kind")
+    command("check-loads").add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
+    quotes_command = command("append-quotes", "files")
+    quotes_command.add_argument("--day", type=dt.date.fromisoformat, default=dt.date.today())
+    quotes_command.add_argument("--calendar", help="CSV with calendarDate and isOpen; closed days write nothing")
     command("refresh", "reports")
     command("export", "relation", "target")
-    args = parser.parse_args()
+    args = parser.parse_args(arguments)
 
     spark = build_session(f"quarterstone {args.command}")
     store = Store(spark, args.store)
@@ -170,14 +280,19 @@ def main() -> None:
         load_sheets(store, args.name, args.files)
     elif args.command in loaders:
         loaders[args.command](store, args.files)
+    elif args.command == "load-feed":
+        load_feed(store, args.kind, args.files)
+    elif args.command == "check-loads":
+        load_checks(store, args.as_of)
     elif args.command == "append-quotes":
-        append_quotes(store, args.files, dt.date.today())
+        calendar = args.calendar and spark.read.schema("calendarDate DATE, isOpen BOOLEAN").csv(args.calendar, header=True)
+        append_quotes(store, args.files, args.day, calendar)
     elif args.command == "refresh":
-        documents = {s: store.read(f"statements_{s}") for s in STATEMENTS}
-        catalog.refresh_reports(spark, DocumentSource(documents), args.reports)
+        catalog.refresh_reports(spark, DocumentSource(_Documents(store)), Store(spark, args.reports).replaced)
     elif args.command == "export":
         catalog.RELATIONS[args.relation](inputs(store)).write.mode("overwrite").parquet(args.target)
-    spark.stop()
+    if arguments is None:
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -1,8 +1,8 @@
-"""Key-level table maintenance: upsert, incremental load, keep-first, full refresh."""
+"""Key-level table maintenance: upsert, incremental load, keep-first."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,18 +35,3 @@ def keep_first(rows: DataFrame, keys: list[str], order: list[str | Column]) -> D
     first = F.min_by(F.struct(*rest), F.struct(*ranks)).alias("_first")
     return rows.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*rows.columns)
 
-
-def write_snapshot(rows: DataFrame, path: str) -> None:
-    """Full refresh: the table's content becomes exactly ``rows``."""
-    rows.write.mode("overwrite").parquet(path)
-
-
-def publish_upsert(spark: SparkSession, incoming: DataFrame, key: str | list[str],
-                   current: str, target: str) -> DataFrame:
-    """Upsert into a parquet table without overwriting the path that is being read.
-
-    The new state goes to ``target``; the caller points readers there afterwards, and a
-    repeated run after a failure writes the same state again.
-    """
-    upsert_by_key(spark.read.parquet(current), incoming, key).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,17 +16,30 @@ def append_snapshot(rows: DataFrame, path: str, inserted: Column | None = None)
          .write.mode("append").partitionBy("snapshot_day").parquet(path))
 
 
+def replace_day(rows: DataFrame, path: str, day: dt.date) -> None:
+    """Write a day's batch; a repeated run replaces it and touches no other day."""
+    (rows.withColumn("inserted", F.current_timestamp().cast("timestamp_ntz")).withColumn("snapshot_day", F.lit(day))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_day").parquet(path))
+
+
+def newest_day(spark: SparkSession, path: str) -> DataFrame:
+    """The newest day's partition of a table of snapshots. The day is found by folder names, so that
+    no file of the history is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    days = [str(f.getPath().getName()) for f in listed if str(f.getPath().getName()).startswith("snapshot_day=")]
+    rows = spark.read.parquet(path)
+    return rows.where(F.col("snapshot_day") == F.lit(max(days).split("=")[1]).cast("date")) if days else rows
+
+
 def latest_snapshot(rows: DataFrame, stamps: DataFrame | None = None) -> DataFrame:
     """Rows of the newest batch: stamps equal to the global maximum.
 
     Codes that are absent from the newest batch are not filled from older ones. The
     maximum is a scalar subquery, so nothing passes through the driver and the equality
     is evaluated at the scan. ``stamps`` may name a cheaper table with the same maximum.
-    In a table of ``append_snapshot`` only the newest day's partition is read.
+    Of a stored table, give ``newest_day``.
     """
-    if "snapshot_day" in rows.columns:
-        last_day = rows.agg(F.max("snapshot_day")).scalar()
-        rows = rows.where(F.col("snapshot_day") == last_day)
     newest = (rows if stamps is None else stamps).agg(F.max("inserted"))
     return rows.where(F.col("inserted") == newest.scalar())
 

@@ -31,4 +31,4 @@ def cash_quality(source: StatementSource, years: int = 5) -> DataFrame:
 def public_cash_quality(source: StatementSource, company: DataFrame, years: int = 5) -> DataFrame:
     heads = {PROFIT3: "ni3", CASH3: "c3", **{f"{GAP}{k or ''}": f"nicf{k or ''}" for k in range(years)}}
     values = [scaled(F.col(head), 10000, 2).alias(name) for head, name in heads.items()]
-    return with_company(cash_quality(source, years), company, LATEST_ANNUAL, values)
+    return with_company(cash_quality(source, years), company, LATEST_ANNUAL, values, "code name rp idst area")

@@ -149,16 +149,15 @@ def store_statements(spark: SparkSession, documents: dict[str, DataFrame], path:
     return DocumentSource(stored)
 
 
-def refresh_reports(spark: SparkSession, source: StatementSource, path: str,
+def refresh_reports(spark: SparkSession, source: StatementSource, write: Callable[[str, DataFrame], DataFrame],
                     at_once: int = 8) -> dict[str, DataFrame]:
-    """Compute all stored reports and overwrite their tables; several jobs run side by side.
+    """Compute all stored reports; several jobs run side by side.
 
-    Reports read statements only, so their order does not matter. Returns the stored
-    tables.
+    Reports read statements only, so their order does not matter. ``write`` stores a report
+    under its name and returns the stored table.
     """
     def store(name: str) -> DataFrame:
-        STORED[name](source).write.mode("overwrite").parquet(f"{path}/{name}")
-        return spark.read.parquet(f"{path}/{name}")
+        return write(name, STORED[name](source))
 
     with ThreadPoolExecutor(at_once) as pool:
         return dict(zip(STORED, pool.map(inheritable_thread_target(spark)(store), STORED)))

@@ -13,8 +13,10 @@ def dim_company(listing: DataFrame) -> DataFrame:
     return listing.select("code", "name", "area", "industry", "outstanding", "totals", "holders")
 
 
-def with_company(base: DataFrame, company: DataFrame, label: str, values: list[Column]) -> DataFrame:
-    """Public form of a report: company columns, the period label and the values.
+def with_company(base: DataFrame, company: DataFrame, label: str, values: list[Column],
+                 heads: str = "code name idst area rp") -> DataFrame:
+    """Public form of a report: company columns and the period label in the order of ``heads``,
+    then the values.
 
     No broadcast is forced: the dimension grows with the number of companies, so the
     planner decides from its measured size and otherwise joins by hash on the code, on
@@ -22,4 +24,4 @@ def with_company(base: DataFrame, company: DataFrame, label: str, values: list[C
     """
     dim = company.select("code", "name", F.col("industry").alias("idst"), "area")
     return (base.withColumnRenamed(CODE, "code").join(dim, "code")
-            .select("code", "name", "idst", "area", F.col(label).alias("rp"), *values))
+            .withColumnRenamed(label, "rp").select(*heads.split(), *values))

@@ -73,4 +73,4 @@ def public_governance(source: StatementSource, company: DataFrame) -> DataFrame:
         ratio(c("少数股东损益"), c("少数股东权益"), 2).alias("osr"),
         scaled(c("股权融资") - c("三年累积股利"), 10000, 2).alias("fdp"),
         F.round(c("股本变动倍数"), 2).alias("s_x"),
-    ])
+    ], "code name rp idst area")

@@ -48,4 +48,4 @@ def public_yearly_growth(source: StatementSource, company: DataFrame, item: str,
     head = f"{SERIES[item]}(q4)"
     values = [F.col(f"{head}{k or ''}").alias(f"{prefix}_q4" + (f"_{k}" if k else ""))
               for k in range(years)]
-    return with_company(yearly_growth(source, item, "q4", years), company, LATEST_ANNUAL, values)
+    return with_company(yearly_growth(source, item, "q4", years), company, LATEST_ANNUAL, values, "code rp name idst area")

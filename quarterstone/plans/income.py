@@ -87,4 +87,4 @@ def public_cost(source: StatementSource, company: DataFrame, kind: str) -> DataF
         (c("营业外收入") - c("营业外支出") + c("投资收益")).alias("other"),
         c("净利润").alias("npm"),
         c("少数股东损益").alias("ncl"),
-    ])
+    ], "code name area idst rp")

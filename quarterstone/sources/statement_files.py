@@ -12,11 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterstone.functions import MONEY_TYPE, exploded
+from quarterstone.operators.keyed import keep_first
 from quarterstone.plans.items import STATEMENTS
+from quarterstone.sources.cleaning import clean_report, payload_verdict
 
 # File names: statement prefix, then the six characters of the code (more, if all are
 # digits, so that longer codes stay distinct); fixed values.
 FILE_NAME = r"(?:^|[/=])(bs|is|cf)_(\d{6,}|[^/]{6})[^/]*(?:/part-[^/]*)?$"
+HEAD = "报告日期"
 PERIOD_LABEL = r"^\d{4}-\d{2}-\d{2}$"
 
 
@@ -34,11 +37,12 @@ def read_statement_folder(spark: SparkSession, path: str) -> DataFrame:
 
 
 def report_files(files: DataFrame) -> DataFrame:
-    """Statement and code from the name (``file``); rows of other files are dropped."""
+    """Statement and code from the name (``file``); rows of other files are dropped. A code that is
+    no number is NULL."""
     name = F.col("file")
     return (files.where(F.rlike(name, F.lit(FILE_NAME)))
             .withColumn("statement", F.regexp_extract(name, FILE_NAME, 1))
-            .withColumn("code", F.regexp_extract(name, FILE_NAME, 2).cast("bigint"))
+            .withColumn("code", F.regexp_extract(name, FILE_NAME, 2).try_cast("bigint"))
             .drop("file"))
 
 
@@ -58,7 +62,30 @@ def _values(row: Column) -> Column:
     """Pairs of period and value of a row; an empty cell is NULL."""
     return F.transform("dated", lambda d: F.struct(
         d["period"].alias("period"),
-        F.nullif(F.get(row, d["position"]), F.lit("")).cast(MONEY_TYPE).alias("value")))
+        F.nullif(F.get(row, d["position"]), F.lit("")).try_cast(MONEY_TYPE).alias("value")))
+
+
+def judged_reports(reports: DataFrame) -> DataFrame:
+    """Downloaded reports, cleaned, with ``verdict``: ``ok``, or why a report must not become a document (an error page,
+    no head, a file name without a code, no dated period, an item that occurs twice, a cell that is
+    no number). Each report is judged by its own text, so a bad one stops no other."""
+    raw = reports.withColumn("page", payload_verdict(F.col("content"), HEAD))
+    reports = raw.withColumn("content", clean_report(F.col("content")))
+    tables = _tables(reports.withColumn("statement", F.struct("statement", *[c for c in reports.columns if c != "statement"])))
+    items = F.transform("rows", lambda row: F.get(row, F.lit(0)))
+    bad = F.exists("rows", lambda row: F.exists("dated", lambda d: F.coalesce(
+        (F.get(row, d["position"]) != "") & F.get(row, d["position"]).try_cast(MONEY_TYPE).isNull(), F.lit(False))))
+    verdict = (F.when(F.col("statement.page") != "ok", F.col("statement.page"))
+               .when(F.col("code").isNull(), "code").when(F.size("dated") == 0, "no_period")
+               .when(F.size(F.array_distinct(items)) < F.size(items), "repeated_item")
+               .when(F.size(F.array_distinct("dated.period")) < F.size("dated"), "repeated_period")
+               .when(bad, "bad_cell").otherwise("ok"))
+    return tables.select("statement.*", verdict.alias("verdict")).drop("page")
+
+
+def newest_reports(reports: DataFrame) -> DataFrame:
+    """One report per statement and code: of several files the last modified, then the last by text."""
+    return keep_first(reports, ["statement", "code"], [-F.unix_micros("loaded"), F.xxhash64("content")])
 
 
 def file_documents(reports: DataFrame) -> DataFrame:
@@ -77,11 +104,6 @@ def report_cells(reports: DataFrame) -> DataFrame:
     return cells.select("statement", "code", "item", "c.period", "c.value")
 
 
-def latest_period(cells: DataFrame) -> DataFrame:
-    """``statement, code, rp``: the largest period label (labels are ISO dates)."""
-    return cells.groupBy("statement", "code").agg(F.max("period").alias("rp"))
-
-
 def nested_documents(cells: DataFrame) -> DataFrame:
     """Documents ``statement, code, rp, data`` with ``data`` = item -> {period -> value}.
 

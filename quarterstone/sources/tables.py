@@ -12,6 +12,8 @@ PLEDGE_COLUMNS = ["date", "code", "name", "stroke_nu", "am_u", "am_l", "shares",
 PREAMBLE_ROWS = 3
 # Columns of the classification table; fixed values.
 CLASS_COLUMNS = ["code", "name", "class_code", "class_name", "idst_code", "idst_name"]
+# Columns of the cached file: code and nine more; fixed values.
+CACHE_COLUMNS = [*CLASS_COLUMNS, "pe", "pe_ttm", "pb", "dpr"]
 
 
 def pledge_ranked(sheet: DataFrame) -> DataFrame:

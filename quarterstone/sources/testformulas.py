@@ -1,7 +1,5 @@
 """How statement items follow from sums over line items; the same text serves both engines."""
 
-HORIZON = "2001-10-01"  # line items before this day form the statements
-
 # Sums per company and quarter.
 MEASURES = {
     "gross": "l_extendedprice",
@@ -15,14 +13,15 @@ MEASURES = {
     "big": "CASE WHEN l_linestatus = 'F' AND l_quantity > 40 THEN l_extendedprice ELSE 0 END",
 }
 
-# A quarter of 2001 was reported at all if a line like this exists in it; a statement has
-# the quarter if a line like its own exists. This leaves gaps of every kind in whole data.
-INTERIM_FROM = 2001
-INTERIM_RULE = "l_tax = 0.08 AND l_returnflag = 'N'"
-EVIDENCE = {
-    "is": "l_discount <= 0.01",
-    "bs": "l_tax = 0.0",
-    "cf": "l_quantity >= 47",
+# A company's fiscal quarters end so many months after the calendar's, in each statement: all of
+# its periods carry the shifted label. Offsets of 3, 6 and 9 months give latest periods within a
+# fiscal year, those of the balance sheet and the cash flow may differ from the income's, and
+# with a single month no December end exists, so annual look-ups find nothing.
+_OWN = "CASE code % 10 WHEN 3 THEN 3 WHEN 4 THEN 6 WHEN 6 THEN 9 WHEN 8 THEN 1 ELSE 0 END"
+FISCAL_MONTHS = {
+    "is": _OWN,
+    "bs": f"{_OWN} + CASE WHEN code % 7 = 0 THEN 3 ELSE 0 END",
+    "cf": f"{_OWN} + CASE WHEN code % 9 = 0 THEN 1 ELSE 0 END",
 }
 
 _COSTS = "ret + tax + disc + qty"

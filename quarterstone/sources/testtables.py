@@ -9,9 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterstone.functions import exact_sum, exploded, money
+from quarterstone.operators.statements import DocumentSource
 from quarterstone.plans.board import board_all
+from quarterstone.plans.catalog import store_statements
 from quarterstone.plans.items import STATEMENTS
-from quarterstone.sources.testformulas import EVIDENCE, HORIZON, INTERIM_FROM, INTERIM_RULE, ITEMS, MEASURES
+from quarterstone.session import shared_dir
+from quarterstone.sources.testformulas import FISCAL_MONTHS, ITEMS, MEASURES
+
+# statements already written: (session, folder) -> documents
+_STORED: dict[tuple[str, str], DocumentSource] = {}
 
 
 class TestTables:
@@ -19,10 +25,9 @@ class TestTables:
 
     __test__ = False  # not a test class
 
-    def __init__(self, spark: SparkSession, folder: str, stored_cells: str | None = None):
+    def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self.stored_cells = stored_cells
         self._frames: dict[tuple[str, ...], DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -33,86 +38,61 @@ class TestTables:
     # the inputs of the report catalog
     as_of = dt.date(2024, 6, 30)  # date of the consensus look-up
 
-    @property
-    def statements(self) -> TestTables:
-        return self
+    @cached_property
+    def statements(self) -> DocumentSource:
+        """Documents bucketed by code, written once per session and folder, as a deployment keeps them."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _STORED:
+            path = shared_dir(self.spark, "statements")
+            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            _STORED[key] = store_statements(self.spark, self._stored_documents(f"{path}/cells"), path, buckets)
+        return _STORED[key]
 
     # ---- statements --------------------------------------------------------------
-    def cells(self, *statements: str) -> DataFrame:
-        """Sums per company and quarter. Partial sums keep a hot company off the shuffle."""
-        if self.stored_cells:
-            return self.spark.read.parquet(self.stored_cells)
+    @cached_property
+    def cells(self) -> DataFrame:
+        """Sums per company and calendar quarter ``q`` (year * 4 + quarter), over all line items.
+        Partial sums keep a hot company off the shuffle."""
         day = F.col("l_shipdate")
-        evidence = [F.count_if(F.expr(EVIDENCE[s])).alias(f"{s}_lines") for s in statements]
-        sums = (self.table("lineitem")
-                .where(day < F.lit(HORIZON).cast("timestamp_ntz"))
-                .groupBy(F.col("l_suppkey").alias("code"),
-                         (F.year(day) * 4 + F.quarter(day)).alias("q"))
-                .agg(*[exact_sum(F.expr(e)).alias(m) for m, e in MEASURES.items()],
-                     F.count_if(F.expr(INTERIM_RULE)).alias("interim_lines"), *evidence))
-        reported = (F.col("q") <= INTERIM_FROM * 4) | (F.col("interim_lines") > 0)
-        return sums.where(reported).withColumn("period", self._label("q"))
+        return (self.table("lineitem")
+                .groupBy(F.col("l_suppkey").alias("code"), (F.year(day) * 4 + F.quarter(day)).alias("q"))
+                .agg(*[exact_sum(F.expr(e)).alias(m) for m, e in MEASURES.items()]))
+
+    def _stored_documents(self, path: str) -> dict[str, DataFrame]:
+        """All three statements over sums that are written once."""
+        self.cells.write.mode("overwrite").parquet(path)
+        stored = TestTables(self.spark, self.folder)
+        stored.cells = self.spark.read.parquet(path)
+        return {s: stored.documents(s) for s in ITEMS}
 
     @staticmethod
-    def _label(quarter: str) -> Column:
-        """Last day of a quarter numbered year * 4 + quarter."""
+    def _label(quarter: str, statement: str) -> Column:
+        """End of the fiscal quarter that holds a calendar quarter's lines."""
         year, month = F.expr(f"CAST(({quarter} - 1) DIV 4 AS INT)"), F.expr(f"(({quarter} - 1) % 4 + 1) * 3")
-        return F.last_day(F.make_date(year, month, F.lit(1))).cast("string")
-
-    def with_stored_cells(self, path: str) -> TestTables:
-        """Write the sums once; statements of the returned object read them from there."""
-        self.cells(*EVIDENCE).write.mode("overwrite").parquet(path)
-        return TestTables(self.spark, self.folder, path)
-
-    def joined(self, needs: dict[str, list[str]]) -> DataFrame:
-        """All needed statements from one scan: they come from the same cells.
-
-        A company has one document per statement here, so gathering them side by side
-        equals the join.
-        """
-        docs = self.gathered(needs)
-        for s in needs:
-            docs = docs.where(F.col(f"{s}_rp").isNotNull())
-        return docs
-
-    def gathered(self, needs: dict[str, list[str]]) -> DataFrame:
-        """Statements side by side; a company that lacks one has NULL in its ``<s>_rp``.
-
-        A document holds one element per quarter, which bounds its size.
-        """
-        parts: list[Column] = []
-        for s, items in needs.items():
-            present = F.col(f"{s}_lines") > 0
-            parts.append(F.max(F.when(present, F.col("q"))).alias(f"{s}_rp"))
-            if items:
-                element = F.struct("period", *self._items(s, items))
-                parts.append(F.collect_list(F.when(present, element)).alias(f"{s}_data"))
-        docs = self.cells(*needs).groupBy("code").agg(*parts)
-        return docs.withColumns({f"{s}_rp": self._label(f"{s}_rp") for s in needs})
+        shift = F.expr(f"CAST({FISCAL_MONTHS[statement]} AS INT)")
+        return F.last_day(F.add_months(F.make_date(year, month, F.lit(1)), shift)).cast("string")
 
     def documents(self, statement: str, items: list[str] | None = None) -> DataFrame:
-        """One statement as a document table ``code, rp, data``."""
-        wanted = list(ITEMS[statement]) if items is None else items
-        return self.joined({statement: wanted}).select(
-            "code", F.col(f"{statement}_rp").alias("rp"), F.col(f"{statement}_data").alias("data"))
+        """One statement as a document table ``code, rp, data``, an element for each quarter."""
+        element = F.struct("period", *self._items(statement, list(ITEMS[statement]) if items is None else items))
+        return (self.cells.withColumn("period", self._label("q", statement)).groupBy("code")
+                .agg(F.max("period").alias("rp"), F.collect_list(element).alias("data")))
 
     def long_cells(self, needs: dict[str, list[str]] = ITEMS) -> DataFrame:
         """``statement, code, item, period, value`` with the source's item labels; one scan."""
         def cell(s: str, item: str) -> Column:
-            value = money(F.expr(ITEMS[s][item]))
             return F.struct(F.lit(s).alias("statement"), F.lit(STATEMENTS[s][item]).alias("item"),
-                            value.alias("value"))
+                            self._label("q", s).alias("period"), money(F.expr(ITEMS[s][item])).alias("value"))
 
-        reported = F.flatten(F.array_compact(F.array(*[
-            F.when(F.col(f"{s}_lines") > 0, F.array(*[cell(s, i) for i in items]))
-            for s, items in needs.items()])))
-        rows = exploded(self.cells(*needs), ["code", "period"], reported, "c")
-        return rows.select("c.statement", "code", "c.item", "period", "c.value")
+        reported = F.array(*[cell(s, item) for s, items in needs.items() for item in items])
+        rows = exploded(self.cells, ["code"], reported, "c")
+        return rows.select("c.statement", "code", "c.item", "c.period", "c.value")
 
     def report_texts(self, *statements: str) -> DataFrame:
         """``file, content``: each company's statement as report text, newest period first."""
-        docs = self.gathered({s: list(ITEMS[s]) for s in statements})
-        docs = docs.withColumns({f"{s}_data": F.reverse(F.array_sort(f"{s}_data")) for s in statements})
+        fields = {s: [F.struct(self._label("q", s).alias("period"), *self._items(s, list(ITEMS[s])))] for s in statements}
+        docs = self.cells.groupBy("code").agg(*[
+            F.reverse(F.array_sort(F.collect_list(element))).alias(f"{s}_data") for s, (element,) in fields.items()])
 
         def text(s: str) -> Column:
             def line(head: str, field: str) -> Column:
@@ -121,18 +101,14 @@ class TestTables:
 
             lines = [line("报告日期", "period")] + [line(STATEMENTS[s][f], f) for f in ITEMS[s]]
             name = F.concat(F.lit(f"{s}_"), F.format_string("%06d", "code"), F.lit(".csv"))
-            return F.when(F.col(f"{s}_rp").isNotNull(), F.struct(
-                name.alias("file"), F.array_join(F.array(*lines), "\r\n").alias("content")))
+            return F.struct(name.alias("file"), F.array_join(F.array(*lines), "\r\n").alias("content"))
 
-        files = F.array_compact(F.array(*[text(s) for s in statements]))
-        return exploded(docs, [], files, "f").select("f.*")
+        return exploded(docs, [], F.array(*[text(s) for s in statements]), "f").select("f.*")
 
     def present(self) -> DataFrame:
         """``code, statement, period`` of every reported period."""
-        kinds = list(EVIDENCE)
-        reported = F.array_compact(F.array(*[
-            F.when(F.col(f"{s}_lines") > 0, F.lit(s)) for s in kinds]))
-        return exploded(self.cells(*kinds), ["code", "period"], reported, "statement")
+        reported = F.array(*[F.struct(F.lit(s).alias("statement"), self._label("q", s).alias("period")) for s in ITEMS])
+        return exploded(self.cells, ["code"], reported, "p").select("code", "p.*")
 
     @cached_property
     def latest_periods(self) -> DataFrame:
@@ -146,8 +122,8 @@ class TestTables:
     # ---- other inputs ------------------------------------------------------------
     @cached_property
     def company(self) -> DataFrame:
-        """Suppliers without a negative balance, with nation as industry and region as area."""
-        listing = (self.table("supplier").where(F.col("s_acctbal") >= 0)
+        """All suppliers, with nation as industry and region as area."""
+        listing = (self.table("supplier")
                    .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
                    .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")))
         return listing.select(

@@ -81,7 +81,7 @@ def test_deliveries_to_reports(spark, store, tmp_path):
     income_row = catalog.RELATIONS["income_q4a"](tables).where("code = 600660").first()
     assert float(income_row["is01"]) == 900
 
-    stored = catalog.refresh_reports(spark, tables.statements, str(tmp_path / "out"))
+    stored = catalog.refresh_reports(spark, tables.statements, jobs.Store(spark, str(tmp_path / "out")).replaced)
     assert {n: r.count() for n, r in stored.items() if n != "_income_q4"} == {n: 2 for n in catalog.STORED if n != "_income_q4"}
     assert stored["_income_q4"].count() == 10
 
@@ -92,12 +92,13 @@ def test_other_loaders(spark, store, tmp_path):
     assert store.read("company").first()["industry"] == "银行"
     folder = tmp_path / "classes"
     folder.mkdir()
-    (folder / "c.csv").write_bytes("code,name,class_code,class_name,idst_code,idst_name\n1,平安,J,金融业,--,货币\n".encode("gbk"))
+    (folder / "c.csv").write_bytes("code,name,class_code,class_name,idst_code,idst_name,pe,pe_ttm,pb,dpr\n1,平安,J,金融业,--,货币,1,2,3,--\n".encode("gbk"))
     jobs.load_classes(store, str(folder))
-    (folder / "c.csv").write_bytes("code,name,class_code,class_name,idst_code,idst_name\n1,x,x,x,x,x\n2,万科,K,房地产,1,开发\n".encode("gbk"))
+    (folder / "c.csv").write_bytes("code,name,class_code,class_name,idst_code,idst_name,pe,pe_ttm,pb,dpr\n000001,x,x,x,x,x,1,1,1,1\n2,万科,K,房地产,1,开发,4,5,6,7\n".encode("gbk"))
     jobs.load_classes(store, str(folder))
     assert sorted(tuple(r) for r in store.read("classes").select("code", "name", "idst_code").collect()) == [
-        ("1", "平安", "0"), ("2", "万科", "1")]
+        (1, "平安", "0"), (2, "万科", "1")]
+    assert sorted(tuple(r) for r in store.read("class_cache").select("code", "pe", "dpr").collect()) == [(1, "1", "0"), (2, "4", "7")]
     sheet = "t\nt\nt\n" + "\n".join(f"2018.04.06,{c},n,1,2,3,4,{r}" for c, r in ((600660, 9.5), (1, "n/a"), (2, 0.5)))
     jobs.load_pledges(store, deliver(tmp_path, "p", {"p.csv": sheet}))
     assert [r["code"] for r in store.read("pledges").orderBy(F.col("ratio_num").asc_nulls_last()).collect()] == ["2", "600660", "1"]
@@ -128,3 +129,79 @@ def test_uncommitted_version_is_not_read(spark, store):
     os.unlink(f"{broken}/_SUCCESS")
     assert store.read("t").count() == 3
     assert store.read("nothing") is None
+
+
+def test_bad_files_change_nothing(spark, store, tmp_path):
+    """Error page, stray names, repeated item, bad cell, no period: each rejected alone, with its reason."""
+    good = report_text(INCOME, 100)
+    jobs.load_statements(store, deliver(tmp_path, "good", {"is_600660.csv": good, "is_000001.csv": report_text(INCOME, 500)}))
+    lines = good.split("\r\n")
+    jobs.load_statements(store, deliver(tmp_path, "bad", {
+        "is_600660.csv": "<!DOCTYPE html><p>busy 报告日期</p>", "is_readme.csv": "报告日期,2017-12-31", "notes.txt": "x",
+        "is_000002.csv": "\r\n".join([*lines, lines[1]]), "is_000003.csv": good.replace(" 100", "n/a", 1),
+        "is_000004.csv": "报告日期,\r\n净利润,", "is_000005.csv": "no head at all", "is_000006.csv": report_text(INCOME, 700)}))
+    stored = {r["code"]: r for r in store.read("statements_is").collect()}
+    assert sorted(stored) == [1, 6, 600660] and stored[600660]["rp"] == "2017-12-31" and len(stored[600660]["data"]) == len(PERIODS)
+    reasons = {(r["code"], r["verdict"]) for r in spark.read.parquet(f"{store.root}/rejects_statements").collect()}
+    assert reasons == {(600660, "html"), (None, "code"), (2, "repeated_item"), (3, "bad_cell"), (4, "no_period"), (5, "no_keyword")}
+
+
+def test_newest_of_two_files_counts(spark, store, tmp_path):
+    import os
+
+    folder = deliver(tmp_path, "two", {"is_600660.csv": report_text(INCOME, 100), "is_600660_again.csv": report_text(INCOME, 900)})
+    os.utime(f"{folder}/is_600660_again.csv", (2_000_000_000, 2_000_000_000))
+    jobs.load_statements(store, folder)
+    income = store.read("statements_is").select(F.explode("data").alias("e")).where("e.period = '2017-12-31'").collect()
+    assert [float(r["e"]["total_revenue"]) for r in income] == [900.0]
+
+
+def test_missing_inputs_are_named(spark, store, tmp_path):
+    jobs.load_statements(store, deliver(tmp_path, "income", {"is_600660.csv": report_text(INCOME, 100)}))
+    tables = jobs.inputs(store)
+    assert catalog.RELATIONS["_income_q4a"](tables).count() == 1
+    for relation, name in (("income_q4a", "company"), ("va_mrqa", "quotes"), ("bod", "company"), ("inst_data", "surveys")):
+        with pytest.raises(LookupError, match=name):
+            catalog.RELATIONS[relation](tables).count()
+    with pytest.raises(LookupError, match="statements_bs"):
+        catalog.RELATIONS["_roe_q4"](jobs.inputs(jobs.Store(spark, str(tmp_path / "empty")))).count()
+
+
+def test_jobs_join_without_an_exchange(spark, store, tmp_path):
+    jobs.load_statements(store, deliver(tmp_path, "all", {
+        f"{s}_{code}.csv": report_text(labels, code) for code in (600660, 600661)
+        for s, labels in (("is", INCOME), ("bs", BALANCE), ("cf", CASH_FLOW))}))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, plan in catalog.STORED.items():
+            text = plan(jobs.inputs(store).statements)._jdf.queryExecution().executedPlan().toString()
+            # distinct years of income are the one grouping among the reports
+            assert "Exchange" not in text or name == "_income_q4", name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    again = jobs.Store(spark, store.root)
+    assert again.need("statements_bs").count() == 2
+
+
+def test_quotes_feeds_and_checks_by_command(spark, store, tmp_path):
+    fields = [""] * 50
+    for i, v in {1: "n", 2: "600660", 3: "24", 32: "1", 38: "2", 39: "20", 45: "9", 46: "4"}.items():
+        fields[i] = v
+    quotes = deliver(tmp_path, "q", {"q.txt": "~".join(fields)})
+    calendar = deliver(tmp_path, "cal", {"c.csv": "calendarDate,isOpen\n2018-04-06,true\n2018-04-07,false\n"})
+    for day in ("2018-04-06", "2018-04-06", "2018-04-07"):
+        jobs.main(["append-quotes", "--store", store.root, "--files", quotes, "--day", day, "--calendar", calendar])
+    assert spark.read.parquet(f"{store.root}/quotes").count() == 1
+    jobs.main(["load-feed", "--store", store.root, "--kind", "unlocks", "--files", deliver(
+        tmp_path, "f", {"a.json": '["1,600660,sh,n,2018-04-06,1,2,3,4,5,6,x,y"]'})])
+    assert store.read("feed_unlocks").first()["code"] == "600660"
+    jobs.main(["load-statements", "--store", store.root, "--files", deliver(tmp_path, "r", {
+        "is_600660.csv": report_text(INCOME, 1), "bs_600660.csv": report_text(BALANCE, 1), "cf_000001.csv": report_text(CASH_FLOW, 1)})])
+    jobs.main(["load-company", "--store", store.root, "--files", deliver(
+        tmp_path, "co", {"c.csv": "code,name,area,industry,outstanding,totals,holders\n1,a,b,c,1,2,3\n600660,a,b,c,1,2,3\n"})])
+    jobs.main(["check-loads", "--store", store.root, "--as-of", "2099-01-01"])
+    assert store.read("stale_reports").count() == 3
+    assert sorted(tuple(r) for r in store.read("missing_statements").collect()) == [(1, "bs"), (1, "is"), (600660, "cf")]
+    assert tuple(store.read("load_progress").first()) == (3, 6)
+    jobs.main(["refresh", "--store", store.root, "--reports", str(tmp_path / "out")])
+    assert jobs.Store(spark, str(tmp_path / "out")).need("_income_mrqa").count() == 1

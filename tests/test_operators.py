@@ -6,9 +6,9 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from quarterstone.operators.keyed import append_new_keys, keep_first, publish_upsert, upsert_by_key, write_snapshot
+from quarterstone.operators.keyed import append_new_keys, keep_first, upsert_by_key
 from quarterstone.operators.percentiles import exact_percentiles
-from quarterstone.operators.snapshots import append_snapshot, latest_snapshot
+from quarterstone.operators.snapshots import append_snapshot, latest_snapshot, newest_day
 from quarterstone.operators.statements import DocumentSource
 from quarterstone.plans import catalog, growth
 from quarterstone.session import shared_dir
@@ -77,18 +77,27 @@ def test_stored_documents_are_pruned_and_bucketed(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in plan
     assert "array<struct<period:string,parent_equity:decimal(20,4)>>" in plan
-    direct = catalog.STORED["_roe_q4"](t)
+    direct = catalog.STORED["_roe_q4"](t.statements)
     assert rows(report.na.fill(-9)) == rows(direct.na.fill(-9))
 
 
-def test_gathered_statements_equal_the_join(spark):
+def test_stored_statements_equal_plain_documents(spark):
     t = TestTables(spark, "/root/testdata/sf0.001")
     joined = DocumentSource({s: t.documents(s) for s in ("is", "bs", "cf")})
     for name, plan in catalog.STORED.items():
-        got, want = plan(t).na.fill(-9), plan(joined).na.fill(-9)
+        got, want = plan(t.statements).na.fill(-9), plan(joined).na.fill(-9)
         assert rows(got) == rows(want), name
 
 
+def test_statements_hold_every_line_item(spark):
+    t = TestTables(spark, "/root/testdata/sf0.001")
+    cells = t.long_cells({"bs": ["total_assets"]}).agg(F.sum("value")).first()[0]
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert cells == lines.agg(F.sum(F.col("l_extendedprice").cast("decimal(18,4)"))).first()[0]
+    assert catalog.RELATIONS["f_data_error"](t).count() > 0
+    assert t.company.count() == spark.read.parquet("/root/testdata/sf0.001/supplier.parquet").count()
+
+
 # ---- keyed maintenance -----------------------------------------------------------------
 
 def test_upsert_is_idempotent(spark, tmp_path):
@@ -97,9 +106,6 @@ def test_upsert_is_idempotent(spark, tmp_path):
     once = upsert_by_key(stored, new, "code")
     assert rows(once) == [(1, "x"), (2, "c"), (3, "d"), (4, "y"), (4, "z")]
     assert rows(upsert_by_key(once, new, "code")) == rows(once)
-    first, second = str(tmp_path / "a"), str(tmp_path / "b")
-    write_snapshot(stored, first)
-    assert rows(publish_upsert(spark, new, "code", first, second)) == rows(once)
 
 
 def test_append_new_keys(spark):
@@ -125,9 +131,10 @@ def test_full_refresh_and_snapshots(spark):
     append_snapshot(batch.where("code = 2").withColumn("price", F.lit(0.5)), path)
     table = spark.read.parquet(path)
     assert table.count() == 4
-    scan = latest_snapshot(table)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(snapshot_day" in scan and "(snapshot_day" in scan.split("PartitionFilters: [isnotnull(snapshot_day", 1)[1]
-    newest = latest_snapshot(table)  # code 1 is missing from the newest batch and vanishes
+    newest = latest_snapshot(newest_day(spark, path))
+    scans = newest._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1:]
+    assert scans and all(s.startswith("[isnotnull(snapshot_day") and "(snapshot_day" in s.split("]")[0][12:] for s in scans)
+    newest = latest_snapshot(newest_day(spark, path))  # code 1 is missing from the newest batch and vanishes
     assert [(r["code"], r["price"]) for r in newest.collect()] == [(2, 0.5)]
 
 
