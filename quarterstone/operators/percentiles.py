@@ -17,19 +17,21 @@ from pyspark.sql import functions as F
 
 _STEPS = 64  # buckets per factor e
 _SHIFT = 50_000  # above the largest |log| of a double times _STEPS
+_INFINITE, _NAN = 3 * _SHIFT, 4 * _SHIFT
 
 
 def _bucket(value: Column) -> Column:
-    """Integer that never decreases while the value increases."""
-    magnitude = F.floor(F.log(F.abs(value)) * _STEPS) + _SHIFT
-    return F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(0)
+    """Integer that never decreases while the value increases; NaN counts as the largest value."""
+    infinite = F.abs(value) == float("inf")
+    magnitude = F.when(infinite, _INFINITE).otherwise(F.floor(F.log(F.when(~infinite, F.abs(value))) * _STEPS) + _SHIFT)
+    return F.when(F.isnan(value), _NAN).when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(0)
 
 
 def exact_percentiles(rows: DataFrame, group: str, wanted: dict[str, tuple[Column, float]],
                       count_as: str = "count") -> DataFrame:
     """One row per group: the group, its row count, and each named column's percentile.
 
-    NULL values are ignored; a group without values has NULL. A NULL group is a group.
+    NULL values are ignored, infinite values are values, NaN is the largest; a group without values has NULL. A NULL group is a group.
 
     The frequency table is the only consumer of ``rows``. Its three uses below put no
     filter on it and join NULL-safe, so that the planner sees equal subtrees and reuses
@@ -83,7 +85,8 @@ def exact_percentiles(rows: DataFrame, group: str, wanted: dict[str, tuple[Colum
         return F.max(F.when(F.col("name") == name, F.col("rank") - F.col("lo")))
 
     picked = ranked.groupBy(F.col("g").alias("pg")).agg(*[
-        (at(name, "lo") + (at(name, "hi") - at(name, "lo")) * part(name)).alias(name)
+        F.when((part(name) == 0) | (at(name, "lo") == at(name, "hi")), at(name, "lo"))
+        .otherwise(at(name, "lo") + (at(name, "hi") - at(name, "lo")) * part(name)).alias(name)
         for name in wanted])
     groups = freq.groupBy("g").agg(F.max(F.when(F.col("metric") == 0, F.col("n"))).alias(count_as))
     return (groups.join(picked, F.col("g").eqNullSafe(F.col("pg")), "left")

@@ -6,7 +6,6 @@ import datetime as dt
 import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark import inheritable_thread_target
@@ -56,21 +55,6 @@ class Inputs(Protocol):
     as_of: dt.date | None  # date of the consensus look-up; today where None
 
 
-@dataclass
-class Tables:
-    """Inputs held as tables."""
-
-    statements: StatementSource
-    company: DataFrame
-    quotes: DataFrame
-    board_rows: DataFrame
-    consensus: DataFrame
-    surveys: DataFrame
-    latest_periods: DataFrame
-    as_of: dt.date | None = None
-    quote_stamps: DataFrame | None = None
-
-
 Relation = Callable[[Inputs], DataFrame]
 
 

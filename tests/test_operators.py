@@ -262,6 +262,13 @@ def test_feeds(spark):
     assert tuple(paid) == ("c", "n", "m", "a", "s", "r", "e", "p", "q", "x", "z")
 
 
+def test_percentiles_of_infinite_values(spark):
+    inf, nan = float("inf"), float("nan")
+    frame = spark.createDataFrame([("a", v) for v in (-inf, 1.0, 2.0, inf, inf)] + [("b", 1.0), ("b", nan), ("b", 2.0)], "g string, v double")
+    got = {r["g"]: tuple(r)[2:] for r in exact_percentiles(frame, "g", {"p0": (F.col("v"), 0.0), "p50": (F.col("v"), 0.5), "p100": (F.col("v"), 1.0)}, "n").collect()}
+    assert got["a"] == (-inf, 2.0, inf) and got["b"][:2] == (1.0, 2.0) and got["b"][2] != got["b"][2]
+
+
 def test_exact_percentiles_compute_input_once(spark):
     t = TestTables(spark, "/root/testdata/sf0.001")
     stats = catalog.RELATIONS["tdx_va_mrq"](t)
