@@ -8,6 +8,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarterstone.llm.common import tidied
+
 # fixed values of XXH64
 P1 = np.uint64(11400714785074694791)
 P2 = np.uint64(14029467366897019727)
@@ -119,4 +121,4 @@ def fingerprints(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         docs, keep = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), ["doc_id"]
     rows = docs.select(*keep, F.col("text").alias("_printed_text"))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.select(*keep).schema.fields)
-    return rows.mapInArrow(_fingerprint_batches(len(keep)), kinds + "fp long")
+    return rows.mapInArrow(tidied(_fingerprint_batches(len(keep))), kinds + "fp long")

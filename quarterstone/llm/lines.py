@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterstone.llm.common import stored
+from quarterstone.llm.common import stored, tidied
 from quarterstone.llm.runs import repeated_windows
 
 LEAST_WORDS = 10  # words of a run from which on its repetition counts
@@ -73,7 +73,7 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     lines = stored(
         rows.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("doc_id"), F.col("_key").alias("text_key"), "text")
         .filter(F.col("text").isNotNull())
-        .mapInArrow(_line_batches(least_words), "doc_id long, text_key long, line int, pos long, key1 long, key2 long, lengths array<int>")
+        .mapInArrow(tidied(_line_batches(least_words)), "doc_id long, text_key long, line int, pos long, key1 long, key2 long, lengths array<int>")
         .withColumn("seq", (F.col("doc_id").cast("decimal(19,0)") * F.lit("10000000000000000000").cast("decimal(20,0)")
                             + (F.pmod("text_key", F.lit(10 ** 8)) * F.lit(10 ** 10)).cast("decimal(20,0)")).cast("decimal(38,0)"))
         .withColumn("at", (F.col("seq") + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")), "lines")

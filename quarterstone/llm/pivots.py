@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterstone.llm.blocks import SIDE, block_pairs, roots, whole_groups
-from quarterstone.llm.common import stored
+from quarterstone.llm.common import stored, tidied
 from quarterstone.llm.components import components
 from quarterstone.llm.vectors import finite
 
@@ -136,10 +136,10 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, prefix: int = PREFI
     pivots = pivot_rows(usable, usable.count())
     keyed = usable.select("uid", F.xxhash64(F.col("label").cast("string")).alias("label"), "embedding")
     kind = dict(keyed.dtypes)["embedding"]
-    lists = (keyed.mapInArrow(_prefix_batches(pivots, prefix), f"uid long, label long, embedding {kind}, size long, pivots array<int>")
+    lists = (keyed.mapInArrow(tidied(_prefix_batches(pivots, prefix)), f"uid long, label long, embedding {kind}, size long, pivots array<int>")
              .withColumn("pivot", F.explode("pivots")).withColumn("pivot", F.col("pivot").cast("bigint")))
     found = stored(block_pairs(lists, ["label", "size", "pivot"], "uid")
-                   .mapInArrow(_verify_batches(least, shared), "uid long, n long, root long"), "links")
+                   .mapInArrow(tidied(_verify_batches(least, shared)), "uid long, n long, root long"), "links")
     joined = components(found.select(F.col("uid").alias("a"), F.col("root").alias("b")))
     placed = (rows.select("vec_id", "uid")
               .join(joined.withColumnRenamed("node", "uid"), "uid", "left")

@@ -58,7 +58,7 @@ def op10_unigram_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = load(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return unigram.decode(unigram.encode(docs, path), path).select(
+    return unigram.round_trip(docs, path).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids_crc32", F.length("decoded").alias("decoded_chars"),
         (F.col("decoded") == F.col("text")).alias("lossless"))
 

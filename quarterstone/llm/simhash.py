@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterstone.llm.blocks import SIDE, block_pairs, candidate_pairs, roots, whole_groups
-from quarterstone.llm.common import stored
+from quarterstone.llm.common import stored, tidied
 from quarterstone.llm.components import components
 from quarterstone.llm.fingerprints import fingerprints
 
@@ -137,17 +137,18 @@ def linked(prints: DataFrame, bits: int = 3) -> DataFrame:
     total = prints.count()
     sample = prints.orderBy(F.xxhash64(F.lit(3), "fp"), "fp").limit(SAMPLE).toPandas()["fp"].to_numpy()
     plan = search_plan(sample.astype(np.int64).view(np.uint64), total, bits)
-    rows = prints.select("fp").mapInArrow(_probe_batches(plan), "bucket long, fp long")
-    return block_pairs(rows, ["bucket"], "fp").mapInArrow(_link_batches(bits), "a long, b long")
+    rows = prints.select("fp").mapInArrow(tidied(_probe_batches(plan)), "bucket long, fp long")
+    return block_pairs(rows, ["bucket"], "fp").mapInArrow(tidied(_link_batches(bits)), "a long, b long")
 
 
 def _placed(marked: DataFrame, bits: int) -> DataFrame:
-    """(fp, component_id) for the fingerprints of ``marked`` (doc_id, fp)."""
+    """(fp, component, component_id) for the fingerprints of ``marked`` (doc_id, fp): the smallest print
+    and the smallest doc_id of each print's component."""
     prints = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     found = components(linked(prints, bits))
     placed = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    return stored(placed.join(smallest, "component").select("fp", "component_id"), "placed")
+    return stored(placed.join(smallest, "component").select("fp", "component", "component_id"), "placed")
 
 
 def near_duplicates(docs: DataFrame, bits: int = 3) -> DataFrame:
@@ -171,7 +172,7 @@ def distinct(docs: DataFrame, bits: int = 3) -> DataFrame:
     where they are until the kept ids are known, then meet them in one join."""
     marked = stored(fingerprints(docs), "fingerprints")
     kept = stored(marked.join(_placed(marked, bits), "fp").filter(F.equal_null("doc_id", "component_id"))
-                  .groupBy("component_id").agg(F.min("fp").alias("fp"))
+                  .groupBy("component", "component_id").agg(F.min("fp").alias("fp"))
                   .select(F.col("component_id").alias("_kept"), F.col("fp").alias("_fp")), "kept")
     columns = docs.columns
     rows = fingerprints(docs, columns).join(kept, F.equal_null("doc_id", "_kept") & (F.col("fp") == F.col("_fp")))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterstone.llm.common import stored
+from quarterstone.llm.common import stored, tidied
 from quarterstone.llm.vectors import finite
 
 LEVELS = 16
@@ -164,7 +164,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024
     order = ["shard", "size", "is_query", "uid"]
     found = (candidates.select(*order, "vec_id", "embedding").unionByName(asked.select(*order, "vec_id", "embedding"))
              .repartition("shard", "size").sortWithinPartitions(*order)
-             .mapInArrow(_search_batches(k, scale), "query_id long, query_uid long, vec_id long, score long"))
+             .mapInArrow(tidied(_search_batches(k, scale)), "query_id long, query_uid long, vec_id long, score long"))
     best = Window.partitionBy("query_id", "query_uid").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarterstone.llm.common import tidied
 from quarterstone.llm.terms import Words, hashed, held_out, learning_rows, slices, split
 
 SAMPLE = 12_000  # most labelled documents learned from
@@ -118,7 +119,7 @@ def _term_batches(batches):
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     rows = (learning_rows(docs, labels, "toxic", sample)
-            .mapInArrow(_term_batches, "doc_id long, label int, buckets array<int>").toArrow())
+            .mapInArrow(tidied(_term_batches), "doc_id long, label int, buckets array<int>").toArrow())
     lists = rows.column("buckets").combine_chunks()
     label = rows.column("label").to_numpy().astype(float)
     if not len(label):
@@ -142,7 +143,7 @@ def score(docs: DataFrame, model: Machine, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of every row with ``score`` (0 to 1); only the text is an input."""
     rows = docs.select(F.coalesce("text", F.lit("")).alias("_scored_text"), *keep)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return rows.mapInArrow(_score_batches(model), f"{kinds}{', ' if kinds else ''}score double")
+    return rows.mapInArrow(tidied(_score_batches(model)), f"{kinds}{', ' if kinds else ''}score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = 0.5) -> DataFrame:

@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarterstone.llm.common import tidied
+
 MARK = "▁"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 UNKNOWN_PENALTY = 10.0
@@ -142,7 +144,7 @@ class Model:
         start = 0
         while start < len(order):
             longest = int(sizes[order[start]]) * 2 + 8
-            stop = min(int(np.searchsorted(sizes[order], longest, side="right")), start + max(1, (1 << 22) // longest))
+            stop = min(int(np.searchsorted(sizes[order], longest, side="right")), start + max(1, (1 << 19) // longest))
             rows = order[start:stop]
             for row, ids in zip(rows.tolist(), self._together([words[i] for i in rows])):
                 out[row] = ids
@@ -218,8 +220,8 @@ class Encoder:
         found = list(map(self.known.get, words))
         new = [w for w, ids in zip(words, found) if ids is None]
         if new:
-            if len(self.known) + len(new) > self.keep:
-                self.known, new = {}, words
+            if len(self.known) + len(new) > self.keep:  # keep what this slice has met again
+                self.known = {w: ids for w, ids in zip(words, found) if ids is not None}
             ids = self.model.words([w.encode("utf-8", "surrogatepass") for w in new])
             self.known.update((w, np.array(i, "<i4").tobytes()) for w, i in zip(new, ids))
             found = list(map(self.known.__getitem__, words))
@@ -283,11 +285,27 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     large as its vocabulary, is broadcast; columns named ids, ids_crc32 or decoded are replaced."""
     rows = docs.drop("ids", "ids_crc32", "decoded")
     shared = docs.sparkSession.sparkContext.broadcast(Model.load(path))
-    return rows.mapInArrow(_encode_batches(shared, rows.columns.index("text")), _kinds(rows) + "ids array<int>, ids_crc32 long")
+    return rows.mapInArrow(tidied(_encode_batches(shared, rows.columns.index("text"))), _kinds(rows) + "ids array<int>, ids_crc32 long")
+
+
+def _round_trip_batches(shared, text: int):
+    encode_, decode_ = _encode_batches(shared, text), _decode_batches(shared, -2)
+
+    def run(batches):
+        return decode_(encode_(batches))
+    return run
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``encode`` and ``decode`` in one pass, so that a task needs one Python process."""
+    rows = docs.drop("ids", "ids_crc32", "decoded")
+    shared = docs.sparkSession.sparkContext.broadcast(Model.load(path))
+    return rows.mapInArrow(tidied(_round_trip_batches(shared, rows.columns.index("text"))),
+                           _kinds(rows) + "ids array<int>, ids_crc32 long, decoded string")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Every row with ``decoded``, the text that its ``ids`` stand for; no ids: the empty text."""
     rows = encoded.drop("decoded").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
     shared = encoded.sparkSession.sparkContext.broadcast(Model.load(path))
-    return rows.mapInArrow(_decode_batches(shared, rows.columns.index("ids")), _kinds(rows) + "decoded string")
+    return rows.mapInArrow(tidied(_decode_batches(shared, rows.columns.index("ids"))), _kinds(rows) + "decoded string")

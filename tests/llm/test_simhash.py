@@ -47,15 +47,16 @@ def test_long_words_and_long_text():
 
 
 def test_odd_rows(spark):
-    rows = [(5, None), (3, ""), (9, " \n"), (7, "one two three four"), (7, "one two three four"), (None, "one two three four"), (None, "alone here")]
+    rows = [(5, None), (3, ""), (9, " \n"), (7, "one two three four"), (7, "one two three four"), (None, "one two three four"), (None, "alone here"),
+            (None, "another text without id")]
     got = sorted(map(str, simhash.near_duplicates(clashing(documents(spark, rows), "fp", "bucket", "component")).collect()))
     want = {5: 3, 3: 3, 9: 3, 7: 7}
-    assert len(got) == 7
+    assert len(got) == 8
     for row in simhash.near_duplicates(documents(spark, rows)).collect():
         assert row.component_id == (want[row.doc_id] if row.doc_id is not None else 7 if row.fingerprint == f"{plain(rows[3][1]):016x}" else None)
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
     left = simhash.distinct(documents(spark, rows)).collect()
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in left) == [(False, 3), (False, 7), (True, 0)]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in left) == [(False, 3), (False, 7), (True, 0), (True, 0)]
 
 
 @pytest.mark.parametrize("number,spread,clusters", [(600, 64, 600), (2500, 12, 40), (900, 5, 1)])
