@@ -13,18 +13,22 @@ its last 2^k elements.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterstone.llm.common import drop_stored, stored
 
 
-def named(rows: DataFrame, by: list[str], place: str = "at") -> DataFrame:
-    """The rows whose ``by`` occurs more than once, with ``rank``, the smallest ``place`` among them,
-    and ``apart``, whether they are in more than one sequence. Counted with map-side combination and written, so that the join may split a frequent key."""
-    groups = stored(rows.groupBy(*by).agg(F.min(place).alias("rank"), F.count(F.lit(1)).alias("_times"),
-                                          (F.min("seq") < F.max("seq")).alias("apart"))
-                    .filter("_times > 1").drop("_times"), "ranks")
+def named(rows: DataFrame, by: list[str], across: bool, done: list[DataFrame]) -> DataFrame:
+    """The rows whose ``by`` occurs more than once (``across``: in more than one sequence), with
+    ``rank``, the smallest place among them. Counted with map-side combination and written, so that
+    the join may split a frequent key; the written table is added to ``done``."""
+    counts = (F.min("seq") < F.max("seq")) if across else (F.count(F.lit(1)) > 1)
+    groups = stored(rows.groupBy(*by).agg(F.min("at").alias("rank"), counts.alias("_repeats"))
+                    .filter("_repeats").drop("_repeats"), "ranks")
+    done.append(groups)
     return rows.join(groups, by)
 
 
@@ -34,10 +38,11 @@ def ahead(rows: DataFrame, by: int) -> DataFrame:
     return rows.withColumn("next", F.first("rank").over(there)).filter(F.col("next").isNotNull())
 
 
-def doubled(rows: DataFrame, length: int) -> DataFrame:
+def doubled(rows: DataFrame, length: int, across: bool, done: list[DataFrame]) -> DataFrame:
     """Ranks for ``2 * length`` elements from those for ``length`` (seq, pos, at, rank and more)."""
-    paired = stored(ahead(rows.drop("apart"), length), "pairs")
-    return named(paired.withColumnRenamed("rank", "first"), ["first", "next"])
+    paired = stored(ahead(rows, length).withColumnRenamed("rank", "first"), "pairs")
+    done.append(paired)
+    return named(paired, ["first", "next"], across, done)
 
 
 def repeated_windows(rows: DataFrame, across: bool = False) -> DataFrame:
@@ -46,30 +51,33 @@ def repeated_windows(rows: DataFrame, across: bool = False) -> DataFrame:
 
     ``rows`` has one row per element: seq and pos (its place in its sequence), at (its place in the
     order of all elements), keys ``key1`` and ``key2`` that are equal for equal elements only, and
-    ``lengths``, the lengths of the windows that begin there.
+    ``lengths``, the lengths of the windows that begin there. Tables of a round are removed when the
+    next one is written.
     """
-    level = stored(named(rows, ["key1", "key2"]).select("seq", "pos", "at", "rank", "apart", "lengths"), "level")
+    columns = ["seq", "pos", "at", "rank", "lengths"]
+    done: list[DataFrame] = []
+    level = stored(named(rows, ["key1", "key2"], across, done).select(*columns), "level")
+    counts = F.lit(True) if across else F.col("rank") < F.col("at")
     found, length = [], 1
-    counts = F.col("apart") if across else F.col("rank") < F.col("at")
     while True:
-        spans = (level.select("seq", "pos", "at", "rank", "apart", F.explode("lengths").alias("length"))
+        spans = (level.select("seq", "pos", "at", "rank", F.explode("lengths").alias("length"))
                  .filter((F.col("length") >= length) & (F.col("length") < 2 * length)))
         if length == 1:
-            found.append(spans.filter(counts).select("seq", "pos", "length"))
+            hits = spans
         else:
             last = level.select("seq", F.col("pos").alias("last"), F.col("rank").alias("last_rank"))
             runs = stored(spans.withColumn("last", F.col("pos") + F.col("length") - length).join(last, ["seq", "last"])
                           .select("seq", "pos", "at", "length", F.col("rank").alias("first_rank"), "last_rank"), "runs")
-            found.append(stored(named(runs, ["length", "first_rank", "last_rank"]).filter(counts)
-                                .select("seq", "pos", "length"), "found"))
-        longer = level.filter(F.exists("lengths", lambda n: n >= 2 * length)).isEmpty()
-        if longer:
+            done.append(runs)
+            hits = named(runs, ["length", "first_rank", "last_rank"], across, done)
+        found.append(stored(hits.filter(counts).select("seq", "pos", "length"), "found"))
+        if level.filter(F.exists("lengths", lambda n: n >= 2 * length)).isEmpty():
             break
-        following = stored(doubled(level, length).select("seq", "pos", "at", "rank", "apart", "lengths"), "level")
-        if length > 1:
-            drop_stored(level)
+        following = stored(doubled(level, length, across, done).select(*columns), "level")
+        for table in (*done, level):
+            drop_stored(table)
+        done.clear()
         level, length = following, 2 * length
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    for table in (*done, level):
+        drop_stored(table)
+    return reduce(DataFrame.unionByName, found)
