@@ -17,7 +17,7 @@ Spark can reach. The index folder holds one Parquet row per record with file, of
 
 from __future__ import annotations
 
-import re
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,9 +28,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarterstone.llm.common import tidied
+
 MASK = 0xA282EAD8
 HEAD, TAIL, ID = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<BBq")
 END = b"\n"
+ROWS_AT_ONCE = 2000  # texts handed to a task's encoder together
 
 
 def masked(data: bytes) -> int:
@@ -73,7 +76,8 @@ class Encoder:
 
     RUN = r"(^|[\s\p{Z}\x{85}\x1c-\x1f\x0b]) "
 
-    def __init__(self, path: str, end_id: int = 0, keep: int = 400_000):
+    def __init__(self, path: str, end_id: int = 0, keep: int = 500_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism; a pool costs memory
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep, self.known = Tokenizer.from_file(path), keep, {}
@@ -113,8 +117,8 @@ class Encoder:
         found = list(map(self.known.get, words))
         new = [w for w, ids in zip(words, found) if ids is None]
         if new:
-            if len(self.known) + len(new) > self.keep:
-                self.known, new = {}, words
+            if len(self.known) + len(new) > self.keep:  # keep what this slice has met again
+                self.known = {w: ids for w, ids in zip(words, found) if ids is not None}
             self.learn(new)
             found = list(map(self.known.__getitem__, words))
         return found
@@ -151,7 +155,7 @@ class Encoder:
         return out
 
 
-def encode_batches(path: str, end_id: int, most: int = 1 << 22):
+def encode_batches(path: str, end_id: int, most: int = 6 << 20):
     def run(batches):
         encoder = Encoder(path, end_id)
         for batch in batches:
@@ -178,11 +182,16 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(encode_batches(tokenizer, end_id), "frame binary")
-     .select(F.col("frame").cast("string").alias("value"))
-     .write.option("lineSep", END.decode()).option("maxRecordsPerFile", records_per_file)
-     .text(f"{path}/data"))
+    frames_ = (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+               .mapInArrow(tidied(encode_batches(tokenizer, end_id)), "frame binary")
+               .select(F.col("frame").cast("string").alias("value")))
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, min(int(before), ROWS_AT_ONCE) if int(before) > 0 else ROWS_AT_ONCE)
+    try:
+        (frames_.write.option("lineSep", END.decode()).option("maxRecordsPerFile", records_per_file).text(f"{path}/data"))
+    finally:
+        conf.set(key, before)
 
 
 def _index_batches(batches):
@@ -209,7 +218,7 @@ def write_index(spark: SparkSession, path: str) -> DataFrame:
     """Read all data files back, check every checksum, and write and return the offset index:
     file, doc_id, offset, length, n_tokens, before (ids in earlier records of the file), ids_crc32."""
     (read_contents(spark, path).mapInArrow(
-        _index_batches, "file string, doc_id long, offset long, length long, n_tokens long, before long, ids_crc32 long")
+        tidied(_index_batches), "file string, doc_id long, offset long, length long, n_tokens long, before long, ids_crc32 long")
      .write.parquet(f"{path}/index"))
     return read_index(spark, path)
 
@@ -237,9 +246,10 @@ def _pick_batches(batches):
         for row in range(batch.num_rows):
             content = batch.column(1)[row].as_py()
             rows = []
-            for place, at, size in zip(*(batch.column(2)[row].as_py()[k] for k in ("place", "offset", "length"))):
-                _, _, doc_id, ids = next(frames(content[at:at + size]))
-                rows.append((place, doc_id, ids.astype(np.int64)))
+            for wanted in batch.column(2)[row].as_py():
+                start = wanted["offset"]
+                _, _, doc_id, ids = next(frames(content[start:start + wanted["length"]]))
+                rows.append((wanted["place"], doc_id, ids.astype(np.int64)))
             columns = list(zip(*rows)) or [[]] * 3
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
@@ -249,8 +259,6 @@ def _pick_batches(batches):
 def fetch(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     """The records at the index rows ``wanted`` (place, file, offset, length): place, doc_id, ids.
     A file is read once for all of its wanted records; a record is cut out by its offset."""
-    lists = wanted.groupBy("file").agg(F.struct(*(
-        F.transform(F.sort_array(F.collect_list(F.struct("place", "offset", "length"))), lambda r, k=k: r[k]).alias(k)
-        for k in ("place", "offset", "length"))).alias("at"))
+    lists = wanted.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("place", "offset", "length"))).alias("at"))
     return (read_contents(spark, path).join(lists, "file").select("file", "content", "at")
-            .mapInArrow(_pick_batches, "place long, doc_id long, ids array<bigint>"))
+            .mapInArrow(tidied(_pick_batches), "place long, doc_id long, ids array<bigint>"))
