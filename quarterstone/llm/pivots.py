@@ -1,10 +1,9 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
-Each vector is described by its ``prefix`` nearest of a set of reference points (pivots), nearest
-first. Inverted lists hold, for each pivot, the vectors that name it; two vectors of one list that
-share at least ``shared`` pivots are candidates, and candidates are verified by cosine in double
-precision. Vectors close enough to link name nearly the same pivots: at cosine 0.93 in 64
-dimensions, with 256 pivots, 99.9 % share two of eight.
+Each vector is described by its ``prefix`` nearest of a set of reference points (pivots), no two of
+which are close: a dense group then has few, its members share them, and noise within the group
+decides nothing. Inverted lists hold, for each pivot, the vectors that name it; every two vectors of
+a list are compared by cosine in double precision, in the list of the first pivot they share.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +22,10 @@ from quarterstone.llm.components import components
 from quarterstone.llm.vectors import finite
 
 PIVOTS = 32, 2048  # least and most reference points
-PREFIX, SHARED = 8, 2
+PREFIX = 8
+APART = 0.5  # cosine that two pivots stay under
+POOL = 4  # sampled vectors for each pivot
+TILE = 1024  # rows and columns of vectors compared at once
 
 
 def units(vectors: list | np.ndarray) -> np.ndarray:
@@ -33,15 +36,31 @@ def units(vectors: list | np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
+def matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """The rows of a list column whose lists are all of one length."""
+    return pc.list_flatten(vectors).to_numpy().astype(np.float64).reshape(len(vectors), -1)
+
+
+def thinned(rows: np.ndarray, number: int) -> np.ndarray:
+    """The first ``number`` unit rows, leaving out each that is close to one taken before."""
+    taken = np.empty((number, rows.shape[1]))
+    n = 0
+    for row in rows:
+        if n == number:
+            break
+        if not n or (taken[:n] @ row).max() < APART:
+            taken[n] = row
+            n += 1
+    return taken[:n]
+
+
 def pivot_rows(vectors: DataFrame, total: int) -> dict[int, np.ndarray]:
-    """Reference points by vector length: a bounded sample, the vectors with the smallest hash.
-    Their number grows with the root of the table, from 32 to 2048."""
+    """Reference points by vector length: of a bounded sample, the vectors with the smallest hash,
+    those far from each other. Their number grows with the root of the table, from 32 to 2048."""
     number = min(PIVOTS[1], max(PIVOTS[0], 1 << math.ceil(math.log2(math.sqrt(max(total, 1))))))
-    rows = vectors.select("embedding").orderBy(F.xxhash64(F.lit(11), "uid"), "uid").limit(number).collect()
-    by_size: dict[int, list] = {}
-    for (vector,) in rows:
-        by_size.setdefault(len(vector), []).append(vector)
-    return {size: units(group) for size, group in by_size.items()}
+    rows = vectors.select("embedding").orderBy(F.xxhash64(F.lit(11), "uid"), "uid").limit(POOL * number).toArrow()
+    sizes = pc.list_value_length(rows.column(0)).to_numpy()
+    return {int(size): thinned(units(matrix(rows.column(0).filter(pa.array(sizes == size)))), number) for size in np.unique(sizes)}
 
 
 def _prefix_batches(pivots: dict[int, np.ndarray], prefix: int):
@@ -66,26 +85,32 @@ def _prefix_batches(pivots: dict[int, np.ndarray], prefix: int):
     return run
 
 
-def shared_counts(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For rows of ascending pivot numbers: how many each two rows share, and the smallest shared."""
-    values, place = np.unique(names, return_inverse=True)
-    member = np.zeros((len(names), len(values)), np.float32)
-    member[np.arange(len(names))[:, None], place.reshape(names.shape)] = 1
-    counts = (member @ member.T).astype(np.int64)
-    first = np.full(counts.shape, np.iinfo(np.int64).max)
-    order = np.arange(len(values))
-    a, b = np.nonzero(np.triu(counts, 1))
-    both = member[a].astype(bool) & member[b].astype(bool) if len(a) * len(values) < 1 << 26 else None
-    if both is not None:
-        first[a, b] = values[both.argmax(axis=1)]
-    else:
-        for v in order[::-1]:
-            rows = np.flatnonzero(member[:, v])
-            first[np.ix_(rows, rows)] = values[v]
-    return counts, first
-
-
-def _verify_batches(least: float, shared: int):
+def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For pairs of rows of ascending pivot numbers that share one or more, the smallest shared."""
+    both = (a[:, :, None] == b[:, None, :]).any(axis=2)
+    return a[np.arange(len(a)), both.argmax(axis=1)]
+
+
+def _linked_tiles(rows: np.ndarray, names: np.ndarray, pivot: int, second: np.ndarray | None, least: float):
+    """Index pairs of one group, a tile at a time: cosine ``least`` or more, ``pivot`` the first shared."""
+    for top in range(0, len(rows), TILE):
+        for left in range(top, len(rows), TILE):
+            near = rows[top:top + TILE] @ rows[left:left + TILE].T >= least - 1e-9
+            a, b = np.nonzero(np.triu(near, 1) if top == left else near)
+            a, b = a + top, b + left
+            if second is not None:
+                other = second[a] != second[b]
+                a, b = a[other], b[other]
+            for k in range(0, len(a), 65536):
+                i, j = a[k:k + 65536], b[k:k + 65536]
+                keep = np.einsum("ij,ij->i", rows[i], rows[j]) >= least
+                i, j = i[keep], j[keep]
+                keep = first_shared(names[i], names[j]) == pivot
+                if keep.any():
+                    yield i[keep], j[keep]
+
+
+def _verify_batches(least: float):
     def run(batches):
         for table, starts in whole_groups(batches, ["label", "size", "pivot", *SIDE[:2]], 4096):
             uid = table.column("uid").to_numpy()
@@ -94,25 +119,18 @@ def _verify_batches(least: float, shared: int):
             links_a, links_b = [], []
             for start, end in zip(starts, np.append(starts[1:], len(table))):
                 part = table.slice(start, end - start)
-                names = np.array(part.column("pivots").to_pylist())
-                together, first = shared_counts(names)
-                wanted = np.triu(together >= min(shared, names.shape[1]), 1) & (first == columns["pivot"][start])
-                if columns[SIDE[0]][start] != columns[SIDE[1]][start]:
-                    second = columns[SIDE[2]][start:end]
-                    wanted &= second[:, None] != second[None, :]
-                a, b = np.nonzero(wanted)
-                if not len(a):
-                    continue
-                rows = units(part.column("embedding").to_pylist())
-                near = np.concatenate([np.einsum("ij,ij->i", rows[a[k:k + 65536]], rows[b[k:k + 65536]]) >= least
-                                       for k in range(0, len(a), 65536)])
-                links_a.append(a[near] + start)
-                links_b.append(b[near] + start)
+                cross = columns[SIDE[0]][start] != columns[SIDE[1]][start]
+                for a, b in _linked_tiles(units(matrix(part.column("embedding"))), matrix(part.column("pivots")).astype(np.int64),
+                                          columns["pivot"][start], columns[SIDE[2]][start:end] if cross else None, least):
+                    counts[start:end] += np.bincount(a, minlength=len(part)) + np.bincount(b, minlength=len(part))
+                    # of the links, a spanning set
+                    root = roots(a, b, len(part))
+                    far = np.flatnonzero(root != np.arange(len(part)))
+                    links_a.append(far + start)
+                    links_b.append(root[far] + start)
             if not links_a:
                 continue
             a, b = np.concatenate(links_a), np.concatenate(links_b)
-            np.add.at(counts, a, 1)
-            np.add.at(counts, b, 1)
             values, index = np.unique(uid, return_inverse=True)
             root = roots(index[a], index[b], len(values))
             n_links = np.bincount(index, weights=counts, minlength=len(values)).astype(np.int64)
@@ -122,7 +140,7 @@ def _verify_batches(least: float, shared: int):
     return run
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.93, prefix: int = PREFIX, shared: int = SHARED) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = 0.93, prefix: int = PREFIX) -> DataFrame:
     """One row per vector: vec_id, n_links (other vectors linked directly), component_id (the
     smallest vec_id that links reach), kept.
 
@@ -139,7 +157,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, prefix: int = PREFI
     lists = (keyed.mapInArrow(tidied(_prefix_batches(pivots, prefix)), f"uid long, label long, embedding {kind}, size long, pivots array<int>")
              .withColumn("pivot", F.explode("pivots")).withColumn("pivot", F.col("pivot").cast("bigint")))
     found = stored(block_pairs(lists, ["label", "size", "pivot"], "uid")
-                   .mapInArrow(tidied(_verify_batches(least, shared)), "uid long, n long, root long"), "links")
+                   .mapInArrow(tidied(_verify_batches(least)), "uid long, n long, root long"), "links")
     joined = components(found.select(F.col("uid").alias("a"), F.col("root").alias("b")))
     placed = (rows.select("vec_id", "uid")
               .join(joined.withColumnRenamed("node", "uid"), "uid", "left")

@@ -55,6 +55,18 @@ def test_near_duplicates_of_clusters(spark):
     assert all(got[i].n_links <= n for i, n, _ in expected)
 
 
+def test_dense_noisy_group_keeps_its_links(spark, monkeypatch):
+    """A third of the rows about one point, links decided by their noise; as many pivots as 65,000 rows have."""
+    monkeypatch.setattr(pivots, "PIVOTS", (256, 2048))
+    draw = np.random.default_rng(4)
+    vectors = unit(draw.normal(size=(1200, 64)))
+    vectors[:400] = unit(vectors[0] + 0.24 * unit(draw.normal(size=(400, 64))) * draw.uniform(0.8, 1.3, (400, 1)))
+    ids = draw.permutation(1200).tolist()
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in
+                  pivots.near_duplicates(frame(spark, zip(ids, vectors.tolist(), [0] * 1200))).collect()), key=str)
+    assert got == want(ids, vectors.tolist(), [0] * 1200) and sum(n for _, n, _ in got) > 50_000
+
+
 def test_odd_vectors(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, v, 0), (2, v, 0), (2, v, 0), (3, v, 1), (4, v, None), (5, None, 0), (6, [0.0, 0.0, 0.0], 0), (7, [1.0, None, 3.0], 0),
