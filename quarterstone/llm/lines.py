@@ -5,13 +5,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterstone.llm.common import stored, tidied
+from quarterstone.llm.common import drop_stored, stored, tidied
 from quarterstone.llm.runs import repeated_windows
 
 LEAST_WORDS = 10  # words of a run from which on its repetition counts
+TEXT_KEYS = ["text1", "text2"]  # 128 bits that tell texts apart
+
+
+def _text_keys(names: list[str]) -> list[Column]:
+    return [F.xxhash64("text").alias(names[0]), F.xxhash64(F.lit(29), "text").alias(names[1])]
 
 
 def window_lengths(words: np.ndarray, least: int) -> list[list[int]]:
@@ -32,26 +37,26 @@ def window_lengths(words: np.ndarray, least: int) -> list[list[int]]:
 
 
 def _line_batches(least: int):
-    names = ["doc_id", "text_key", "line", "pos", "key1", "key2", "lengths"]
+    names = ["uid", "doc_id", *TEXT_KEYS, "line", "pos", "key1", "key2", "lengths"]
 
     def run(batches):
         for batch in batches:
             out = [[] for _ in names]
-            for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
+            for *document, text in zip(*(batch.column(c).to_pylist() for c in (*names[:4], "text"))):
                 lines = [(i, raw) for i, x in enumerate(text.split("\n"))
                          if (raw := x.encode("utf-8", "surrogatepass")).strip(b" \t\n\r\x0b\x0c")]
                 if not lines:
                     continue
                 words = np.fromiter((len(raw.split()) for _, raw in lines), np.int64, len(lines))
                 digests = [xxhash.xxh3_128_intdigest(raw) for _, raw in lines]
-                out[0] += [doc_id] * len(lines)
-                out[1] += [key] * len(lines)
-                out[2] += [i for i, _ in lines]
-                out[3] += range(len(lines))
-                out[4] += [(d >> 64) - (1 << 63) for d in digests]
-                out[5] += [(d & ((1 << 64) - 1)) - (1 << 63) for d in digests]
-                out[6] += window_lengths(words, least)
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+                for column, value in zip(out, document):
+                    column += [value] * len(lines)
+                out[4] += [i for i, _ in lines]
+                out[5] += range(len(lines))
+                out[6] += [(d >> 64) - (1 << 63) for d in digests]
+                out[7] += [(d & ((1 << 64) - 1)) - (1 << 63) for d in digests]
+                out[8] += window_lengths(words, least)
+            kinds = [*[pa.int64()] * 4, pa.int32(), *[pa.int64()] * 3, pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
     return run
 
@@ -64,27 +69,36 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     document, blank ones not counted; it is repeated if the same lines follow each other elsewhere,
     in the same document or another, and counts if it has ``least_words`` words or more. Of a
     repeated run the first stays, in the order of doc_id (null last), line number; a document that
-    repeats a doc_id with another text follows in the order of a hash of its text, and an exact
+    repeats a doc_id with another text follows in the order of two hashes of its text, and an exact
     repetition of a row loses all lines that are in a run. A null text stays null; blank lines stay,
     as do texts without repeated runs, as they are. Columns named lines or removed are replaced.
     """
     kept = [c for c in docs.columns if c not in ("lines", "removed")]
-    rows = docs.select(*kept).withColumn("_key", F.xxhash64("text"))
-    lines = stored(
-        rows.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("doc_id"), F.col("_key").alias("text_key"), "text")
-        .filter(F.col("text").isNotNull())
-        .mapInArrow(tidied(_line_batches(least_words)), "doc_id long, text_key long, line int, pos long, key1 long, key2 long, lengths array<int>")
-        .withColumn("seq", (F.col("doc_id").cast("decimal(19,0)") * F.lit("10000000000000000000").cast("decimal(20,0)")
-                            + (F.pmod("text_key", F.lit(10 ** 8)) * F.lit(10 ** 10)).cast("decimal(20,0)")).cast("decimal(38,0)"))
-        .withColumn("at", (F.col("seq") + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")), "lines")
+    rows = docs.select(*kept)
+    texts = (rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), *_text_keys(TEXT_KEYS), "text")
+             .filter(F.col("text").isNotNull()).withColumn("uid", F.monotonically_increasing_id()))
+    raw = stored(texts.mapInArrow(tidied(_line_batches(least_words)),
+                                  "uid long, doc_id long, text1 long, text2 long, line int, pos long, key1 long, key2 long, lengths array<int>"), "raw-lines")
+    # one row for each distinct document; ascending ids over range partitions number them in order
+    numbered = stored(raw.filter("pos = 0").groupBy("doc_id", *TEXT_KEYS).agg(F.min("uid").alias("uid"))
+                      .orderBy(F.col("doc_id").asc_nulls_last(), *TEXT_KEYS)
+                      .select("uid", F.monotonically_increasing_id().alias("seq")), "documents")
+    lines = stored(raw.join(numbered, "uid").drop("uid")
+                   .withColumn("at", (F.col("seq").cast("decimal(19,0)") * F.lit(10 ** 10).cast("decimal(11,0)")
+                                      + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")), "lines")
+    drop_stored(raw)
     windows = repeated_windows(lines.select("seq", "pos", "at", "key1", "key2", "lengths"))
     covered = (windows.select("seq", F.explode(F.sequence("pos", F.col("pos") + F.col("length") - 1)).alias("pos")).distinct())
-    gone = (lines.select("seq", "pos", "doc_id", "text_key", "line").join(covered, ["seq", "pos"])
-            .groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("line")).alias("_gone"))
-            .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), "_gone"))
-    again = Window.partitionBy("_id", "_text").orderBy(F.lit(1))
-    marked = (rows.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1))).withColumnRenamed("_key", "_text")
-              .join(stored(gone, "gone"), ["_id", "_text"], "left")
+    gone = (lines.select("seq", "pos", "doc_id", *TEXT_KEYS, "line").join(covered, ["seq", "pos"])
+            .groupBy("doc_id", *TEXT_KEYS).agg(F.sort_array(F.collect_set("line")).alias("_gone"))
+            .select(F.col("doc_id").alias("_gone_id"), *(F.col(k).alias(f"_gone_{k}") for k in TEXT_KEYS), "_gone"))
+    keys = [f"_{k}" for k in TEXT_KEYS]
+    again = Window.partitionBy("_id", *keys).orderBy(F.lit(1))
+    same = F.equal_null("_id", "_gone_id")
+    for k in TEXT_KEYS:
+        same &= F.col(f"_{k}") == F.col(f"_gone_{k}")
+    marked = (rows.withColumn("_id", F.col("doc_id").cast("bigint")).select("*", *_text_keys(keys))
+              .join(stored(gone, "gone"), same, "left")
               .withColumn("_copy", F.row_number().over(again)))
     split = F.split("text", "\n", -1)
     everything = F.expr("filter(transform(_lines, (x, i) -> if(x rlike '^[\\\\x20\\\\x09-\\\\x0D]*$', null, i)), i -> i is not null)")

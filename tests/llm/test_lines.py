@@ -66,6 +66,24 @@ def test_odd_rows(spark):
     assert lines.dedup_lines(documents(spark, [])).count() == 0
 
 
+def test_documents_without_id_stay_apart(spark):
+    """Two texts whose hashes agree in their last eight decimal digits."""
+    import xxhash
+
+    shared = "one passage of ten words or more that two texts share"
+    seen, pair = {}, None
+    for k in range(200_000):
+        text = f"opening of text {k} with a few words of its own\n{shared}" if k % 2 else f"a clean text {k} that shares nothing with others\nits second line {k} has more than ten words in all here"
+        digest = xxhash.xxh64_intdigest(text.encode(), 42)
+        other = seen.setdefault((digest - (digest >> 63 << 64)) % 10 ** 8, (k, text))
+        if (other[0] + k) % 2:
+            pair = [text, other[1]]
+            break
+    rows = [(1, shared), *((None, t) for t in pair), (None, pair[0]), (None, pair[0])]
+    got = sorted(r.text for r in lines.dedup_lines(documents(spark, rows)).collect())
+    assert got == sorted([shared, *(t.removesuffix("\n" + shared) for t in pair), "", ""])
+
+
 def test_page_structure():
     assert pages.blocks("<p>a &amp; b") == [("a & b", False, False)]
     assert pages.blocks("") == [] and pages.blocks("x < y <b") == [("x < y", False, False)]
