@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterstone.llm import lines, mixing, pages, pivots, quality, records, simhash, topk, toxicity, unigram
+from quarterstone.llm import (
+    infill, licenses, lines, mixing, negatives, pages, pivots, quality, records, simhash, topk, toxicity, unigram)
 from quarterstone.llm.common import load, stored
 from quarterstone.session import shared_dir
 
@@ -63,6 +64,20 @@ def op10_unigram_pieces(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("decoded") == F.col("text")).alias("lossless"))
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.summary(licenses.scan(load(spark, folder, "documents")))
+
+
+def op12_infill_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    arranged = infill.transform(load(spark, folder, "documents"), seed=7, rate=100, spm=50)
+    columns = ("doc_id", "n", "prefix_chars", "middle_chars", "output_sha256")
+    return infill.restore(arranged, columns).select(*columns, "form", "restored_sha256")
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mine(negatives.shifted_labels(load(spark, folder, "embeddings")))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,5 +87,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_records, op2_pivot_near_duplicates, op3_host_repeats_main_text, op4_mixture, op5_toxicity_machine, op6_quality_ranking,
     op7_simhash_near_duplicates, op8_impact_ordered_top_k, op9_repeated_line_runs,
-    op10_unigram_pieces, pipeline)}
-SQL: dict[str, str] = {"op9_repeated_line_runs": lines.SQL}
+    op10_unigram_pieces, op11_license_scan, op12_infill_pieces, op13_hard_negatives, pipeline)}
+SQL: dict[str, str] = {"op9_repeated_line_runs": lines.SQL, "op12_infill_pieces": infill.SQL, "op13_hard_negatives": negatives.SQL}
