@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterstone.llm.blocks import SIDE, block_pairs, candidate_pairs, roots, whole_groups
@@ -176,5 +176,5 @@ def distinct(docs: DataFrame, bits: int = 3) -> DataFrame:
                   .select(F.col("component_id").alias("_kept"), F.col("fp").alias("_fp")), "kept")
     columns = docs.columns
     rows = fingerprints(docs, columns).join(kept, F.equal_null("doc_id", "_kept") & (F.col("fp") == F.col("_fp")))
-    once = Window.partitionBy("_kept", "_fp").orderBy(F.lit(1))
-    return rows.withColumn("_copy", F.row_number().over(once)).filter("_copy = 1").select(*columns)
+    # repeated rows of one id: each task hands on one of them
+    return rows.dropDuplicates(["_kept", "_fp"]).select(*columns)

@@ -6,7 +6,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quarterstone.llm import blocks, fingerprints, queries, simhash
+from quarterstone.llm import blocks, components as components_module, fingerprints, queries, simhash
 from quarterstone.llm.components import components
 from tests.llm import helpers
 from tests.llm.helpers import FOLDER, clashing, documents, tables
@@ -93,6 +93,26 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+@pytest.mark.parametrize("shape", ["up", "down", "shuffled", "comb"])
+def test_long_chains_settle_in_logarithmic_rounds(spark, monkeypatch, shape):
+    n, rounds = 10_000, []
+    parents = components_module._parents
+    monkeypatch.setattr(components_module, "_parents", lambda live, draw: rounds.append(draw) or parents(live, draw))
+    order = {"up": np.arange(n), "down": np.arange(n)[::-1], "shuffled": np.random.default_rng(1).permutation(n), "comb": np.arange(n)}[shape]
+    pairs = list(zip(order[:-1].tolist(), order[1:].tolist()))
+    if shape == "comb":
+        pairs = [(i, i + 1) for i in range(n // 2 - 1)] + [(i, i + n // 2) for i in range(n // 2)]
+    got = components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()
+    assert {r.node: r.component for r in got} == dict.fromkeys(range(n), 0) and len(rounds) <= 18
+
+
+def test_chained_fingerprints_are_one_component(spark):
+    """Each print is one bit from the next, the ends far apart."""
+    rows = spark.createDataFrame([((1 << k) - 1,) for k in range(63)], "fp bigint")
+    got = {r.node: r.component for r in components(simhash.linked(rows, 1)).collect()}
+    assert got == {(1 << k) - 1: 0 for k in range(63)}
+
+
 def test_blocks_pair_every_two_members_once(spark):
     rows = spark.createDataFrame([(b, i) for b, n in ((1, 1), (2, 2), (3, 700)) for i in range(n)], "bucket bigint, m bigint")
     seen = {}
