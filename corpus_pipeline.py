@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterstone.llm import lines, mixing, shingles, toxicity, unigram
+from quarterstone.llm import lines, mixing, simhash, toxicity, unigram
 from quarterstone.llm.common import load, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,10 +34,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest doc_id; of rows
-    with equal doc_id and text one stays. Near-duplicates share 0.8 or more of their five-word shingles, which
-    64 bits of SimHash cannot find in few comparisons: candidates come from MinHash bands. A document without doc_id stays only in a group
-    without other documents."""
-    return shingles.distinct(docs.select(*COLUMNS)).select(*COLUMNS)
+    with equal doc_id and fingerprint one stays. Near-duplicates are linked by SimHash fingerprints of three-word
+    shingles that differ in at most 3 bits. A document without doc_id stays only in a group without other documents."""
+    return simhash.distinct(docs.select(*COLUMNS), bits=3).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
