@@ -25,7 +25,7 @@ from quarterstone.llm.vectors import finite
 
 REFERENCES = 16
 SAMPLE = 2048  # vectors the references are fitted on; results do not depend on it
-ANGLE_SLACK = 1e-6  # radians; stored angles are off by less than a quarter of it
+ANGLE_SLACK = 2e-6  # radians; single-precision angles and their sums are off by less than half of it
 SAFE = 2.0 ** 22  # a component above goes without bounds and is multiplied as a Python integer
 SHARD_BYTES = 64 << 20
 CELL = 256
@@ -63,16 +63,22 @@ def angles_to(values: np.ndarray, directions: np.ndarray) -> np.ndarray:
 
 def cosine_range(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Cosines of an interval of angles, widened."""
-    return np.cos(np.minimum(high + ANGLE_SLACK, np.pi)) - 1e-9, np.cos(np.maximum(low - ANGLE_SLACK, 0.0)) + 1e-9
+    return (np.cos(np.minimum(high + ANGLE_SLACK, np.pi), dtype=np.float64) - 1e-9,
+            np.cos(np.maximum(low - ANGLE_SLACK, 0.0), dtype=np.float64) + 1e-9)
 
 
-def angle_range(anchor: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Interval of the angle between the anchor and vectors whose angles lie in least..most, by reference in the last axis."""
+def angle_range(anchor: np.ndarray, least: np.ndarray, most: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Interval of the angle between the anchor and vectors whose angles to each reference (by row) are ``least``, or
+    lie in least..most."""
     if not len(anchor):
-        return np.zeros(len(least)), np.full(len(least), np.pi)
-    apart = np.maximum(np.maximum(least - anchor, anchor - most), 0.0).max(axis=1)
-    around = np.minimum(anchor + most, 2 * np.pi - anchor - least).min(axis=1)
-    return apart, np.minimum(around, np.pi)
+        return np.zeros(least.shape[1]), np.full(least.shape[1], np.pi)
+    at, turned = anchor[:, None], (np.pi - anchor)[:, None]
+    if most is None:
+        apart = np.abs(least - at).max(axis=0)
+        # the sum of both angles, or what it leaves of a full turn: as far from pi either way
+        return apart, np.pi - np.abs(least - turned).max(axis=0)
+    apart = np.maximum(np.maximum(least - at, at - most).max(axis=0), 0.0)
+    return apart, np.pi - np.maximum(np.maximum(least - turned, turned - most).max(axis=0), 0.0)
 
 
 @dataclass
@@ -84,21 +90,21 @@ class Shard:
     known: np.ndarray  # whether a row has an id
     labels: np.ndarray
     values: np.ndarray
-    angles: np.ndarray
+    angles: np.ndarray  # a row for each reference
 
     def __post_init__(self):
-        near = self.angles.argmin(axis=1) if self.angles.shape[1] else np.zeros(len(self.uids), int)
-        own = self.angles[np.arange(len(near)), near] if self.angles.shape[1] else near
-        order = np.lexsort((own, near))
-        for name in ("uids", "ids", "known", "labels", "values", "angles"):
+        n = len(self.uids)
+        near = self.angles.argmin(axis=0) if len(self.angles) else np.zeros(n, int)
+        order = np.lexsort((self.angles[near, np.arange(n)] if len(self.angles) else near, near))
+        for name in ("uids", "ids", "known", "labels", "values"):
             setattr(self, name, getattr(self, name)[order])
+        self.angles = np.ascontiguousarray(self.angles[:, order])
         self.largest = np.abs(self.values).max(initial=0.0)
         with np.errstate(over="ignore"):
             self.norms = np.linalg.norm(self.values, axis=1)
-        self.starts = np.arange(0, len(order), CELL)
-        if len(order):
-            self.least, self.most = (f.reduceat(self.angles, self.starts, axis=0) if self.angles.shape[1] else np.zeros((len(self.starts), 0))
-                                     for f in (np.minimum, np.maximum))
+        self.starts = np.arange(0, n, CELL)
+        if n:
+            self.least, self.most = (f.reduceat(self.angles, self.starts, axis=1) for f in (np.minimum, np.maximum))
             self.smallest_norm, self.largest_norm = (f.reduceat(self.norms, self.starts) for f in (np.minimum, np.maximum))
         self.scored = 0
 
@@ -107,38 +113,41 @@ class Shard:
         if max(self.largest, query.largest) > SAFE:
             rows = np.flatnonzero(within)
             return rows, np.full(len(rows), -np.inf), np.full(len(rows), np.inf)
-        a, b = self.scores_between(*cosine_range(*angle_range(query.angles, self.least, self.most)),
-                                   query.norm * self.smallest_norm, query.norm * self.largest_norm)
-        cells = np.flatnonzero((b >= low) & (a <= high))
-        rows = (self.starts[cells][:, None] + np.arange(CELL)).ravel()
-        rows = rows[rows < len(self.uids)]
-        rows = rows[within[rows]]
-        angles, norms = self.angles[rows], query.norm * self.norms[rows]
-        a, b = self.scores_between(*cosine_range(*angle_range(query.angles, angles, angles)), norms, norms)
+        a, b = scores_between(*cosine_range(*angle_range(query.angles, self.least, self.most)),
+                              query.norm * self.smallest_norm, query.norm * self.largest_norm)
+        cells = (b >= low) & (a <= high)
+        rows = np.flatnonzero(within if cells.all() else within & np.repeat(cells, CELL)[:len(within)])
+        every = len(rows) > 0.8 * len(within)  # then taking rows out costs more than their bounds
+        angles, norms = (self.angles, self.norms) if every else (self.angles[:, rows], self.norms[rows])
+        a, b = scores_between(*cosine_range(*angle_range(query.angles, angles)), query.norm * norms, query.norm * norms)
+        if every:
+            a, b = a[rows], b[rows]
         keep = (b >= low) & (a <= high)
         return rows[keep], a[keep], b[keep]
 
-    @staticmethod
-    def scores_between(low, high, least_norm, most_norm):
-        """Scores of cosines low..high and products of norms least..most, with room for rounding."""
-        a = low * np.where(low < 0, most_norm, least_norm)
-        b = high * np.where(high < 0, least_norm, most_norm)
-        return a - 0.5 - 1e-9 * np.abs(a), b + 0.5 + 1e-9 * np.abs(b)
-
     def scores(self, query: Query, rows: np.ndarray) -> np.ndarray:
         """Integer inner products: in doubles where these are exact, else as integers of any size."""
         self.scored += len(rows)
-        values = self.values[rows]
         if self.largest * query.largest * max(len(query.values), 1) < 2.0 ** 53:
-            return (values @ query.values).astype(np.int64)
-        exact = np.array([sum(int(x) * int(y) for x, y in zip(v, query.values)) for v in values], object)
+            if len(rows) > 0.5 * len(self.uids):  # copying most rows out costs more than their products
+                return (self.values @ query.values)[rows].astype(np.int64)
+            return (self.values[rows] @ query.values).astype(np.int64)
+        exact = np.array([sum(int(x) * int(y) for x, y in zip(v, query.values)) for v in self.values[rows]], object)
         return exact if len(exact) else np.zeros(0, np.int64)
 
     def first(self, rows: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
         """Places of the k best: by score, then by id, rows without id last."""
         if scores.dtype == object:
             return np.array(sorted(range(len(rows)), key=lambda i: (-scores[i], not self.known[rows[i]], self.ids[rows[i]]))[:k], int)
-        return np.lexsort((self.ids[rows], ~self.known[rows], -scores))[:k]
+        best = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) > k else np.arange(len(scores))
+        return best[np.lexsort((self.ids[rows[best]], ~self.known[rows[best]], -scores[best]))[:k]]
+
+
+def scores_between(low: np.ndarray, high: np.ndarray, least_norm: np.ndarray, most_norm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of cosines low..high and products of norms least..most, with room for rounding."""
+    a = low * np.where(low < 0, most_norm, least_norm)
+    b = high * np.where(high < 0, least_norm, most_norm)
+    return a - 0.5 - 1e-9 * np.abs(a), b + 0.5 + 1e-9 * np.abs(b)
 
 
 @dataclass
@@ -165,30 +174,40 @@ def best_of_label(shard: Shard, query: Query, k: int) -> tuple[np.ndarray, np.nd
     return rows[first], scores[first]
 
 
-def best_in_window(shard: Shard, query: Query, score: int, k: int, low: int, high: int, known: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and scores of the k best rows of other labels with low % to high % of a positive's score.
-    ``known`` holds the query's scores found so far, by row."""
-    rows, least, most = shard.bounds(query, shard.labels != query.label, score * (low / 100) - 1, score * (high / 100) + 1)
-    sure = least[(least >= score * (low / 100) + 1) & (most <= score * (high / 100) - 1)]
-    if len(sure) >= k:
-        rows = rows[most >= np.partition(sure, len(sure) - k)[len(sure) - k]]
-    if "score" not in known:
-        known["score"] = np.zeros(len(shard.uids), object if shard.largest * query.largest * max(len(query.values), 1) >= 2.0 ** 53 else np.int64)
-        known["done"] = np.zeros(len(shard.uids), bool)
-    new = rows[~known["done"][rows]]
-    known["score"][new] = shard.scores(query, new)
-    known["done"][new] = True
-    scores = known["score"][rows]
-    fits = np.asarray((100 * scores >= low * score) & (100 * scores <= high * score), bool)
-    rows, scores = rows[fits], scores[fits]
-    first = shard.first(rows, scores, k)
-    return rows[first], scores[first]
+def best_in_windows(shard: Shard, query: Query, scores: list[int], k: int, low: int, high: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each positive's score, the k best rows of other labels with low % to high % of it: rows and scores.
+
+    Bounds are found once, for the span of all windows; each window then takes the rows whose interval overlaps its own, less those that
+    k others surely beat. Only rows that some window takes are scored.
+    """
+    asked = sorted(s for s in scores if s >= 0)
+    none = np.zeros(0, int), np.zeros(0, np.int64)
+    others = shard.labels != query.label
+    if not asked or not others.any():
+        return [none] * len(scores)
+    rows, least, most = shard.bounds(query, others, asked[0] * (low / 100) - 1, asked[-1] * (high / 100) + 1)
+    taken = np.zeros(len(rows), bool)
+    for score in set(asked):
+        start, end = score * (low / 100), score * (high / 100)
+        overlap = (most >= start - 1) & (least <= end + 1)
+        sure = least[(least >= start + 1) & (most <= end - 1)]
+        if len(sure) >= k:
+            overlap &= most >= np.partition(sure, len(sure) - k)[len(sure) - k]
+        taken |= overlap
+    rows = rows[taken]
+    found = shard.scores(query, rows)
+    out = []
+    for score in scores:
+        fits = np.flatnonzero(np.asarray((100 * found >= low * score) & (100 * found <= high * score), bool)) if score >= 0 else none[0]
+        first = fits[shard.first(rows[fits], found[fits], k)]
+        out.append((rows[first], found[first]))
+    return out
 
 
 # ---- batches -------------------------------------------------------------------------
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
+def _matrix(column: pa.Array, width: int, kind: type = np.float64) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(column), width)
 
 
 def _angle_batches(directions: dict[int, np.ndarray], scale: float):
@@ -196,16 +215,12 @@ def _angle_batches(directions: dict[int, np.ndarray], scale: float):
     def run(batches):
         for batch in batches:
             size = batch.column("size").to_numpy()
-            angles: list = [None] * len(size)
-            for width in np.unique(size):
+            angles: list = [np.zeros(0, np.float32)] * len(size)
+            for width in np.intersect1d(size, list(directions)):
                 at = np.flatnonzero(size == width)
-                if width in directions:
-                    values = whole(_matrix(batch.column("embedding").take(pa.array(at)), int(width)), scale)
-                    for i, row in zip(at, angles_to(values, directions[width]).astype(np.float32)):
-                        angles[i] = row
-                else:
-                    for i in at:
-                        angles[i] = np.zeros(0, np.float32)
+                values = whole(_matrix(batch.column("embedding").take(pa.array(at)), int(width)), scale)
+                for i, row in zip(at, angles_to(values, directions[width]).astype(np.float32)):
+                    angles[i] = row
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(angles, pa.list_(pa.float32()))], [*batch.schema.names, "angles"])
     return run
 
@@ -241,23 +256,20 @@ def _visit_batches(scale: float, answer):
                 for i, row in enumerate(part.select(["uid", "vec_id", "label", "positives"]).to_pylist()):
                     out += answer(shard, Query(row["uid"], row["label"], values[i], angles[i]), row)
             if out:
-                yield pa.RecordBatch.from_pylist(out, schema=FOUND_ARROW)
+                yield pa.RecordBatch.from_arrays([pa.array(column, kind.type) for column, kind in zip(zip(*out), FOUND_ARROW)], schema=FOUND_ARROW)
     return run
 
 
-def _angles(part) -> np.ndarray:
+def _angles(part: pa.RecordBatch) -> np.ndarray:
     angles = part.column("angles")
-    return _matrix(angles, len(angles[0]))
+    return _matrix(angles, len(angles[0]), np.float32)
 
 
 def _shard(parts: list[pa.RecordBatch], size: int, scale: float) -> Shard:
-    table = pa.Table.from_batches(parts).combine_chunks()
-    ids = table.column("vec_id")
-    one = {c: table.column(c).combine_chunks() for c in ("embedding", "angles")}
-    if isinstance(one["embedding"], pa.ChunkedArray):
-        one = {c: pa.concat_arrays(x.chunks) for c, x in one.items()}
-    return Shard(table.column("uid").to_numpy(), ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(), table.column("label").to_numpy(),
-                 whole(_matrix(one["embedding"], size), scale), _matrix(one["angles"], len(one["angles"][0])))
+    columns = {c: pa.concat_arrays([part.column(c) for part in parts]) for c in ("uid", "vec_id", "label", "embedding", "angles")}
+    ids = columns["vec_id"]
+    return Shard(columns["uid"].to_numpy(), ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False), columns["label"].to_numpy(),
+                 whole(_matrix(columns["embedding"], size), scale), _matrix(columns["angles"], len(columns["angles"][0]), np.float32).T)
 
 
 FOUND = ("anchor_uid long, anchor_id long, place int, positive_id long, positive_score long, positive_exact string, "
@@ -266,12 +278,10 @@ FOUND_ARROW = pa.schema([("anchor_uid", pa.int64()), ("anchor_id", pa.int64()),
                          ("positive_score", pa.int64()), ("positive_exact", pa.string()), ("vec_id", pa.int64()), ("score", pa.int64()), ("exact", pa.string())])
 
 
-def _found(query: Query, row: dict, shard: Shard, rows, scores, place=None, positive=None) -> list[dict]:
-    return [{"anchor_uid": query.uid, "anchor_id": row["vec_id"], "place": place,
-             "positive_id": positive and positive["vec_id"], "positive_score": positive and positive["score"],
-             "positive_exact": positive and positive["exact"],
-             "vec_id": int(shard.ids[r]) if shard.known[r] else None, "score": _clip(s), "exact": str(s) if s != _clip(s) else None}
-            for r, s in zip(rows, scores)]
+def _found(query: Query, row: dict, shard: Shard, rows, scores, place=None, positive=None) -> list[tuple]:
+    about = (positive["vec_id"], positive["score"], positive["exact"]) if positive else (None, None, None)
+    return [(query.uid, row["vec_id"], place, *about, int(shard.ids[r]) if shard.known[r] else None, _clip(s), str(s) if s != _clip(s) else None)
+            for r, s in zip(rows.tolist(), scores.tolist())]
 
 
 def _positives(k: int):
@@ -280,12 +290,10 @@ def _positives(k: int):
 
 def _negatives(k: int, low: int, high: int):
     def answer(shard, query, row):
-        out, known = [], {}
-        for place, positive in enumerate(row["positives"]):
-            score = int(positive["exact"] or positive["score"])
-            if score >= 0 and (shard.labels != query.label).any():
-                out += _found(query, row, shard, *best_in_window(shard, query, score, k, low, high, known), place, positive)
-        return out
+        scores = [int(p["exact"] or p["score"]) for p in row["positives"]]
+        found = best_in_windows(shard, query, scores, k, low, high)
+        return [out for place, (positive, best) in enumerate(zip(row["positives"], found))
+                for out in _found(query, row, shard, *best, place, positive)]
     return answer
 
 
