@@ -538,7 +538,8 @@ _space = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}
 _page = f"regexp_replace(regexp_replace(replace(html, ',', ''), '<!--.*?-->', '', 'g'), '{_space}', '', 'g')"
 SQL["html_table_rows"] = _cells(f"SELECT page_id, {_extract(f'{_extract(_page, chr(117) + chr(108))}[1]', 'li')} AS r FROM pages")
 SQL["board_pages"] = f"""WITH {MEMBERS}
-SELECT position AS "股票代码", list, 0 AS position, replace(name, ' ', '') AS "姓名", duty AS "职务",
+SELECT code AS "股票代码", list, CAST(row_number() OVER (PARTITION BY code, list, position // 100000 ORDER BY position) - 1 AS INTEGER) AS position,
+replace(name, ' ', '') AS "姓名", duty AS "职务",
 CAST(CASE WHEN duty = 'O' THEN 0 ELSE shares END AS DOUBLE) AS "持股数",
 CAST(CAST('1' || CAST(salary AS VARCHAR) AS DECIMAL(20,2)) AS DOUBLE) AS "报酬", replace(term, '-', '.') AS "起止时间"
 FROM members"""
@@ -590,11 +591,11 @@ FROM (SELECT o_orderkey, d, CAST(o_totalprice AS DECIMAL(20,4)) AS t, CAST(o_cus
 SQL["sql_over_views"] = f"""SELECT r.idst, count(*) AS n, count(r.roe) AS n_roe,
 CAST(sum(CAST(s.tca AS DECIMAL(20,2))) AS DOUBLE) AS tca, max(r.rp) AS last_rp
 FROM ({SQL['roe_q4']}) r JOIN ({SQL['s_q4a']}) s ON r.code = s.code GROUP BY r.idst"""
-SQL["json_lookup"] = f"""WITH {BASE}
-SELECT d.code, d.rp, CAST(a.net_profit AS DOUBLE) AS net_profit, CAST(b.total_revenue AS DOUBLE) AS revenue_year_ago,
-CAST(NULL AS DOUBLE) AS unknown_item
-FROM istd d LEFT JOIN ist a ON a.code = d.code AND a.period = d.rp
-LEFT JOIN ist b ON b.code = d.code AND b.period = {month_end('d.rp', -12)}"""
+SQL["json_lookup"] = f"WITH {BASE}\n" + "\nUNION ALL\n".join(f"""SELECT '{s}' AS statement, d.code, d.rp, CAST(a.{latest} AS DOUBLE) AS latest,
+CAST(b.{year_ago} AS DOUBLE) AS year_ago, CAST(NULL AS DOUBLE) AS unknown_item, CAST(NULL AS DOUBLE) AS unknown_period
+FROM {NAME[s]}d d LEFT JOIN {NAME[s]} a ON a.code = d.code AND a.period = d.rp
+LEFT JOIN {NAME[s]} b ON b.code = d.code AND b.period = {month_end('d.rp', -12)}""" for s, latest, year_ago in (
+    ("is", "net_profit", "total_revenue"), ("bs", "total_assets", "total_equity"), ("cf", "operating_cash", "investing_cash")))
 
 # ---- predicates and joins ------------------------------------------------------------
 

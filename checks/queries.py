@@ -15,8 +15,8 @@ from quarterstone.functions import (
 from quarterstone.operators import keyed, snapshots
 from quarterstone.operators.statements import Lookup, report
 from quarterstone.plans import board, catalog, company, income, quality
-from quarterstone.plans.items import INCOME, STATEMENTS
-from quarterstone.session import shared_dir
+from quarterstone.plans.items import STATEMENTS
+from quarterstone.session import shared_dir, written
 from quarterstone.sources import cleaning, feeds, markup, quotes, statement_files, tables
 from quarterstone.sources.testtables import TestTables
 from quarterstone.streaming.quotes import append_stream, read_stream
@@ -258,17 +258,20 @@ def parse_quote_records(t):
 
 @query
 def pledge_ranked(t):
-    balance = F.col("c_acctbal").cast("string")
-    rows = t.table("customer").select(
-        (F.col("c_custkey") + tables.PREAMBLE_ROWS).alias("row_no"), F.lit("2018.04.06").alias("c0"),
-        F.col("c_custkey").cast("string").alias("c1"), F.col("c_name").alias("c2"),
-        F.col("c_nationkey").cast("string").alias("c3"),
-        F.when(F.col("c_acctbal") < 0, "--").otherwise(balance).alias("c4"), balance.alias("c5"),
-        F.concat(balance, F.lit(" x")).alias("c6"),
-        F.when(F.col("c_mktsegment") == "BUILDING", "n/a").otherwise(balance).alias("c7"))
-    preamble = t.spark.range(tables.PREAMBLE_ROWS).select(
-        F.col("id").alias("row_no"), *[F.lit("title").alias(f"c{i}") for i in range(8)])
-    return tables.pledge_ranked(preamble.unionByName(rows))
+    """Sheets are written as text, each with rows above its data and empty lines, and read line by line."""
+    balance, sheets = F.col("c_acctbal").cast("string"), 16
+    cells = [F.lit("2018.04.06"), F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_nationkey").cast("string"),
+             F.when(F.col("c_acctbal") < 0, "--").otherwise(balance), balance, F.concat(balance, F.lit(" x")),
+             F.when(F.col("c_mktsegment") == "BUILDING", "n/a").otherwise(balance)]
+    lines = t.table("customer").select(
+        F.pmod(F.xxhash64("c_custkey"), F.lit(sheets)).alias("sheet"), F.col("c_custkey").cast("bigint").alias("place"), F.concat_ws(",", *cells).alias("value"))
+    above = t.spark.range(sheets * (tables.PREAMBLE_ROWS + 2)).select(
+        F.pmod("id", F.lit(sheets)).alias("sheet"), (F.col("id") - (1 << 40)).alias("place"),
+        F.when(F.col("id") < 2 * sheets, "").otherwise("title,of,the,sheet").alias("value"))
+    path = shared_dir(t.spark, "sheets")
+    (lines.unionByName(above).repartition("sheet").sortWithinPartitions("sheet", "place").drop("place")
+     .write.partitionBy("sheet").text(path))
+    return tables.pledge_ranked(tables.read_sheet(t.spark, path, len(tables.PLEDGE_COLUMNS)))
 
 
 @query
@@ -334,17 +337,20 @@ def html_table_rows(t):
 
 @query
 def board_pages(t):
-    """A page with one board table per order, read back as members."""
-    def row(tag, *cells):
-        return F.concat(F.lit("<tr>\n"), *[F.concat(F.lit(f"<{tag} class='x'>"), c, F.lit(f"</{tag}>")) for c in cells], F.lit("</tr>"))
-    o = t.members()
-    heads = [F.lit(h) for h in ("序号", "姓 名", "职务", "起止时间", "持股数", "报酬")]
+    """Whole boards, a page for each company, list and 100,000 order numbers, read back as members; error pages
+    are left out by the guard."""
+    def row(*cells):
+        return F.concat(F.lit("<tr>\n"), *[F.concat(F.lit(f"<{tag} class='x'>"), c, F.lit(f"</{tag}>")) for tag, c in cells], F.lit("</tr>"))
+    heads = row(*[("th" if i < 3 else "td", F.lit(h)) for i, h in enumerate(("序号", "姓 名", "职务", "起止时间", "持股数", "报酬"))])
     shares = F.when(F.col("职务") == "O", "--").otherwise(F.col("持股数").cast("string"))
-    page = F.concat(F.lit("<html><!-- x --><table>"), row("th", *heads), row(
-        "td", F.lit("1"), "姓名", "职务", F.regexp_replace("起止时间", "-", "."), shares,
-        F.concat(F.lit("1,"), F.col("报酬").cast("string"))), F.lit("</table></html>"))
-    pages = o.select(F.col("position").alias("code"), "list", page.alias("html"))
-    return board.members_from_pages(pages)
+    member = row(*[("td", c) for c in (F.lit("1"), F.col("姓名"), F.col("职务"), F.regexp_replace("起止时间", "-", "."), shares,
+                                       F.concat(F.lit("1,"), F.col("报酬").cast("string")))])
+    chunk = F.expr("position div 100000")
+    boards = t.members().groupBy(F.col("股票代码").alias("code"), "list", chunk).agg(F.array_sort(F.collect_list(F.struct("position", member.alias("row")))).alias("rows"))
+    pages = boards.select("code", "list", F.concat(F.lit("<html><!-- x --><table>"), heads, F.array_join("rows.row", ""), F.lit("</table></html>")).alias("html"))
+    lost = t.company.select("code", F.lit("dsh").alias("list"), F.concat(F.lit("<!DOCTYPE html><table>"), heads, F.lit("</table>")).alias("html"))
+    found = pages.unionByName(lost)
+    return board.members_from_pages(found.where(cleaning.payload_verdict(F.col("html"), "<table") == "ok"))
 
 
 @query
@@ -469,15 +475,18 @@ def sql_over_views(t):
 
 @query
 def json_lookup(t):
-    docs = statement_files.nested_documents(t.long_cells()).where(F.col("statement") == "is")
-    stored = docs.select("code", "rp", F.to_json("data").alias("data"))
-    parsed = statement_files.parse_documents(stored)
-    at = statement_files.document_value
-    data, rp = F.col("data"), F.col("rp")
-    return parsed.select(
-        "code", "rp", at(data, INCOME["net_profit"], rp).alias("net_profit"),
-        at(data, INCOME["total_revenue"], eofm(rp, -12)).alias("revenue_year_ago"),
-        at(data, "没有", rp).alias("unknown_item"))
+    """All three statements as JSON text, parsed once into VARIANT and written; values by item and period."""
+    docs = statement_files.nested_documents(t.long_cells())
+    text = docs.select("statement", "code", "rp", F.to_json("data").alias("data"))
+    stored = written(statement_files.variant_documents(text), "variants")
+    at, data, rp, statement = statement_files.document_value, F.col("data"), F.col("rp"), F.col("statement")
+
+    def item(**fields):
+        return F.coalesce(*[F.when(statement == s.rstrip("_"), STATEMENTS[s.rstrip("_")][f]) for s, f in fields.items()])
+    return stored.select(
+        "statement", "code", "rp", at(data, item(is_="net_profit", bs="total_assets", cf="operating_cash"), rp).alias("latest"),
+        at(data, item(is_="total_revenue", bs="total_equity", cf="investing_cash"), eofm(rp, -12)).alias("year_ago"),
+        at(data, "没有", rp).alias("unknown_item"), at(data, item(is_="eps", bs="goodwill", cf="fx_effect"), F.lit("1900-12-31")).alias("unknown_period"))
 
 
 # ---- predicates, joins, duplicates ---------------------------------------------------

@@ -3,129 +3,95 @@
     python -m quarterstone.jobs load-statements --files reports/ --store store/
     python -m quarterstone.jobs refresh --store store/ --reports reports_out/
 
-A store keeps one folder per input. A changed input is written as a new version beside the
-old ones, and readers take the newest committed version: they never see a half-written
-table, a lost job leaves the last version in force, and a repeated run does no harm.
+A store (``store.py``) keeps one folder per input: readers never see a half-written table, a lost job
+leaves the last state in force, and a repeated run does no harm. Deliveries by company change only
+the partitions that hold their companies.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
-import hashlib
-import re
-import time
-import uuid
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quarterstone.functions import exploded
-from quarterstone.operators.keyed import append_new_keys, keep_first, upsert_by_key
+from quarterstone.operators.keyed import append_new_keys, keep_first
 from quarterstone.operators.snapshots import newest_day, open_day_rows, replace_day
 from quarterstone.operators.statements import DocumentSource
 from quarterstone.plans import catalog, quality
-from quarterstone.plans.board import board_all, members_from_pages
+from quarterstone.plans.board import LISTS, board_all, members_from_pages
 from quarterstone.plans.company import dim_company
-from quarterstone.plans.items import STATEMENTS
+from quarterstone.plans.items import CODE, STATEMENTS
 from quarterstone.session import build_session
 from quarterstone.sources import cleaning, feeds, markup, quotes, statement_files, tables
+from quarterstone.store import Store
+from quarterstone.streaming.quotes import append_stream, open_day_stream, quote_stream
 
 
-class Store:
-    """Named input tables under one shared folder, each a series of full versions."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _newest(self, name: str) -> str | None:
-        """Folder of the newest version whose write was committed."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path
-        table = path(f"{self.root}/{name}")
-        files = table.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(table):
-            return None
-        versions = sorted((str(f.getPath().getName()) for f in files.listStatus(table)), reverse=True)
-        for version in versions:
-            if files.exists(path(f"{self.root}/{name}/{version}/_SUCCESS")):
-                return f"{self.root}/{name}/{version}"
-        return None
-
-    def read(self, name: str) -> DataFrame | None:
-        """The newest version; a bucketed one as a table that keeps its buckets."""
-        newest = self._newest(name)
-        buckets = newest and re.search(r"-b(\d+)$", newest)
-        if not buckets:
-            return None if newest is None else self.spark.read.parquet(newest)
-        table = self._table(newest)
-        if not self.spark.catalog.tableExists(table):
-            columns = self.spark.read.parquet(newest)._jdf.schema().toDDL()
-            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (code) SORTED BY (code) "
-                           f"INTO {buckets.group(1)} BUCKETS LOCATION '{newest}'")
-        return self.spark.table(table)
-
-    def need(self, name: str) -> DataFrame:
-        rows = self.read(name)
-        if rows is None:
-            raise LookupError(f"the store has no {name!r} yet; load it first")
-        return rows
-
-    @staticmethod
-    def _table(path: str) -> str:
-        return "stored_" + hashlib.md5(path.encode()).hexdigest()
-
-    def publish(self, name: str, rows: DataFrame, bucketed: bool = False) -> None:
-        """Full refresh as a new version; it counts once Spark has committed it. ``bucketed``: by code."""
-        path = f"{self.root}/{name}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        if bucketed:
-            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            path = f"{path}-b{buckets}"
-            statement_files.store_documents(rows, self._table(path), buckets, path)
-        else:
-            rows.write.parquet(path)
-
-    def replaced(self, name: str, rows: DataFrame) -> DataFrame:
-        self.publish(name, rows)
-        return self.need(name)
-
-    def upsert(self, name: str, rows: DataFrame, key: str = "code", bucketed: bool = False) -> None:
-        stored = self.read(name)
-        self.publish(name, rows if stored is None else upsert_by_key(stored, rows, key), bucketed)
-
-    def reject(self, name: str, rows: DataFrame) -> None:
-        """Keep rejected payloads with their reason beside the store's tables."""
-        rows.withColumn("rejected", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/rejects_{name}")
-
-
-def load_statements(store: Store, files: str) -> None:
+def load_statements(store: Store, files: str) -> dict[str, int]:
     """Report files replace the documents of their companies; of several files for one company the
     newest counts. Error pages and malformed reports go to ``rejects_statements`` with the reason and
-    change nothing."""
-    found = statement_files.read_statement_folder(store.spark, files)
-    judged = statement_files.judged_reports(found)
-    usable = statement_files.newest_reports(judged.where(F.col("verdict") == "ok").drop("verdict"))
+    change nothing. Each file is opened once: the judged reports are staged, by statement, and counted on the way.
+    Returns how many were accepted and rejected."""
+    staged, counts = stage_reports(store, files)
+    usable = staged.where(F.col("verdict") == "ok").drop("verdict")
     for statement in STATEMENTS:
-        own = statement_files.file_documents(usable.where(F.col("statement") == statement))
-        documents = statement_files.lookup_form(own, statement).drop("statement")
-        store.upsert(f"statements_{statement}", documents.withColumn("c_date", F.current_timestamp()), bucketed=True)
-    store.reject("statements", judged.where(F.col("verdict") != "ok"))
+        newest = statement_files.newest_reports(usable.where(F.col("statement") == statement))
+        documents = statement_files.lookup_form(statement_files.file_documents(newest), statement).drop("statement")
+        store.upsert(f"statements_{statement}", documents.withColumn("c_date", F.current_timestamp()))
+    store.reject("statements", staged.where(F.col("verdict") != "ok"))
+    store.drop_staged("statements")
+    return counts
+
+
+def stage_reports(store: Store, files: str) -> tuple[DataFrame, dict[str, int]]:
+    """The judged reports of a folder, written once, and the numbers of accepted and rejected ones."""
+    counts = Observation("reports")
+    judged = statement_files.judged_reports(statement_files.read_statement_folder(store.spark, files)).observe(
+        counts, F.count_if(F.col("verdict") == "ok").alias("accepted"), F.count_if(F.col("verdict") != "ok").alias("rejected"))
+    path = store.staging("statements")
+    judged.write.partitionBy("statement").parquet(path)
+    return store.spark.read.schema(judged.schema).parquet(path), dict(counts.get)
+
+
+def _named_files(store: Store, files: str, name: str, pattern: str, *heads: str) -> DataFrame:
+    """Whole files: ``value, loaded`` and the groups of their names, the last one a code; a name that does
+    not match gives a null code. Staged once, as verdicts and rows both read them."""
+    file = F.col("_metadata.file_name")
+    found = store.spark.read.option("recursiveFileLookup", True).text(files, wholetext=True).select(
+        file.alias("file"), "value", F.col("_metadata.file_modification_time").alias("loaded"),
+        *[F.regexp_extract(file, pattern, i + 1).alias(h) for i, h in enumerate(heads)],
+        F.nullif(F.regexp_extract(file, pattern, len(heads) + 1), F.lit("")).try_cast("bigint").alias("code"))
+    path = store.staging(name)
+    found.write.parquet(path)
+    return store.spark.read.schema(found.schema).parquet(path)
+
+
+def _judged(found: DataFrame, *more: tuple[Column, str]) -> DataFrame:
+    """With ``verdict``: an error page, a file without a code in its name, what ``more`` finds, or ok."""
+    verdict = F.when(F.contains("value", F.lit(cleaning.HTML_PAGE)), "html").when(F.col("code").isNull(), "code")
+    for bad, reason in more:
+        verdict = verdict.when(bad, reason)
+    return found.withColumn("verdict", verdict.otherwise("ok"))
+
+
+def _newest_files(judged: DataFrame, keys: list[str]) -> DataFrame:
+    """Usable files, of several for one key the last modified, then the first by a hash of its text."""
+    return keep_first(judged.where(F.col("verdict") == "ok"), keys, [-F.unix_micros("loaded"), F.xxhash64("value")])
 
 
 def load_sheets(store: Store, name: str, files: str) -> None:
     """Consensus or survey sheets (``<code>.xls`` text files) replace their documents. Error pages and
     files without a code in their name are rejected; of several sheets of a code the newest counts."""
-    sheets = (store.spark.read.option("recursiveFileLookup", True).text(files, wholetext=True)
-              .select("value", F.regexp_extract("_metadata.file_name", r"(\d+)", 1).try_cast("bigint").alias("code"),
-                      F.col("_metadata.file_modification_time").alias("loaded")))
-    verdict = (F.when(F.contains("value", F.lit(cleaning.HTML_PAGE)), "html").when(F.col("code").isNull(), "code").otherwise("ok"))
-    judged = sheets.withColumn("verdict", verdict)
-    usable = keep_first(judged.where(F.col("verdict") == "ok"), ["code"], [-F.unix_micros("loaded"), F.xxhash64("value")])
+    judged = _judged(_named_files(store, files, name, r"(\d+)"))
+    usable = _newest_files(judged, ["code"])
     store.upsert(name, usable.select("code", markup.sheet_document(F.col("value")).alias("data")))
     store.reject(name, judged.where(F.col("verdict") != "ok"))
+    store.drop_staged(name)
 
 
 def append_quotes(store: Store, files: str, day: dt.date, calendar: DataFrame | None = None) -> None:
@@ -137,17 +103,28 @@ def append_quotes(store: Store, files: str, day: dt.date, calendar: DataFrame |
     replace_day(rows, f"{store.root}/quotes", day)
 
 
+def stream_quotes(store: Store, files: str, checkpoint: str, calendar: DataFrame | None = None) -> None:
+    """All quote files that arrived since the last run, each record of a code and stamp once; records
+    of days that the calendar does not open are left out. A lost run goes on where it stopped."""
+    rows = quote_stream(store.spark, files)
+    if calendar is not None:
+        rows = open_day_stream(rows, calendar)
+    append_stream(rows, f"{store.root}/quotes", checkpoint).awaitTermination()
+
+
 def load_board(store: Store, members: DataFrame) -> None:
     store.upsert("board", board_all(members), "股票代码")
 
 
 def load_board_pages(store: Store, files: str) -> None:
-    """Pages named ``<list>_<code>.html`` replace the boards of their companies."""
-    pages = store.spark.read.option("recursiveFileLookup", True).text(files, wholetext=True)
-    name = F.col("_metadata.file_name")
-    named = pages.select(F.regexp_extract(name, r"^([a-z]+)_(\d+)", 1).alias("list"),
-                         F.regexp_extract(name, r"^([a-z]+)_(\d+)", 2).try_cast("bigint").alias("code"), F.col("value").alias("html"))
-    load_board(store, members_from_pages(named.where(F.col("code").isNotNull())))
+    """Pages named ``<list>_<code>.html`` replace the boards of their companies. Error pages, pages without a table
+    and stray names are rejected; of several pages of a company and list the newest counts."""
+    pages = _named_files(store, files, "board", r"^([a-z]+)_(\d+)", "list")
+    judged = _judged(pages, (~F.rlike("value", F.lit("(?i)<table")), "no_table"), (~F.col("list").isin(*LISTS), "list"))
+    usable = _newest_files(judged, ["list", "code"])
+    load_board(store, members_from_pages(usable.select("code", "list", F.col("value").alias("html"))))
+    store.reject("board", judged.where(F.col("verdict") != "ok"))
+    store.drop_staged("board")
 
 
 def load_company(store: Store, files: str) -> None:
@@ -169,9 +146,18 @@ def load_classes(store: Store, files: str) -> None:
 
 
 def load_feed(store: Store, kind: str, files: str) -> None:
-    """Corporate-action feeds (one JSON payload a file) replace the table of their kind."""
-    payloads = store.spark.read.option("recursiveFileLookup", True).text(files, wholetext=True).select(F.col("value").alias("payload"))
-    store.publish(f"feed_{kind}", FEEDS[kind](payloads))
+    """Corporate-action feeds (one JSON payload a file) replace the table of their kind. Error pages and payloads
+    that are no JSON array are rejected; a delivery without a usable payload changes nothing."""
+    found = store.spark.read.option("recursiveFileLookup", True).text(files, wholetext=True)
+    path = store.staging(f"feed_{kind}")
+    (found.select("value", F.col("_metadata.file_name").alias("file"))
+     .withColumn("verdict", feeds.feed_verdict(F.col("value"))).write.parquet(path))
+    judged = store.spark.read.parquet(path)
+    payloads = judged.where(F.col("verdict") == "ok").select(F.col("value").alias("payload"))
+    if not payloads.isEmpty():
+        store.publish(f"feed_{kind}", FEEDS[kind](payloads))
+    store.reject(f"feed_{kind}", judged.where(F.col("verdict") != "ok"))
+    store.drop_staged(f"feed_{kind}")
 
 
 def load_checks(store: Store, as_of: dt.date) -> None:
@@ -186,16 +172,44 @@ def load_checks(store: Store, as_of: dt.date) -> None:
     store.publish("load_progress", quality.load_progress(company, loads))
 
 
-def load_pledges(store: Store, file: str) -> None:
-    """The pledge sheet, as comma-separated text, replaces the table.
+def load_pledges(store: Store, files: str) -> None:
+    """The pledge sheets, as comma-separated text, replace the table."""
+    store.publish("pledges", tables.pledge_ranked(tables.read_sheet(store.spark, files, len(tables.PLEDGE_COLUMNS))))
+
+
+def refresh(store: Store, reports: Store) -> list[str]:
+    """Bring all stored reports up to date; the names of those that changed.
 
-    A sheet is read as one value, since the rows above its data are found by position.
+    A report notes the folders of the documents' partitions that each of its own partitions was made from.
+    Only partitions whose documents have other folders now are computed and written: those of
+    companies that were delivered, added or removed since.
     """
-    sheet = store.spark.read.text(file, wholetext=True)
-    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.length(x) > 0)
-    rows = exploded(sheet, [], lines, "line", "row_no")
-    cells = [F.get(F.split("line", ","), F.lit(i)).alias(f"c{i}") for i in range(len(tables.PLEDGE_COLUMNS))]
-    store.publish("pledges", tables.pledge_ranked(rows.select("row_no", *cells)))
+    def update(name: str) -> str | None:
+        plan, reads = catalog.STORED[name], _Reads(_Documents(store))
+        plan(reads)
+        used = [store.manifest(f"statements_{s}") for s in sorted(reads.statements)]
+        buckets = {m.buckets for m in used}
+        if len(buckets) > 1:
+            raise ValueError("statements are stored in different numbers of buckets; replace them")
+        now = {p: "|".join(m.parts.get(p, "") for m in used) for p in {p for m in used for p in m.parts}}
+        before = reports.manifest(name)
+        old = before.sources if before and {before.buckets} == buckets else {}
+        changed = {p: now.get(p, "") for p in {*now, *old} if now.get(p, "") != old.get(p)}
+        if changed or before is None:
+            rows = plan(DocumentSource(_Documents(store, sorted(changed))))
+            reports.replace_parts(name, rows, CODE, *buckets, changed)
+            return name
+        return None
+
+    return [name for name in catalog.side_by_side(store.spark, update, list(catalog.STORED)) if name]
+
+
+class _Reads(DocumentSource):
+    """Notes which statements a report reads."""
+
+    def joined(self, needs: dict[str, list[str]]) -> DataFrame:
+        self.statements = list(needs)
+        return super().joined(needs)
 
 
 class StoredInputs:
@@ -230,14 +244,15 @@ class StoredInputs:
 
 
 class _Documents(dict):
-    """Statement documents by name, opened on demand."""
+    """Statement documents by name, opened on demand; only some partitions of them, where given."""
 
-    def __init__(self, store: Store):
+    def __init__(self, store: Store, parts: list[int] | None = None):
         super().__init__()
-        self.store = store
+        self.store, self.parts = store, parts
 
     def __missing__(self, statement: str) -> DataFrame:
-        return self.store.need(f"statements_{statement}")
+        name = f"statements_{statement}"
+        return self.store.need(name) if self.parts is None else self.store.parts(name, self.parts)
 
 
 def inputs(store: Store, as_of: dt.date | None = None) -> StoredInputs:
@@ -268,14 +283,16 @@ def main(arguments: list[str] | None = None) -> None:
     quotes_command = command("append-quotes", "files")
     quotes_command.add_argument("--day", type=dt.date.fromisoformat, default=dt.date.today())
     quotes_command.add_argument("--calendar", help="CSV with calendarDate and isOpen; closed days write nothing")
+    quotes_command.add_argument("--stream", metavar="CHECKPOINT", help="take all files that are new since the last run, days by their stamps")
     command("refresh", "reports")
+    command("expire").add_argument("--keep", type=int, default=2)
     command("export", "relation", "target")
     args = parser.parse_args(arguments)
 
     spark = build_session(f"quarterstone {args.command}")
     store = Store(spark, args.store)
     if args.command == "load-statements":
-        load_statements(store, args.files)
+        print("{accepted} accepted, {rejected} rejected".format(**load_statements(store, args.files)))
     elif args.command == "load-sheets":
         load_sheets(store, args.name, args.files)
     elif args.command in loaders:
@@ -286,9 +303,14 @@ def main(arguments: list[str] | None = None) -> None:
         load_checks(store, args.as_of)
     elif args.command == "append-quotes":
         calendar = args.calendar and spark.read.schema("calendarDate DATE, isOpen BOOLEAN").csv(args.calendar, header=True)
-        append_quotes(store, args.files, args.day, calendar)
+        if args.stream:
+            stream_quotes(store, args.files, args.stream, calendar)
+        else:
+            append_quotes(store, args.files, args.day, calendar)
     elif args.command == "refresh":
-        catalog.refresh_reports(spark, DocumentSource(_Documents(store)), Store(spark, args.reports).replaced)
+        refresh(store, Store(spark, args.reports))
+    elif args.command == "expire":
+        store.expire(args.keep)
     elif args.command == "export":
         catalog.RELATIONS[args.relation](inputs(store)).write.mode("overwrite").parquet(args.target)
     if arguments is None:

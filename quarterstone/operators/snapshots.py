@@ -17,9 +17,11 @@ def append_snapshot(rows: DataFrame, path: str, inserted: Column | None = None)
 
 
 def replace_day(rows: DataFrame, path: str, day: dt.date) -> None:
-    """Write a day's batch; a repeated run replaces it and touches no other day."""
-    (rows.withColumn("inserted", F.current_timestamp().cast("timestamp_ntz")).withColumn("snapshot_day", F.lit(day))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_day").parquet(path))
+    """Write a day's batch; a repeated run replaces it and touches no other day. Its batch number is -1, those
+    of streamed batches start at 0."""
+    (rows.withColumn("inserted", F.current_timestamp().cast("timestamp_ntz"))
+         .withColumn("snapshot_day", F.lit(day)).withColumn("batch", F.lit(-1))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_day", "batch").parquet(path))
 
 
 def newest_day(spark: SparkSession, path: str) -> DataFrame:

@@ -25,11 +25,6 @@ def members_from_pages(pages: DataFrame) -> DataFrame:
         F.col("报酬").cast("decimal(20,2)").alias("报酬"), "起止时间")
 
 
-def _with_rank(members: DataFrame) -> DataFrame:
-    rank = F.array_position(F.array(*[F.lit(name) for name in LISTS]), F.col("list"))
-    return members.withColumn("list_rank", rank)
-
-
 def first_in_list(members: DataFrame) -> DataFrame:
     """Each name once per company and list: its first position."""
     return keep_first(members, ["股票代码", "list", "姓名"], ["position"])
@@ -39,10 +34,11 @@ def board_all(members: DataFrame) -> DataFrame:
     """Each name once per company: from the first list that has it, at its first position.
 
     Keeping the first per list and then the first across lists is the same minimum over
-    (list, position), so one aggregation does both.
+    (list, position), so one aggregation does both; list and position are one number, positions below 2 ** 56.
     """
-    ranked = _with_rank(members)
-    return keep_first(ranked, ["股票代码", "姓名"], ["list_rank", "position"]).select(*COLUMNS)
+    rank = F.array_position(F.array(*[F.lit(name) for name in LISTS]), F.col("list"))
+    place = F.shiftleft(rank.cast("bigint"), 56) + F.col("position")
+    return keep_first(members, ["股票代码", "姓名"], [place]).select(*COLUMNS)
 
 
 def board_summary(board: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from typing import Protocol
+from typing import Protocol, TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,8 @@ from quarterstone.plans import board, cash, consensus, governance, growth, incom
 from quarterstone.plans.items import LATEST_ANNUAL, PERIOD
 from quarterstone.sources.statement_files import store_documents
 
+T = TypeVar("T")
+
 # Stored reports: relation name -> plan over a statement source. Names are fixed values.
 STORED: dict[str, Callable[[StatementSource], DataFrame]] = {
     "_cashflows_q4": cash.cash_quality,
@@ -109,12 +111,15 @@ VIEWS: dict[str, Relation] = {
 
 RELATIONS: dict[str, Relation] = {name: _stored(plan) for name, plan in STORED.items()} | VIEWS
 
+# Relations that write intermediate rows when they are built, as plans that wait until a view is read.
+LAZY: dict[str, Relation] = {"tdx_va_mrq": lambda i: valuation.industry_stats(_priced("mrq", PERIOD)(i), lazy=True)}
+
 
 def register_views(spark: SparkSession, inputs: Inputs, names: list[str] | None = None) -> None:
     """Temporary views under the relation names (all by default), and the SQL functions."""
     register_functions(spark)
     for name in RELATIONS if names is None else names:
-        RELATIONS[name](inputs).createOrReplaceTempView(name)
+        LAZY.get(name, RELATIONS[name])(inputs).createOrReplaceTempView(name)
 
 
 def store_statements(spark: SparkSession, documents: dict[str, DataFrame], path: str,
@@ -143,5 +148,10 @@ def refresh_reports(spark: SparkSession, source: StatementSource, write: Callabl
     def store(name: str) -> DataFrame:
         return write(name, STORED[name](source))
 
+    return dict(zip(STORED, side_by_side(spark, store, list(STORED), at_once)))
+
+
+def side_by_side(spark: SparkSession, work: Callable[[str], T], names: list[str], at_once: int = 8) -> list[T]:
+    """The results of ``work`` for each name; several jobs run at once."""
     with ThreadPoolExecutor(at_once) as pool:
-        return dict(zip(STORED, pool.map(inheritable_thread_target(spark)(store), STORED)))
+        return list(pool.map(inheritable_thread_target(spark)(work), names))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarterstone.functions import ratio, safe_div
 from quarterstone.operators.percentiles import exact_percentiles
 from quarterstone.plans.items import CODE
+from quarterstone.session import written
 
 QUOTE = "decimal(20,6)"
 
@@ -29,10 +30,11 @@ def valuation(latest: DataFrame, company: DataFrame, growth: DataFrame, label: s
         ratio(pe_share, F.col("pg").cast("decimal(20,4)"), 2).alias("peg"))
 
 
-def industry_stats(values: DataFrame) -> DataFrame:
+def industry_stats(values: DataFrame, lazy: bool = False) -> DataFrame:
     """Company count and percentiles by industry, by ascending median P/E.
 
-    P/E and P/B percentiles leave out companies without a positive value.
+    P/E and P/B percentiles leave out companies without a positive value. Frequencies of the values are written once to the
+    shared folder, unless the result has to stay ``lazy``, as a view does.
     """
     def positive(name: str):
         return F.when(F.col(name) > 0, F.col(name))
@@ -44,6 +46,6 @@ def industry_stats(values: DataFrame) -> DataFrame:
         "crg50": (F.col("crg"), 0.5), "cpg50": (F.col("cpg"), 0.5),
         "c50": (F.col("pctchg"), 0.5), "to50": (F.col("turnover"), 0.5),
     }
-    return (exact_percentiles(values, "idst", wanted)
+    return (exact_percentiles(values, "idst", wanted, stage=None if lazy else written)
             .withColumnRenamed("idst", "idst_name")
             .orderBy(F.col("pe50").asc_nulls_last()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a cluster deployment starts from. Executor counts and sizes, and the
 # number of shuffle partitions before AQE coalesces them, belong to the cluster.
@@ -42,3 +42,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="quarterstone-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/quarterstone/{name}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """The frame, written once to the shared folder and read back."""
+    path = shared_dir(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

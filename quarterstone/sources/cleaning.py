@@ -27,13 +27,6 @@ def payload_verdict(text: Column, keyword: str) -> Column:
             .when(~F.contains(text, F.lit(keyword)), "no_keyword").otherwise("ok"))
 
 
-def split_payloads(rows: DataFrame, text: str, keyword: str) -> tuple[DataFrame, DataFrame]:
-    """Usable payloads, and rejected ones with the reason."""
-    judged = rows.withColumn("verdict", payload_verdict(F.col(text), keyword))
-    usable = judged.where(F.col("verdict") == "ok").drop("verdict")
-    return usable, judged.where(F.col("verdict") != "ok")
-
-
 def zero_marks(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Replace cells that consist of the no-value mark by 0."""
     return rows.replace(NO_VALUE, "0", subset=columns)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterstone.functions import exploded
+from quarterstone.sources.cleaning import HTML_PAGE
 
 # Field names of the feeds in delivery order; fixed values.
 UNLOCK_FIELDS = ["sn", "code", "market", "name", "date", "count", "ratio", "close", "mktvalue",
@@ -24,6 +25,12 @@ def _records(payload: DataFrame, strings: Column, fields: list[str], keep: list[
     return parts.select(*others, *[F.get("f", F.lit(fields.index(k))).alias(k) for k in keep])
 
 
+def feed_verdict(payload: Column) -> Column:
+    """``html`` for an error page, ``no_array`` for what is no JSON array, else ``ok``."""
+    return (F.when(F.contains(payload, F.lit(HTML_PAGE)), "html")
+            .when(F.json_array_length(payload).isNull(), "no_array").otherwise("ok"))
+
+
 def share_unlocks(payload: DataFrame) -> DataFrame:
     """``payload``: JSON array of records. The last two fields are dropped."""
     strings = F.from_json("payload", "array<string>")

@@ -11,9 +11,10 @@ POSITIONS = {"code": 2, "name": 1, "price": 3, "pe_ttm": 39, "mktcap": 45, "pb":
 TYPES = {"code": "bigint", "name": "string"}
 
 
-def parse_quote_records(records: DataFrame, column: str = "record") -> DataFrame:
-    """An empty field becomes NULL; text that is no number stops the job, as on loading."""
-    fields = records.select(F.split(column, "~").alias("f"))
+def parse_quote_records(records: DataFrame, column: str = "record", keep: list[str] | None = None) -> DataFrame:
+    """An empty field becomes NULL; text that is no number stops the job, as on loading. ``keep`` names
+    columns beside the record that stay."""
+    fields = records.select(F.split(column, "~").alias("f"), *(keep or []))
     return fields.select(*[
         F.nullif(F.get("f", F.lit(i)), F.lit("")).cast(TYPES.get(name, "double")).alias(name)
-        for name, i in POSITIONS.items()])
+        for name, i in POSITIONS.items()], *(keep or []))

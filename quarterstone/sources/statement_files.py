@@ -118,21 +118,6 @@ def nested_documents(cells: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("item", "periods"))).alias("data"))
 
 
-def period_documents(cells: DataFrame, statement: str) -> DataFrame:
-    """Documents of one statement in lookup form: ``code, rp, data`` (an element per period).
-
-    Only the known line items are kept, as struct fields, so that a report's scan reads
-    just the fields it uses. Rows are combined per period before they are gathered.
-    """
-    own = cells.where(F.col("statement") == statement)
-    by_period = own.groupBy("code", "period").agg(*[
-        F.max(F.when(F.col("item") == label, F.col("value"))).alias(field)
-        for field, label in STATEMENTS[statement].items()])
-    entry = F.struct("period", *STATEMENTS[statement])
-    return by_period.groupBy("code").agg(
-        F.max("period").alias("rp"), F.collect_list(entry).alias("data"))
-
-
 def lookup_form(documents: DataFrame, statement: str) -> DataFrame:
     """Nested documents (``data`` item -> {period -> value}) in lookup form, without a shuffle.
 
@@ -154,10 +139,16 @@ def parse_documents(documents: DataFrame) -> DataFrame:
     return documents.withColumn("data", parsed)
 
 
+def variant_documents(documents: DataFrame) -> DataFrame:
+    """Documents stored as JSON text, with ``data`` as VARIANT: parsed once, and looked into by path."""
+    return documents.withColumn("data", F.parse_json("data"))
+
+
 def document_value(data: Column, item: Column | str, period: Column) -> Column:
-    """Value of an item at a period; NULL when either is missing."""
+    """Value of an item at a period in a VARIANT document; NULL when either is missing."""
     item = F.lit(item) if isinstance(item, str) else item
-    return data[item][period].cast(MONEY_TYPE)
+    path = F.concat(F.lit("$['"), item, F.lit("']['"), period, F.lit("']"))
+    return F.try_variant_get(data, path, MONEY_TYPE)
 
 
 def store_documents(documents: DataFrame, table: str, buckets: int, path: str | None = None) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarterstone.sources.cleaning import try_numbers
@@ -16,6 +16,25 @@ CLASS_COLUMNS = ["code", "name", "class_code", "class_name", "idst_code", "idst_
 CACHE_COLUMNS = [*CLASS_COLUMNS, "pe", "pe_ttm", "pb", "dpr"]
 
 
+def read_sheet(spark: SparkSession, path: str, cells: int) -> DataFrame:
+    """Comma-separated sheets as ``row_no`` (0-based, in its own file) and text columns ``c0``, ...; empty lines
+    do not count.
+
+    A sheet of any size is read by as many tasks as it has splits. A line's number is its
+    place in its split, from an id that ascends within a task, and the lines of the splits before;
+    only one row of counts per split is ordered in one place.
+    """
+    lines = (spark.read.option("recursiveFileLookup", True).text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+             .where(F.length("value") > 0).withColumn("id", F.monotonically_increasing_id()))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+              .select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier")))
+    fields = F.split("value", ",")
+    return lines.join(splits, ["file", "block"]).select(
+        (F.col("earlier") + F.col("id") - F.col("first")).alias("row_no"), *[F.get(fields, F.lit(i)).alias(f"c{i}") for i in range(cells)])
+
+
 def pledge_ranked(sheet: DataFrame) -> DataFrame:
     """Pledged shares by ascending ratio, then code, so that rows of a frequent ratio (or
     without one) are sorted by several tasks.

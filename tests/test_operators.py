@@ -7,14 +7,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarterstone.operators.keyed import append_new_keys, keep_first, upsert_by_key
+from quarterstone.operators import percentiles
 from quarterstone.operators.percentiles import exact_percentiles
 from quarterstone.operators.snapshots import append_snapshot, latest_snapshot, newest_day
 from quarterstone.operators.statements import DocumentSource
-from quarterstone.plans import catalog, growth
-from quarterstone.session import shared_dir
+from quarterstone.plans import board, catalog, growth
+from quarterstone.session import shared_dir, written
 from quarterstone.sources import cleaning, feeds, markup, quotes, statement_files, tables
 from quarterstone.sources.testtables import TestTables
-from quarterstone.streaming.quotes import append_stream, read_stream
+from quarterstone.streaming.quotes import append_stream, open_day_stream, quote_stream, read_stream
 
 
 def rows(frame):
@@ -48,20 +49,18 @@ def test_documents_from_files(spark, folder):
     nested = statement_files.nested_documents(cells).where("statement = 'is'").first()
     assert nested["rp"] == "2017-12-31"
     assert float(nested["data"]["营业总收入(万元)"]["2017-09-30"]) == 90
-    direct = statement_files.period_documents(cells, "is")
     via_nested = statement_files.lookup_form(
         statement_files.nested_documents(cells).where("statement = 'is'"), "is").select("code", "rp", "data")
     def flat(frame):
         return rows(frame.select("code", "rp", F.explode("data").alias("e")).select(
             "code", "rp", "e.period", F.coalesce("e.total_revenue", F.lit(-1)), F.coalesce("e.net_profit", F.lit(-1))))
-    assert flat(direct) == flat(via_nested)
-    assert growth.growth_report(DocumentSource({"is": direct}), "q4").count() == 1
+    assert growth.growth_report(DocumentSource({"is": via_nested}), "q4").count() == 1
     reports = statement_files.read_statement_folder(spark, folder)
     documents = statement_files.file_documents(reports)
     assert "Exchange" not in documents._jdf.queryExecution().executedPlan().toString()
     mine = documents.where("statement = 'is'")
     assert mine.first()["data"] == nested["data"] and mine.first()["rp"] == nested["rp"]
-    assert flat(statement_files.lookup_form(mine, "is")) == flat(direct)
+    assert flat(statement_files.lookup_form(mine, "is")) == flat(via_nested)
 
 
 def test_stored_documents_are_pruned_and_bucketed(spark):
@@ -226,9 +225,8 @@ def test_report_cleaning(spark):
 
 def test_payload_guard(spark):
     frame = spark.createDataFrame([("<!DOCTYPE html> 报告日期",), ("报告日期,1",), ("x",)], "t string")
-    usable, rejected = cleaning.split_payloads(frame, "t", "报告日期")
-    assert rows(usable) == [("报告日期,1",)]
-    assert rows(rejected) == [("<!DOCTYPE html> 报告日期", "html"), ("x", "no_keyword")]
+    assert rows(frame.select("t", cleaning.payload_verdict(F.col("t"), "报告日期"))) == [
+        ("<!DOCTYPE html> 报告日期", "html"), ("x", "no_keyword"), ("报告日期,1", "ok")]
 
 
 def test_table_cleaning(spark, tmp_path):
@@ -269,10 +267,155 @@ def test_percentiles_of_infinite_values(spark):
     assert got["a"] == (-inf, 2.0, inf) and got["b"][:2] == (1.0, 2.0) and got["b"][2] != got["b"][2]
 
 
-def test_exact_percentiles_compute_input_once(spark):
+def test_lazy_percentiles_equal_staged_ones(spark):
+    """All rounds in one plan, as a view needs, and rounds over written tables."""
+    rng = random.Random(5)
+    data = [(f"g{rng.randint(0, 2)}", rng.choice([rng.uniform(-3, 3), float(rng.randint(-2, 2)), rng.uniform(1, 2) * 2.0 ** rng.randint(-1074, 1000)])) for _ in range(600)]
+    frame = spark.createDataFrame(data, "g string, v double")
+    wanted = {f"p{k}": (F.col("v"), k / 8) for k in (0, 3, 4)}
+    want = {g: [interpolated([v for h, v in data if h == g], k / 8) for k in (0, 3, 4)] for g, _ in data}
+    for options in ({}, {"stage": written}, {"stage": written, "least": 5}):
+        got = {r["g"]: list(r)[2:] for r in exact_percentiles(frame, "g", wanted, "n", **options).collect()}
+        assert {g: pytest.approx(v) for g, v in want.items()} == got, options
+
+
+def test_close_values_are_narrowed_to_small_windows(spark, monkeypatch):
+    """A hundred thousand distinct values within 1.6 % of each other: no window ever holds more than the stated rows."""
+    held = []
+    met = percentiles._met
+    monkeypatch.setattr(percentiles, "_met", lambda counted, ranks: held.append(counted) or met(counted, ranks))
+    frame = spark.range(100_000).select(F.lit("hot").alias("g"), (F.lit(1000.0) + F.col("id") * 1.6e-4).alias("v"))
+    wanted = {"p25": (F.col("v"), 0.25), "p50": (F.col("v"), 0.5)}
+    row = exact_percentiles(frame, "g", wanted, "n", stage=written, least=1000).first()
+    values = [1000.0 + i * 1.6e-4 for i in range(100_000)]
+    assert tuple(row) == ("hot", 100_000, interpolated(values, 0.25), interpolated(values, 0.5))
+    largest = [c.groupBy("g", "metric", "prefix").count().agg(F.max("count")).first()[0] for c in held]
+    assert len(largest) > 1 and max(largest[:-1]) <= 1 << percentiles.DIGIT and largest[-1] <= 1000
+
+
+def test_key_of_a_value_is_its_place(spark):
+    inf, tiny = float("inf"), 5e-324
+    values = [-inf, -1.7976931348623157e308, -2.0, -1.0000000000000002, -1.0, -2.2250738585072014e-308, -2.225073858507201e-308, -tiny, 0.0,
+              tiny, 2 * tiny, 2.225073858507201e-308, 2.2250738585072014e-308, 0.1, 0.5, 0.9999999999999999, 1.0, 1.0000000000000002, 2.0, 3.0, 4.0,
+              2.0 ** 1023, 1.7976931348623157e308, inf, float("nan")]
+    values[8:8] = []
+    frame = spark.createDataFrame(list(enumerate(values)), "i int, v double").select("i", percentiles.ordered_key(F.col("v")).alias("k"))
+    keys = [r["k"] for r in frame.orderBy("i").collect()]
+    assert keys == sorted(set(keys))
+    import struct
+    draw = random.Random(9)
+    bits = sorted(draw.randint(0, (2047 << 52) - 1) for _ in range(3000))
+    frame = spark.createDataFrame([(b, struct.unpack("<d", struct.pack("<Q", b))[0]) for b in bits], "b long, v double")
+    assert frame.where(percentiles.ordered_key(F.col("v")) != F.col("b")).count() == 0
+    assert frame.where(percentiles.ordered_key(-F.col("v")) != -F.col("b")).count() == 0
+    assert spark.sql("SELECT -0.0D AS v").select(percentiles.ordered_key(F.col("v"))).first()[0] == 0
+
+
+def test_industry_stats_write_their_input_once(spark):
+    """The report reads written frequencies only; as a view it stays a plan over the inputs."""
     t = TestTables(spark, "/root/testdata/sf0.001")
-    stats = catalog.RELATIONS["tdx_va_mrq"](t)
-    stats.collect()
-    plan = stats._jdf.queryExecution().executedPlan().toString()
-    final = plan[plan.index("Final Plan"):plan.rindex("== Initial Plan ==")]
-    assert final.count("ReusedExchange") >= 2
+    staged = catalog.RELATIONS["tdx_va_mrq"](t)
+    files = staged.inputFiles()
+    assert files and all("/frequencies-" in f or "/ranks-" in f for f in files)
+    view = catalog.LAZY["tdx_va_mrq"](t)
+    assert any("events" in f for f in view.inputFiles())
+    assert rows(staged.na.fill(-9.0)) == rows(view.na.fill(-9.0))
+
+
+# ---- line numbers ----------------------------------------------------------------------
+
+def test_sheet_lines_are_numbered_over_many_splits(spark, tmp_path):
+    lines = ["", "a title", "", "another", "heads"] + [f"{i},{'x' * (i % 50)}" for i in range(3000)]
+    (tmp_path / "one.csv").write_text("\n".join(lines))
+    (tmp_path / "two.csv").write_bytes("\r\n".join(lines[:700]).encode())
+    (tmp_path / "three.csv").write_text("")
+    kept = [line for line in lines if line]
+    for size in ("900b", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            sheet = tables.read_sheet(spark, str(tmp_path), 2)
+            tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+            got = rows(sheet.select("row_no", "c0", F.coalesce("c1", F.lit("-"))))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert (tasks > 40) == (size == "900b")
+        want = [(i, *(line.split(",") if "," in line else (line, "-"))) for n in (len(kept), 698) for i, line in enumerate(kept[:n])]
+        assert got == sorted(want)
+
+
+# ---- keep-first, plans -------------------------------------------------------------------
+
+def test_keep_first_with_hot_keys_ties_and_nulls(spark):
+    draw = random.Random(2)
+    data = [(None if draw.random() < 0.1 else draw.choice([7, 7, 7, draw.randint(0, 60)]), draw.choice("ab"), draw.choice([None, 1, 2, 3, draw.randint(0, 500)]),
+             draw.randint(0, 3), draw.randint(0, 10 ** 6)) for _ in range(4000)]
+    frame = spark.createDataFrame(data, "code int, name string, pos int, second int, id int")
+    got = keep_first(frame, ["code", "name"], ["pos", "second"]).collect()
+    best = {}
+    for row in data:
+        order = (row[2] is None, row[2] or 0, row[3])
+        best[row[:2]] = min(best.get(row[:2], (True, 0, 9)), order)
+    assert {tuple(r)[:2]: (r["pos"] is None, r["pos"] or 0, r["second"]) for r in got} == best and len(got) == len(best)
+    assert {tuple(r) for r in got} <= set(data)
+    assert keep_first(frame.limit(0), ["code"], ["pos"]).count() == 0
+
+
+def test_keep_first_combines_before_the_shuffle_without_a_sort(spark):
+    t = TestTables(spark, "/root/testdata/sf0.001")
+    for build in (board.board_all, board.first_in_list):
+        plan = build(t.members())._jdf.queryExecution().executedPlan().toString()
+        lines = plan[plan.index("Initial Plan"):].split("\n") if "Initial Plan" in plan else plan.split("\n")
+        partial = [i for i, line in enumerate(lines) if "partial_min(" in line]
+        assert partial and all("HashAggregate" in lines[i] for i in partial)
+        assert not any("Sort " in line or "SortAggregate" in line for i in partial for line in lines[i:i + 3])
+
+
+# ---- stream of quotes --------------------------------------------------------------------
+
+def quote_line(code, price):
+    fields = [""] * 50
+    fields[1], fields[2], fields[3] = f"n{code}", str(code), str(price)
+    return "~".join(fields)
+
+
+def test_quote_stream_stores_each_record_once_after_a_lost_batch(spark, tmp_path):
+    files, table, state = tmp_path / "in", str(tmp_path / "table"), tmp_path / "state"
+    files.mkdir()
+    days = spark.createDataFrame([("2018-04-06", True), ("2018-04-07", False), ("2018-04-09", True)], "d string, isOpen boolean").select(
+        F.to_date("d").alias("calendarDate"), "isOpen")
+
+    def run():
+        append_stream(open_day_stream(quote_stream(spark, str(files)), days), table, str(state)).awaitTermination()
+
+    def stored():
+        frame = spark.read.parquet(table)
+        return sorted((r["code"], r["price"], str(r["inserted"])) for r in frame.collect())
+
+    (files / "q_20180406211000.txt").write_text("\n".join(quote_line(c, c + 0.5) for c in (600660, 1)))
+    run()
+    assert stored() == [(1, 1.5, "2018-04-06 21:10:00"), (600660, 600660.5, "2018-04-06 21:10:00")]
+    # the batch was written, but its commit is lost: it runs again
+    last = max(int(p.name) for p in (state / "commits").iterdir() if p.name.isdigit())
+    for batch in range(last + 1):
+        for name in (f"{batch}", f".{batch}.crc"):
+            (state / "commits" / name).unlink(missing_ok=True)
+    (files / "again_20180406211000.txt").write_text("\n".join(quote_line(c, c + 0.5) for c in (600660, 2)))
+    (files / "q_20180407211000.txt").write_text(quote_line(3, 3.5))  # closed
+    (files / "q_20180409211000.txt").write_text(quote_line(1, 9.5))
+    run()
+    run()
+    want = [(1, 1.5, "2018-04-06 21:10:00"), (1, 9.5, "2018-04-09 21:10:00"), (2, 2.5, "2018-04-06 21:10:00"), (600660, 600660.5, "2018-04-06 21:10:00")]
+    assert stored() == want
+    assert rows(newest_day(spark, table).select("code", "price")) == [(1, 9.5)]
+
+
+# ---- documents as VARIANT ----------------------------------------------------------------
+
+def test_variant_documents(spark):
+    text = '{"净利润(万元)": {"2017-12-31": "12.5", "2016-12-31": 7.123456, "2015-12-31": null, "2014-12-31": "x"}, "其中：a、b": {"2017-12-31": 1}}'
+    docs = statement_files.variant_documents(spark.createDataFrame([(1, text), (2, "{}"), (3, None)], "code int, data string"))
+    at = statement_files.document_value
+    got = docs.select("code", *[at(F.col("data"), item, F.lit(period)).cast("double").alias(f"v{n}") for n, (item, period) in enumerate(
+        [("净利润(万元)", "2017-12-31"), ("净利润(万元)", "2016-12-31"), ("净利润(万元)", "2015-12-31"), ("净利润(万元)", "2014-12-31"),
+         ("其中：a、b", "2017-12-31"), ("没有", "2017-12-31"), ("净利润(万元)", "1999-12-31")])])
+    assert {r["code"]: tuple(r)[1:] for r in got.collect()} == {1: (12.5, 7.1235, None, None, 1.0, None, None), 2: (None,) * 7, 3: (None,) * 7}
