@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarterstone.llm.common import tidied
@@ -71,16 +71,17 @@ class Encoder:
     The tokenizer's pattern never joins a non-blank and a following space, so a text whose
     spaces all stand after a non-blank falls into independent pieces before each space. Pieces
     are encoded together in one call and cut apart by the byte length of each id; a text with
-    other blank runs is encoded whole. ``keep`` bounds the remembered words.
+    other blank runs is encoded whole. The ids of all remembered words lie in one array; a word
+    has a place there, a text is one gathering of places. ``keep`` bounds the remembered words.
     """
 
     RUN = r"(^|[\s\p{Z}\x{85}\x1c-\x1f\x0b]) "
 
-    def __init__(self, path: str, end_id: int = 0, keep: int = 500_000):
+    def __init__(self, path: str, end_id: int = 0, keep: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism; a pool costs memory
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep, self.known = Tokenizer.from_file(path), keep, {}
+        self.tokenizer, self.keep = Tokenizer.from_file(path), keep
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -88,39 +89,65 @@ class Encoder:
             self.sizes[i] = len(added[i].encode()) if i in added else len(token)
         self.width = 2 if max(len(self.sizes) - 1, end_id) < 1 << 16 else 4
         self.end = end_id.to_bytes(self.width, "little")
-        self.marks = {mark: self.whole([mark])[0].tobytes() for mark in ".,"}
+        self.marks = {mark: int(self.whole([mark])[0][0]) for mark in ".,"}
+        self.known: dict[str, int] = {}  # word -> place
+        self.ids, self.starts = np.zeros(0, f"<u{self.width}"), np.zeros(1, np.int64)  # of each place, and the end
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, f"<u{self.width}") for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def gathered(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some places in a row, and how many each has."""
+        counts = self.starts[places + 1] - self.starts[places]
+        at = np.repeat(self.starts[places] - np.cumsum(counts) + counts, counts)
+        at += np.arange(len(at))
+        return self.ids[at], counts
+
+    def _remember(self, words: list[str], ids: list[np.ndarray], counts: list[np.ndarray]) -> None:
+        first = len(self.starts) - 1
+        self.known.update(zip(words, range(first, first + len(words))))
+        self.ids = np.concatenate([self.ids, *ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(counts))])
+
     def learn(self, words: list[str]) -> None:
         """Remember the ids of each word with a space before it. A mark after Latin letters is a
         piece of its own by the tokenizer's pattern, so such words share their letters' ids."""
-        bases = [w[:-1] if w[-1:] in self.marks and w[:-1].isalpha() and max(w) < "\u0250" else w for w in words]
-        new = list(dict.fromkeys(b for b in bases if b not in self.known))
+        marks = [w[-1] if w[-1:] in self.marks and w[:-1].isalpha() and max(w) < "\u0250" else "" for w in words]
+        bases = [w[:-1] if m else w for w, m in zip(words, marks)]
+        new = [b for b in dict.fromkeys(bases) if b not in self.known]
+        found, counts = [], []
         for start in range(0, len(new), 4096):
             part = new[start:start + 4096]
             ids = self.whole([" " + " ".join(part)])[0]
             ends = np.cumsum(self.sizes[ids])
-            stops = np.cumsum([len(w.encode()) + 1 for w in part])
+            stops = np.cumsum([(len(w) if w.isascii() else len(w.encode())) + 1 for w in part])
             cut = np.searchsorted(ends, stops) + 1
             if cut[-1] != len(ids) or not np.array_equal(ends[cut - 1], stops):
-                pieces = [p.tobytes() for p in self.whole([" " + w for w in part])]
-            else:
-                raw, cut = ids.tobytes(), [0, *(self.width * cut).tolist()]
-                pieces = [raw[a:b] for a, b in zip(cut, cut[1:])]
-            self.known.update(zip(part, pieces))
-        self.known.update((w, self.known[b] + self.marks[w[-1]]) for w, b in zip(words, bases) if w is not b)
-
-    def spaced(self, words: list[str]) -> list[bytes]:
-        found = list(map(self.known.get, words))
-        new = [w for w, ids in zip(words, found) if ids is None]
+                pieces = self.whole([" " + w for w in part])
+                ids, cut = np.concatenate(pieces), np.cumsum([len(p) for p in pieces])
+            found.append(ids)
+            counts.append(np.diff(cut, prepend=0))
         if new:
-            if len(self.known) + len(new) > self.keep:  # keep what this slice has met again
-                self.known = {w: ids for w, ids in zip(words, found) if ids is not None}
-            self.learn(new)
-            found = list(map(self.known.__getitem__, words))
+            self._remember(new, found, counts)
+        marked = [(w, b, m) for w, b, m in zip(words, bases, marks) if m]
+        if marked:
+            ids, sizes = self.gathered(np.fromiter((self.known[b] for _, b, _ in marked), np.int64, len(marked)))
+            after = np.array([self.marks[m] for _, _, m in marked], ids.dtype)
+            self._remember([w for w, _, _ in marked], [np.insert(ids, np.cumsum(sizes), after)], [sizes + 1])
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """The place of each word, learned where it is not known."""
+        found = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            if len(self.known) + 2 * len(missing) > self.keep:  # keep what this slice has met again
+                kept = np.flatnonzero(found >= 0)
+                ids, counts = self.gathered(found[kept])
+                self.known, self.ids, self.starts = {}, ids[:0], np.zeros(1, np.int64)
+                self._remember([words[i] for i in kept], [ids], [counts])
+            self.learn([words[i] for i in missing])
+            found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
@@ -136,28 +163,42 @@ class Encoder:
             return out
         lists = pc.split_pattern(texts.take(pa.array(rows)), " ")
         coded = lists.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy().astype(np.int64)
-        starts = np.asarray(lists.offsets)[:-1] - int(lists.offsets[0].as_py())
+        codes = coded.indices.to_numpy()
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        bounds -= bounds[0]
+        starts = bounds[:-1]
         words = coded.dictionary
-        firsts, place = np.unique(codes[starts], return_inverse=True)
         others = np.ones(len(codes), bool)
         others[starts] = False
         used = np.flatnonzero(np.bincount(codes[others], minlength=len(words)))
-        table = np.empty(len(words) + len(firsts), object)
-        table[used] = np.array([*self.spaced(words.take(pa.array(used)).to_pylist()), None], object)[:-1]
-        table[len(words):] = np.array([*(p.tobytes() for p in self.whole(words.take(pa.array(firsts)).to_pylist())), None],
-                                      object)[:-1]
-        codes[starts] = len(words) + place
-        joined = table[codes]
-        ends = np.append(starts[1:], len(codes))
-        for row, a, b in zip(rows.tolist(), starts.tolist(), ends.tolist()):
-            out[row] = b"".join(joined[a:b])
+        table = np.zeros(len(words), np.int64)
+        table[used] = self.places(words.take(pa.array(used)).to_pylist())
+        # the first word of a text has no space before it; such words are not remembered
+        firsts, which = np.unique(codes[starts], return_inverse=True)
+        heads = self.whole(words.take(pa.array(firsts)).to_pylist())
+        ids, counts = self.gathered(table[codes[others]])
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        for k, row in enumerate(rows.tolist()):  # a text's other words lie behind those of the texts before
+            a, b = ends[bounds[k] - k], ends[bounds[k + 1] - k - 1]
+            out[row] = heads[which[k]].tobytes() + ids[a:b].tobytes()
         return out
 
 
-def encode_batches(path: str, end_id: int, most: int = 6 << 20):
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder_of(path: str, end_id: int) -> Encoder:
+    """One encoder for a worker process: a later task goes on with the words that earlier ones met."""
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, end_id] = Encoder(path, end_id)
+    return _ENCODERS[path, end_id]
+
+
+def encode_batches(path: str, end_id: int, records_per_file: int, file_bytes: int, most: int = 6 << 20):
+    """Records with the file of the task each goes to and its place there."""
     def run(batches):
-        encoder = Encoder(path, end_id)
+        encoder, file, held, size = encoder_of(path, end_id), 0, 0, 0
         for batch in batches:
             sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy())
             start = 0
@@ -166,30 +207,38 @@ def encode_batches(path: str, end_id: int, most: int = 6 << 20):
                 part = batch.slice(start, stop - start)
                 frames_ = [frame(d, x + encoder.end, encoder.width)
                            for d, x in zip(part.column(0).to_pylist(), encoder.encode(part.column(1)))]
-                yield pa.RecordBatch.from_arrays([pa.array(frames_, pa.binary())], ["frame"])
+                files, places = [], []
+                for record in frames_:
+                    if held and (held >= records_per_file or size + len(record) + len(END) > file_bytes):
+                        file, held, size = file + 1, 0, 0
+                    files.append(file)
+                    places.append(held)
+                    held, size = held + 1, size + len(record) + len(END)
+                yield pa.RecordBatch.from_arrays([pa.array(files, pa.int32()), pa.array(places, pa.int64()), pa.array(frames_, pa.binary())],
+                                                 ["slice", "place", "frame"])
                 start = stop
     return run
 
 
 def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
-                  records_per_file: int = 8192) -> None:
+                  records_per_file: int = 8192, file_bytes: int = 64 << 20) -> None:
     """Encode every whole text and write data files in ascending doc_id order under ``path``/data.
 
     A null text counts as empty, a null doc_id sorts first; rows that share a doc_id follow each
-    other by text. Each document ends with ``end_id``. Memory per task is bounded by a slice of
-    rows and the remembered words; a file holds at most ``records_per_file`` records. An empty
-    table gives a folder without records.
+    other by a hash of their text, by which they may also lie in several tasks. Each document ends with ``end_id``.
+    Memory per task is bounded by a slice of rows and the remembered words; a file holds at most ``records_per_file`` records
+    and ``file_bytes`` bytes, or one longer record. An empty table gives a folder without records.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    frames_ = (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-               .mapInArrow(tidied(encode_batches(tokenizer, end_id)), "frame binary")
-               .select(F.col("frame").cast("string").alias("value")))
+                       F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
+    frames_ = (rows.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key", "text").select("doc_id", "text")
+               .mapInArrow(tidied(encode_batches(tokenizer, end_id, records_per_file, file_bytes)), "slice int, place long, frame binary")
+               .sortWithinPartitions("slice", "place").select("slice", F.col("frame").cast("string").alias("value")))
     conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = conf.get(key)
     conf.set(key, min(int(before), ROWS_AT_ONCE) if int(before) > 0 else ROWS_AT_ONCE)
     try:
-        (frames_.write.option("lineSep", END.decode()).option("maxRecordsPerFile", records_per_file).text(f"{path}/data"))
+        frames_.write.option("lineSep", END.decode()).partitionBy("slice").text(f"{path}/data")
     finally:
         conf.set(key, before)
 
@@ -208,10 +257,16 @@ def _index_batches(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
+def _file_name() -> Column:
+    """A file's name, the number of its task first, and which of the task's files it is: names sort as records do."""
+    parts = F.split("path", "/")
+    return F.concat(F.element_at(parts, -1), F.lit("-"), F.lpad(F.element_at(F.split(F.element_at(parts, -2), "="), -1), 9, "0"))
+
+
 def read_contents(spark: SparkSession, path: str) -> DataFrame:
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/data")
             .filter(F.col("length") > 0)
-            .select(F.element_at(F.split("path", "/"), -1).alias("file"), "content"))
+            .select(_file_name().alias("file"), "content"))
 
 
 def write_index(spark: SparkSession, path: str) -> DataFrame:
