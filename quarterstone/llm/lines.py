@@ -71,10 +71,12 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     repeated run the first stays, in the order of doc_id (null last), line number; a document that
     repeats a doc_id with another text follows in the order of two hashes of its text, and an exact
     repetition of a row loses all lines that are in a run. A null text stays null; blank lines stay,
-    as do texts without repeated runs, as they are. Columns named lines or removed are replaced.
+    as do texts without repeated runs, as they are. Columns named lines or removed are replaced, all others stay
+    whatever their names.
     """
     kept = [c for c in docs.columns if c not in ("lines", "removed")]
-    rows = docs.select(*kept)
+    # the given columns travel as one, so that no name meets one used here
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in kept if c != "text"]).alias("_row"))
     texts = (rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), *_text_keys(TEXT_KEYS), "text")
              .filter(F.col("text").isNotNull()).withColumn("uid", F.monotonically_increasing_id()))
     raw = stored(texts.mapInArrow(tidied(_line_batches(least_words)),
@@ -110,7 +112,7 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
             .withColumn("lines", F.coalesce(F.size("_lines"), F.lit(0)))
             .withColumn("text", F.when(F.size("removed") == 0, F.col("text"))
                         .otherwise(F.array_join(F.expr("filter(_lines, (x, i) -> not array_contains(removed, i))"), "\n")))
-            .select(*kept, "lines", "removed"))
+            .select(*[F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in kept], "lines", "removed"))
 
 
 # The same in SQL, for runs of up to {least} lines (a line has a word or more).

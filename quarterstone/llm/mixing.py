@@ -22,6 +22,8 @@ SHARDS = 64  # a power of two
 BLOCKS = 4096  # blocks of the whole mix, about
 CHUNK = 256  # documents whose running sum is taken together, at least
 SEED = 4
+OWN = "source", "size", "_key"
+RESULT = "source_size", "target", "taken", "draws"
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -113,8 +115,12 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, times: int = MOST_T
     drawn by nobody. A row that repeats another is drawn on its own. A document is drawn at most
     ``times`` times; a source's taken words sum to its target, rounded. The same rows and seed give
     the same mix whatever the partitioning. Running sums are taken over chunks of a source, so a
-    source of any share of the rows is spread over tasks.
+    source of any share of the rows is spread over tasks. Given columns stay whatever their names, but for
+    those of the result, which are replaced.
     """
+    given = rows.columns
+    # other columns travel as one, so that no name meets one used here
+    rows = rows.select("source", "size", "_key", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in given if c not in OWN]).alias("_row"))
     sizes = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
     sources = stored(plan(sizes, weights, times, shards, blocks, seed)
                      .withColumn("chunks", F.ceil(F.col("n") / F.greatest(F.lit(float(CHUNK)), F.sqrt("n"))).cast("bigint")), "mix")
@@ -140,7 +146,7 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, times: int = MOST_T
             .withColumn("_start", F.col("_earlier") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
             .withColumn("draws", F.expr(draw))
             .withColumn("taken", F.expr("aggregate(draws, 0L, (a, d) -> a + d.words)"))
-            .drop("number", "_chunk", "_order", "_earlier", "_start", "chunks", "words", "block_words", "shard_of"))
+            .select(*[F.col(c) if c in OWN else F.col("_row")[c].alias(c) for c in given if c not in RESULT], *RESULT))
 
 
 def drawn_documents(mixed: DataFrame, columns: list[str]) -> DataFrame:
@@ -158,9 +164,15 @@ def drawn_documents(mixed: DataFrame, columns: list[str]) -> DataFrame:
     return out.select(*columns)
 
 
-def shard_rows(mixed: DataFrame, seed: int = SEED) -> DataFrame:
-    """The drawn pieces, dealt out by shard and shuffled inside each: shard, doc_id, source, round,
+def shard_rows(mixed: DataFrame, seed: int = SEED, keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
+    """The drawn pieces, dealt out by shard and shuffled inside each: shard, the columns ``keep``, round,
     block, first_word, words, and the order key that sorts a shard."""
-    return (mixed.select("doc_id", "source", "_key", F.explode("draws").alias("d")).select("doc_id", "source", "_key", "d.*")
+    return (mixed.select(*keep, "_key", F.explode("draws").alias("d")).select(*keep, "_key", "d.*")
             .withColumn("order_key", F.xxhash64(F.lit(seed), F.lit(7), "shard", "block", "round", "_key", "first_word")).drop("_key")
-            .repartition("shard").sortWithinPartitions("shard", "order_key", "doc_id", "first_word"))
+            .repartition("shard").sortWithinPartitions("shard", "order_key", *keep[:1], "first_word"))
+
+
+def taken_by_shards(mixed: DataFrame, row: str, seed: int = SEED) -> DataFrame:
+    """Every row of ``mixed`` with ``taken`` as the words of its pieces in the shards; ``row`` numbers the rows."""
+    pieces = shard_rows(mixed, seed, (row,)).groupBy(row).agg(F.sum("words").alias("_dealt"))
+    return mixed.join(pieces, row, "left").withColumn("taken", F.coalesce("_dealt", F.lit(0)).cast("bigint")).drop("_dealt")

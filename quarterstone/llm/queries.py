@@ -29,8 +29,10 @@ def op3_host_repeats_main_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_mixture(spark: SparkSession, folder: str) -> DataFrame:
-    rows = stored(mixing.sized(load(spark, folder, "documents")).select("doc_id", "source", "size", "_key"), "sizes")
-    return mixing.mix(rows).select("doc_id", "size", "source_size", "target", "taken", "draws")
+    rows = stored(mixing.sized(load(spark, folder, "documents")).select("doc_id", "source", "size", "_key")
+                  .withColumn("row", F.monotonically_increasing_id()), "sizes")
+    mixed = stored(mixing.mix(rows), "mixed")
+    return mixing.taken_by_shards(mixed, "row").select("doc_id", "size", "source_size", "target", "taken", "draws")
 
 
 def op5_toxicity_machine(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,4 +90,4 @@ QUERIES = {f.__name__: f for f in (
     op1_token_records, op2_pivot_near_duplicates, op3_host_repeats_main_text, op4_mixture, op5_toxicity_machine, op6_quality_ranking,
     op7_simhash_near_duplicates, op8_impact_ordered_top_k, op9_repeated_line_runs,
     op10_unigram_pieces, op11_license_scan, op12_infill_pieces, op13_hard_negatives, pipeline)}
-SQL: dict[str, str] = {"op9_repeated_line_runs": lines.SQL, "op12_infill_pieces": infill.SQL, "op13_hard_negatives": negatives.SQL}
+SQL: dict[str, str] = {"op2_pivot_near_duplicates": pivots.SQL, "op8_impact_ordered_top_k": topk.SQL, "op9_repeated_line_runs": lines.SQL, "op12_infill_pieces": infill.SQL, "op13_hard_negatives": negatives.SQL}

@@ -46,8 +46,8 @@ def doubled(rows: DataFrame, length: int, across: bool, done: list[DataFrame]) -
 
 
 def repeated_windows(rows: DataFrame, across: bool = False) -> DataFrame:
-    """The windows that have an earlier occurrence, or with ``across`` all those that occur in two
-    sequences or more: seq, pos, length.
+    """The windows that have an earlier occurrence: seq, pos, length. With ``across`` all those that occur in two
+    sequences or more, with ``rank``: windows of one length and rank are equal.
 
     ``rows`` has one row per element: seq and pos (its place in its sequence), at (its place in the
     order of all elements), keys ``key1`` and ``key2`` that are equal for equal elements only, and
@@ -70,7 +70,7 @@ def repeated_windows(rows: DataFrame, across: bool = False) -> DataFrame:
                           .select("seq", "pos", "at", "length", F.col("rank").alias("first_rank"), "last_rank"), "runs")
             done.append(runs)
             hits = named(runs, ["length", "first_rank", "last_rank"], across, done)
-        found.append(stored(hits.filter(counts).select("seq", "pos", "length"), "found"))
+        found.append(stored(hits.filter(counts).select("seq", "pos", "length", *(["rank"] if across else [])), "found"))
         if level.filter(F.exists("lengths", lambda n: n >= 2 * length)).isEmpty():
             break
         following = stored(doubled(level, length, across, done).select(*columns), "level")

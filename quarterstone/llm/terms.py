@@ -86,10 +86,17 @@ def held_out() -> Column:
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """(text, label) of at most ``most`` labelled documents that are not held out, those with the
-    smallest hash. The chosen ids are at most ``most`` rows, which bounds the broadcast."""
+    """(doc_id, text, label) of at most ``most`` labelled documents that are not held out, those with the
+    smallest hash. The chosen ids are at most ``most`` rows, which bounds the broadcast. A doc_id may still
+    stand on many rows: ``one_each`` bounds what is learned from them."""
     chosen = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
-              .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out())
+              .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out()).distinct()
               .orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id", "label").limit(most))
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label"))
+
+
+def one_each(rows: DataFrame, features: str) -> DataFrame:
+    """One row for each doc_id and label, that whose features have the smallest hash: no more rows
+    than labels were chosen reach the driver, however often a labelled doc_id is repeated."""
+    return rows.groupBy("doc_id", "label").agg(F.min_by(features, F.xxhash64(features)).alias(features))

@@ -168,3 +168,16 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024
     best = Window.partitionBy("query_id", "query_uid").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
+
+
+SQL = """
+WITH given AS (
+  SELECT row_number() OVER () AS uid, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.uid, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM given q JOIN given c ON q.vec_id % 100 = 0 AND q.uid <> c.uid AND len(q.v) = len(c.v))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterstone.llm.common import tidied
-from quarterstone.llm.terms import Words, hashed, held_out, learning_rows, slices, split
+from quarterstone.llm.terms import Words, hashed, held_out, learning_rows, one_each, slices, split
 
 SAMPLE = 12_000  # most labelled documents learned from
 LEAST_DOCUMENTS = 5  # a bucket must occur in so many of them
@@ -118,8 +118,8 @@ def _term_batches(batches):
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
-    rows = (learning_rows(docs, labels, "toxic", sample)
-            .mapInArrow(tidied(_term_batches), "doc_id long, label int, buckets array<int>").toArrow())
+    rows = one_each(learning_rows(docs, labels, "toxic", sample)
+                    .mapInArrow(tidied(_term_batches), "doc_id long, label int, buckets array<int>"), "buckets").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
     lists = rows.column("buckets").combine_chunks()
     label = rows.column("label").to_numpy().astype(float)
     if not len(label):
@@ -150,8 +150,8 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
     """doc_id, held_out, score, predicted for every document.
 
     A null or empty text is scored by the bias alone; a null doc_id counts as held out; labels with
-    null values, or other than 0 and 1, are not learned from; repeated labels count each. Repeated
-    documents are scored alike. An empty table gives an empty result.
+    null values, or other than 0 and 1, are not learned from; a repeated label counts once, and of several texts
+    of a labelled doc_id one is learned from. Repeated documents are scored alike. An empty table gives an empty result.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return (score(rows, learn(docs, labels, sample), ["doc_id"])

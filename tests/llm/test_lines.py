@@ -1,3 +1,5 @@
+from collections import Counter
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -57,8 +59,9 @@ def test_odd_rows(spark):
     long = "one two three four five six seven eight nine ten"
     rows = [(1, None), (2, ""), (3, long), (3, long), (3, f"{long}\nmore"), (None, long), (4, "\n\n"), (-5, "short\nlines"), (5, "short\nlines"),
             (9, "\n".join([long] * 3000))]
-    got = lines.dedup_lines(clashing(documents(spark, rows), "seq", "at", "pos", "rank", "lines", "removed")).collect()
-    assert len(got) == len(rows)
+    names = ("seq", "at", "pos", "rank", "_lines", "_id", "_copy", "_gone", "_row", "text1", "uid")
+    got = lines.dedup_lines(clashing(documents(spark, rows), *names, "lines", "removed")).collect()
+    assert len(got) == len(rows) and all(r[name] == "clash" for r in got for name in names)
     texts = sorted((str(r.doc_id), str(r.text)) for r in got)
     third = [r.text for r in got if r.doc_id == 3]
     assert sum(long in t for t in third) == 1 and len(third) == 3
@@ -111,6 +114,38 @@ def test_repeated_runs_of_a_host(spark):
     assert pages.main_text(page_rows(spark, [])).count() == 0
 
 
+def test_classes_that_tell_a_state_are_no_junk():
+    for html in ('<article class="post comments-open"><p>kept</p></article>', '<main class="site-main has-sidebar"><p>kept</p></main>',
+                 '<div class="content with-sidebar"><p>kept</p></div>', '<article class="related-post" id="comments"><p>kept</p></article>'):
+        assert [(t, junk) for t, _, junk in pages.blocks(html)] == [("kept", False)], html
+    for name in ("sidebar", "sidebar-left", "site-footer", "cookieBanner", "post-comments"):
+        assert [junk for _, _, junk in pages.blocks(f'<div class="x {name}">gone</div>')] == [True], name
+
+
+def test_copies_and_stories_of_few_pages_stay_whole(spark):
+    story = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, "http://a.example/1", f"<p>{story}</p>"), (2, "http://a.example/2", f"<p>{story}</p>"), (3, "http://a.example/3", f"<p>{story}</p>"),
+            (4, "http://b.example/4", f"<p>First</p><p>{story}</p>"), (5, "http://b.example/5", f"<p>Second</p><p>{story}</p>")]
+    got = {r.page_id: r.text for r in pages.main_text(page_rows(spark, rows)).collect()}
+    assert got == {1: story, 2: story, 3: story, 4: f"First {story}", 5: f"Second {story}"}
+
+
+def test_unmarked_copies_of_the_pages(spark):
+    """Without their article tags, pages lose their boilerplate and little else: words against those of the marked page."""
+    import re
+
+    from tests.llm.helpers import FOLDER, tables
+
+    given = [(r["page_id"], r["url"], r["html"]) for r in tables("pages").to_pylist()]
+    marked = {r.page_id: r.text.split() for r in pages.main_text(page_rows(spark, given)).collect()}
+    bare = [(i, u, re.sub(r"</?(?:article|main)\b[^>]*>", "", html or "")) for i, u, html in given]
+    got = {r.page_id: r.text.split() for r in pages.main_text(page_rows(spark, bare)).collect()}
+    both = sum(sum((Counter(got[i]) & Counter(marked[i])).values()) for i in marked)
+    precision, recall = both / sum(map(len, got.values())), both / sum(map(len, marked.values()))
+    print("precision", precision, "recall", recall)
+    assert precision >= 0.9 and recall >= 0.9
+
+
 def test_page_query_keeps_articles(spark):
     from html import unescape
     import re

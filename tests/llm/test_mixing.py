@@ -75,8 +75,12 @@ def mixed(docs, **more):
 def test_hot_and_odd_sources(spark, parts):
     docs = [(k, "w " * (k % 13), "a") for k in range(900)] + [(1000 + k, "one two", None) for k in range(30)] + [
         (2000, "long " * 20_000, "b"), (2001, None, "b"), (2002, "", "c"), (None, "x y z", "Z"), (7, "again", "ü"), (7, "again", "ü")]
-    frame = clashing(documents(spark, docs), "number", "words", "quota", "weight", "chunks").repartition(parts)
-    rows = mixed(frame.drop("number", "words", "quota", "weight", "chunks"), shards=8, blocks=64).collect()
+    names = ("number", "words", "quota", "weight", "chunks", "_row", "_order", "_chunk", "_start", "block_words", "shard_of", "n", "taken", "draws", "row")
+    frame = clashing(documents(spark, docs), *names).repartition(parts)
+    result = mixed(frame, shards=8, blocks=64)
+    rows = result.collect()
+    assert set(result.columns) == {*frame.columns, *mixing.OWN, *mixing.RESULT}
+    assert all(r[name] == "clash" for r in rows for name in names if name not in mixing.RESULT)
     checked(rows, docs)
     again = mixed(documents(spark, docs).repartition(5), shards=8, blocks=64).collect()
     assert sorted(str((r.doc_id, r.size, r.draws)) for r in rows) == sorted(str((r.doc_id, r.size, r.draws)) for r in again)
@@ -112,6 +116,9 @@ def test_drawn_documents_and_shards(spark):
         got[r.doc_id] += words(r.text)
         assert r.n_chars == len(r.text)
     assert got == Counter({k: r.taken for k, r in taken.items() if r.taken})
+    numbered = rows.withColumn("place", F.col("doc_id"))
+    dealt = {r.doc_id: r.taken for r in mixing.taken_by_shards(numbered.withColumn("taken", F.lit(-1)), "place").collect()}
+    assert dealt == {k: r.taken for k, r in taken.items()}
     pieces = mixing.shard_rows(rows)
     assert pieces.agg(F.sum("words")).first()[0] == sum(got.values())
     keys = {}
