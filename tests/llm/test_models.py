@@ -79,3 +79,92 @@ def test_words():
     found = {(d, words.distinct[n]): t for d, n, t in zip(document.tolist(), number.tolist(), times.tolist())}
     assert found[(1, "a")] == 2 and found[(1, "b")] == 1 and found[(2, "c")] == 1
     assert terms.hashed(["(Word),", "word", "...", ""]).tolist()[0:3:2] == [terms.hashed(["WORD"])[0], -1]
+
+
+def test_machine_equals_plain_loops(monkeypatch):
+    """Score, loss gradient and steps of training, term by term and pair by pair."""
+    monkeypatch.setattr(toxicity, "LEAST_DOCUMENTS", 1)
+    docs = [[1, 2], [2, 3, 9], [1, 4], [3], [4, 9, 1], [2], [9, 3, 4], [1, 2, 3, 4, 9]]
+    labels = np.array([1, 0, 1, 0, 0, 1, 0, 1.0])
+    document, bucket = np.repeat(np.arange(8), [len(d) for d in docs]), np.concatenate(docs)
+    factors, rounds, rate, decay = 2, 5, 0.05, 2e-4
+    got = toxicity.train(document, bucket, labels, factors, rounds, rate, decay, seed=5)
+    names = sorted({b for d in docs for b in d})
+    assert got.buckets.tolist() == names
+    base = (labels.sum() + 0.5) / 9
+    bias, w = np.log(base / (1 - base)), dict.fromkeys(names, 0.0)
+    start = np.random.default_rng(5).normal(0, 0.01, (len(names), factors))
+    v = {b: [float(x) for x in start[k]] for k, b in enumerate(names)}
+
+    def y(doc):
+        return bias + sum(w[j] for j in doc) + sum(sum(p * q for p, q in zip(v[j], v[k])) for i, j in enumerate(doc) for k in doc[:i])
+    means, squares, mean_b, square_b = {}, {}, 0.0, 0.0
+    for step in range(1, rounds + 1):
+        error = [(1 / (1 + np.exp(-y(d))) - label) / 8 for d, label in zip(docs, labels)]
+        slope = {(b, f): 0.0 for b in names for f in range(-1, factors)}
+        for d, e in zip(docs, error):
+            for j in d:
+                slope[j, -1] += e
+                for f in range(factors):
+                    slope[j, f] += e * sum(v[k][f] for k in d if k != j)
+        mean_b, square_b = 0.9 * mean_b + 0.1 * sum(error), 0.99 * square_b + 0.01 * sum(error) ** 2
+        bias -= rate * (mean_b / (1 - 0.9 ** step)) / (np.sqrt(square_b / (1 - 0.99 ** step)) + 1e-8)
+        for key, g in slope.items():
+            b, f = key
+            value = w[b] if f < 0 else v[b][f]
+            g += decay / 100 * value
+            means[key] = 0.9 * means.get(key, 0.0) + 0.1 * g
+            squares[key] = 0.99 * squares.get(key, 0.0) + 0.01 * g * g
+            value -= rate * (means[key] / (1 - 0.9 ** step)) / (np.sqrt(squares[key] / (1 - 0.99 ** step)) + 1e-6)
+            if f < 0:
+                w[b] = value
+            else:
+                v[b][f] = value
+    assert np.allclose(got.bias, bias) and np.allclose(got.weights, [w[b] for b in names]) and np.allclose(got.factors, [v[b] for b in names])
+    raw = got.raw(document, got.place(bucket), 8)
+    assert np.allclose(raw, [y(d) for d in docs])
+
+
+def test_ranker_equals_plain_loops():
+    """Features of texts, and the training steps over the drawn pairs one by one."""
+    texts = ["A cat sat; a cat SAT!! 12 x", "word word word", "", "ÄÖ ß. $$$ 9", "one two three four five six seven eight nine ten " * 3]
+    rows = quality.features(terms.split(pa.array(texts)))
+    for text, row in zip(texts, rows):
+        words = text.split()
+        n, size = max(len(words), 1), max(sum(map(len, words)), 1)
+        lengths = [len(x) for x in words] or [0]
+        want = [sum(not c.isalnum() for x in words for c in x) / size, sum(c.isdigit() for x in words for c in x) / size,
+                sum(x.isupper() and len(x) > 1 for x in words) / n, sum(not x[-1].isalnum() and x[-1] not in ".,;:" for x in words) / n,
+                len(set(words)) / n, np.log1p(len(set(words))) / np.log1p(n), max([words.count(x) for x in words] or [0]) / n,
+                sum(x == z for x, z in zip(words, words[1:])) / n, sum(not any(c.isalpha() for c in x) for x in words) / n,
+                sum(lengths) / n, np.sqrt(max(sum(x * x for x in lengths) / n - (sum(lengths) / n) ** 2, 0)),
+                np.log1p(len(words)), len(words) < 20, np.log1p(max(lengths))]
+        assert np.allclose(row, want), text
+    draw = np.random.default_rng(3)
+    x, labels = draw.normal(size=(9, len(quality.FEATURES))), np.array([1, 0, 1, 1, 0, 1, 1, 0, 1])
+    partners, rounds, rate, decay = 2, 4, 0.05, 1e-4
+    got = quality.train(x, labels, partners=partners, rounds=rounds, rate=rate, decay=decay, seed=6)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    z = np.array([[min(max(c, -6), 6) for c in r] + [min(max(c, -6), 6) ** 2 for c in r] for r in z])
+    good, bad, seeded = np.flatnonzero(labels), np.flatnonzero(labels == 0), np.random.default_rng(6)
+    better = [*seeded.choice(good, len(bad) * partners), *np.repeat(good, partners)]
+    worse = [*np.repeat(bad, partners), *seeded.choice(bad, len(good) * partners)]
+    weights, first, second = np.zeros(z.shape[1]), np.zeros(z.shape[1]), np.zeros(z.shape[1])
+    for step in range(1, rounds + 1):
+        g = decay * weights
+        for i, j in zip(better, worse):
+            # the slope of -log(1 / (1 + exp(-(u_i - u_j))))
+            g = g - (z[i] - z[j]) / (1 + np.exp((z[i] - z[j]) @ weights)) / len(better)
+        first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
+        weights = weights - rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
+    assert np.allclose(got.weights, weights) and np.isclose(got.cut, np.quantile(z @ weights, 3 / 9))
+    scores = got.score(x)
+    assert np.allclose(scores, [1 / (1 + np.exp(-(u - got.cut) - np.log(0.3 / 0.7))) for u in z @ weights])
+
+
+def test_a_repeated_labelled_document_counts_once(spark):
+    text = "some words of a text " * 4
+    once = [(i, f"{text} {'insult' if i % 2 else 'praise'} {i}") for i in range(40)]
+    marks = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    a, b = (toxicity.learn(documents(spark, rows), marks) for rows in (once, once + [once[1]] * 200))
+    assert a.buckets.tolist() == b.buckets.tolist() and np.array_equal(a.weights, b.weights) and a.bias == b.bias
