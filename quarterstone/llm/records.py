@@ -92,6 +92,7 @@ class Encoder:
         self.marks = {mark: int(self.whole([mark])[0][0]) for mark in ".,"}
         self.known: dict[str, int] = {}  # word -> place
         self.ids, self.starts = np.zeros(0, f"<u{self.width}"), np.zeros(1, np.int64)  # of each place, and the end
+        self.used = np.zeros(0, np.int64)  # how often each place was met
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, f"<u{self.width}") for e in
@@ -136,20 +137,34 @@ class Encoder:
             after = np.array([self.marks[m] for _, _, m in marked], ids.dtype)
             self._remember([w for w, _, _ in marked], [np.insert(ids, np.cumsum(sizes), after)], [sizes + 1])
 
-    def places(self, words: list[str]) -> np.ndarray:
-        """The place of each word, learned where it is not known."""
-        found = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+    def _found(self, words: list[str]) -> np.ndarray:
+        return np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+
+    def places(self, words: list[str], times: np.ndarray) -> np.ndarray:
+        """The place of each word, learned where it is not known; ``times`` is how often each occurs."""
+        found = self._found(words)
+        if len(self.known) + 2 * int((found < 0).sum()) > self.keep:
+            self._forget()
+            found = self._found(words)
         missing = np.flatnonzero(found < 0)
         if len(missing):
-            if len(self.known) + 2 * len(missing) > self.keep:  # keep what this slice has met again
-                kept = np.flatnonzero(found >= 0)
-                ids, counts = self.gathered(found[kept])
-                self.known, self.ids, self.starts = {}, ids[:0], np.zeros(1, np.int64)
-                self._remember([words[i] for i in kept], [ids], [counts])
-            self.learn([words[i] for i in missing])
-            found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            new = [words[i] for i in missing]
+            self.learn(new)
+            found[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+            self.used = np.concatenate([self.used, np.zeros(len(self.starts) - 1 - len(self.used), np.int64)])
+        self.used[found] += times
         return found
 
+    def _forget(self) -> None:
+        """Keep the words met most often, half as many as may be remembered; what was met long ago counts less."""
+        kept = np.sort(np.argsort(-self.used, kind="stable")[:self.keep // 2])
+        words = list(self.known)  # in the order of their places
+        ids, counts = self.gathered(kept)
+        self.known, self.ids, self.starts = {}, ids[:0], np.zeros(1, np.int64)
+        self.used = self.used[kept] // 2
+        if len(kept):
+            self._remember([words[i] for i in kept.tolist()], [ids], [counts])
+
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as little-endian integers of ``width`` bytes."""
         texts = texts.cast(pa.string())
@@ -170,9 +185,10 @@ class Encoder:
         words = coded.dictionary
         others = np.ones(len(codes), bool)
         others[starts] = False
-        used = np.flatnonzero(np.bincount(codes[others], minlength=len(words)))
+        times = np.bincount(codes[others], minlength=len(words))
+        used = np.flatnonzero(times)
         table = np.zeros(len(words), np.int64)
-        table[used] = self.places(words.take(pa.array(used)).to_pylist())
+        table[used] = self.places(words.take(pa.array(used)).to_pylist(), times[used])
         # the first word of a text has no space before it; such words are not remembered
         firsts, which = np.unique(codes[starts], return_inverse=True)
         heads = self.whole(words.take(pa.array(firsts)).to_pylist())
