@@ -11,7 +11,7 @@ turn by those quotas, so shards hold disjoint blocks; inside a shard the order i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterstone.llm.common import WORD, stored
@@ -20,6 +20,7 @@ WEIGHTS = 5, 2, 1
 MOST_TIMES = 3
 SHARDS = 64  # a power of two
 BLOCKS = 4096  # blocks of the whole mix, about
+PARTS_BITS = 4  # a shard lies in 2 ** PARTS_BITS parts
 CHUNK = 256  # documents whose running sum is taken together, at least
 SEED = 4
 OWN = "source", "size", "_key"
@@ -149,27 +150,42 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, times: int = MOST_T
             .select(*[F.col(c) if c in OWN else F.col("_row")[c].alias(c) for c in given if c not in RESULT], *RESULT))
 
 
-def drawn_documents(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The mixed documents: the columns ``columns`` once for each round that draws from a document.
-    A document of which a round takes only the first words (at most one for each source) has its
-    text cut after them, words joined by one space."""
-    rounds = mixed.select(*columns, "size", F.explode(F.expr(
-        "filter(transform(array_distinct(transform(draws, d -> d.round)), r -> named_struct('round', r, 'words', "
-        "aggregate(draws, 0L, (a, d) -> a + if(d.round = r, d.words, 0L)))), r -> r.words > 0)")).alias("_round"))
+def _order_key(seed: int, shard: Column, block: Column, round_: Column, first_word: Column) -> Column:
+    """The place of a piece in its shard: a hash, so that a shard is in random order."""
+    return F.xxhash64(F.lit(seed), F.lit(7), shard, block, round_, F.col("_key"), first_word)
+
+
+def _dealt(rows: DataFrame, *ties: str) -> DataFrame:
+    """Rows with shard and order_key, put together by shard and sorted by order_key. A shard lies in several
+    tasks, by ranges of the key, as it grows with the mix."""
+    return (rows.repartition("shard", F.shiftright("order_key", 64 - PARTS_BITS)).sortWithinPartitions("shard", "order_key", *ties))
+
+
+def drawn_documents(mixed: DataFrame, columns: list[str], seed: int = SEED) -> DataFrame:
+    """The mixed documents: the columns ``columns`` once for each round that draws from a document, dealt out by the
+    shard of its first words and shuffled inside each shard. A document of which a round takes only the first
+    words (at most one for each source) has its text cut after them, words joined by one space."""
+    of_round = "filter(draws, d -> d.round = r)"
+    rounds = mixed.select(*columns, "size", "_key", F.explode(F.expr(
+        f"""filter(transform(array_distinct(transform(draws, d -> d.round)), r -> named_struct('round', r,
+            'words', aggregate({of_round}, 0L, (a, d) -> a + d.words), 'first', element_at({of_round}, 1))), r -> r.words > 0)""")).alias("_round"))
+    first = F.col("_round.first")
+    rounds = (rounds.withColumn("shard", first["shard"])
+              .withColumn("order_key", _order_key(seed, first["shard"], first["block"], first["round"], first["first_word"])))
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("_round.words").cast("int")), " ")
     whole = F.col("_round.words") >= F.col("size")
     out = rounds.withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
-    return out.select(*columns)
+    return _dealt(out.select(*columns, "shard", "order_key")).select(*columns)
 
 
 def shard_rows(mixed: DataFrame, seed: int = SEED, keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
     """The drawn pieces, dealt out by shard and shuffled inside each: shard, the columns ``keep``, round,
     block, first_word, words, and the order key that sorts a shard."""
-    return (mixed.select(*keep, "_key", F.explode("draws").alias("d")).select(*keep, "_key", "d.*")
-            .withColumn("order_key", F.xxhash64(F.lit(seed), F.lit(7), "shard", "block", "round", "_key", "first_word")).drop("_key")
-            .repartition("shard").sortWithinPartitions("shard", "order_key", *keep[:1], "first_word"))
+    pieces = mixed.select(*keep, "_key", F.explode("draws").alias("d")).select(*keep, "_key", "d.*")
+    return _dealt(pieces.withColumn("order_key", _order_key(seed, F.col("shard"), F.col("block"), F.col("round"), F.col("first_word"))).drop("_key"),
+                  *keep[:1], "first_word")
 
 
 def taken_by_shards(mixed: DataFrame, row: str, seed: int = SEED) -> DataFrame:

@@ -122,6 +122,6 @@ def test_drawn_documents_and_shards(spark):
     pieces = mixing.shard_rows(rows)
     assert pieces.agg(F.sum("words")).first()[0] == sum(got.values())
     keys = {}
-    for r in pieces.collect():
-        keys.setdefault(r.shard, []).append(r.order_key)
-    assert all(k == sorted(k) for k in keys.values()) and len(keys) == 4
+    for r in pieces.withColumn("task", F.spark_partition_id()).collect():
+        keys.setdefault((r.shard, r.order_key >> 60), []).append((r.task, r.order_key))
+    assert all(k == sorted(k) and len({task for task, _ in k}) == 1 for k in keys.values()) and len({shard for shard, _ in keys}) == 4
