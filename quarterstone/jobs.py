@@ -212,6 +212,14 @@ class _Reads(DocumentSource):
         return super().joined(needs)
 
 
+def remove_companies(store: Store, files: str) -> None:
+    """Companies that are listed no more (CSV with a header and a column code) leave all tables kept by company; the
+    next refresh drops them from the reports."""
+    codes = store.spark.read.schema("code BIGINT").csv(files, header=True)
+    for name in (*(f"statements_{s}" for s in STATEMENTS), "consensus", "surveys", "board"):
+        store.remove(name, codes)
+
+
 class StoredInputs:
     """The catalog's inputs out of a store; each is opened when a relation asks for it."""
 
@@ -275,7 +283,7 @@ def main(arguments: list[str] | None = None) -> None:
     command("load-statements", "files")
     command("load-sheets", "files", "name")
     loaders = {"load-board": load_board_pages, "load-company": load_company,
-               "load-classes": load_classes, "load-pledges": load_pledges}
+               "load-classes": load_classes, "load-pledges": load_pledges, "remove-companies": remove_companies}
     for name in loaders:
         command(name, "files")
     command("load-feed", "files", "kind")

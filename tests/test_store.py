@@ -139,8 +139,7 @@ def test_refresh_follows_changed_new_and_removed_companies(spark, store, tmp_pat
     assert jobs.refresh(store, reports) == []
     # one company changes, one comes, one goes; another delivers its income only
     jobs.load_statements(store, deliver(tmp_path, "second", texts([3], base=900) | texts([700]) | texts([9], "is", base=500)))
-    for s, _ in STATED:
-        store.remove(f"statements_{s}", spark.createDataFrame([(5,)], "code long"))
+    jobs.remove_companies(store, deliver(tmp_path, "gone", {"gone.csv": "code\n5\n4711\n"}))
     before = reports.manifest("_s_q4a").sources
     assert set(jobs.refresh(store, reports)) == set(catalog.STORED)
     after, touched = reports.manifest("_s_q4a").sources, store.part_of("code", 16)
