@@ -5,7 +5,7 @@ with its middle moved to zero, since vectors about a common mean have no order o
 close, so that a dense group has few, its members share them, and noise within the group decides little. Inverted
 lists hold the vectors that name a pivot, or two pivots together: vectors in one list have a shared-pivot count of
 one, or two, or more. How many a candidate must share, and how long the described order is, is chosen on the sample: the
-fewest candidates at which nearly all partners of sampled vectors are found. Candidates are compared by cosine
+least work at which nearly all partners of sampled vectors are found. Candidates are compared by cosine
 in double precision, in the first list they share.
 """
 
@@ -26,7 +26,8 @@ from quarterstone.llm.components import components
 from quarterstone.llm.vectors import finite
 
 PIVOTS = 32, 2048  # least and most reference points
-ORDERS = (8, 2), (8, 1), (16, 1), (32, 1)  # described pivots and least shared-pivot count, by rising number of candidates
+ORDERS = (8, 2), (8, 1), (16, 1), (32, 1)  # described pivots and least shared-pivot count
+LISTING = 500.0  # cost of naming a vector in a list, in compared pairs
 RECALL = 0.99  # share of partners that a choice must find on the sample
 APART = 0.5  # cosine that two pivots stay under, seen from the middle
 POOL = 4  # sampled vectors for each pivot
@@ -97,30 +98,35 @@ def partners(rows: np.ndarray, least: float, seed: int = 2) -> np.ndarray:
     return cosine * rows + np.sqrt(1 - cosine ** 2) * off
 
 
-def fitted(rows: np.ndarray, number: int, least: float) -> Index:
-    """The index with the fewest candidates that finds enough partners of the sample's rows, and of those about
-    the commonest nearest pivot, where a dense group lies; or else the one with the most."""
+def fitted(rows: np.ndarray, labels: np.ndarray, number: int, least: float, total: int) -> Index:
+    """The index of the least work for ``total`` vectors that finds enough partners of the sample's rows, and of those about
+    the commonest nearest pivot, where a dense group lies; or else the one that finds most."""
     middle = rows.mean(axis=0)
     points = thinned(centered(rows, middle), number)
-    asked = rows[:1500]
+    asked, of = rows[:1500], labels[:1500]
     near, cell = partners(asked, least), (centered(asked, middle) @ points.T).argmax(axis=1)
     dense = cell == np.bincount(cell).argmax()
+    choices = []
     for order, shared in ORDERS:
         index = Index(middle, points, min(order, len(points)), shared)
         a, b = index.names(asked), index.names(near)
         found = (a[:, :, None] == b[:, None, :]).any(axis=(1, 2))
-        if min(found.mean(), found[dense].mean()) >= RECALL:
-            break
-    return index
+        recall = min(found.mean(), found[dense].mean())
+        # vectors of one label in one list are compared, once for each list they share
+        lists, sizes = np.unique(np.stack([np.repeat(of, a.shape[1]), a.ravel()]), axis=1, return_counts=True)
+        compared = total * (sizes / len(asked)).dot(sizes / len(asked))
+        choices.append((recall < RECALL, 0.0 if recall >= RECALL else -recall, a.shape[1] * LISTING + compared, len(choices), index))
+    return min(choices)[-1]
 
 
 def pivot_rows(vectors: DataFrame, total: int, least: float = 0.93) -> dict[int, Index]:
     """The index of each vector length, fitted on a bounded sample, the vectors with the smallest hash. The
     number of pivots grows with the root of the table, from 32 to 2048."""
     number = min(PIVOTS[1], max(PIVOTS[0], 1 << math.ceil(math.log2(math.sqrt(max(total, 1))))))
-    rows = vectors.select("embedding").orderBy(F.xxhash64(F.lit(11), "uid"), "uid").limit(POOL * number).toArrow()
-    sizes = pc.list_value_length(rows.column(0)).to_numpy()
-    return {int(size): fitted(units(matrix(rows.column(0).filter(pa.array(sizes == size)))), number, least) for size in np.unique(sizes)}
+    rows = vectors.orderBy(F.xxhash64(F.lit(11), "uid"), "uid").limit(POOL * number).select("embedding", "label").toArrow()
+    sizes, labels = pc.list_value_length(rows.column(0)).to_numpy(), rows.column(1).to_numpy()
+    return {int(size): fitted(units(matrix(rows.column(0).filter(pa.array(sizes == size)))), labels[sizes == size], number, least, total)
+            for size in np.unique(sizes)}
 
 
 def _name_batches(indexes: dict[int, Index]):
@@ -207,8 +213,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     rows = stored(vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label"), "embedding")
                   .withColumn("uid", F.monotonically_increasing_id()), "vectors")
     usable = rows.filter(finite("embedding") & F.col("label").isNotNull() & F.exists("embedding", lambda x: x != 0))
-    indexes = pivot_rows(usable, usable.count(), least)
     keyed = usable.select("uid", F.xxhash64(F.col("label").cast("string")).alias("label"), "embedding")
+    indexes = pivot_rows(keyed, usable.count(), least)
     kind = dict(keyed.dtypes)["embedding"]
     lists = (keyed.mapInArrow(tidied(_name_batches(indexes)), f"uid long, label long, embedding {kind}, size long, lists array<bigint>")
              .withColumn("pivot", F.explode("lists")))

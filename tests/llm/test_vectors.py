@@ -69,21 +69,23 @@ def test_dense_noisy_group_keeps_its_links(spark, monkeypatch):
     assert all(got[i][0] <= n for i, n, _ in expected)
 
 
-@pytest.mark.parametrize("mean,pivots_from", [(0.0, 256), (0.5, 256), (0.7, 512), (0.9, 256)])
-def test_index_finds_links_about_a_common_mean(mean, pivots_from):
+@pytest.mark.parametrize("total", [10_000, 10_000_000])
+@pytest.mark.parametrize("mean,number", [(0.0, 256), (0.5, 256), (0.7, 512), (0.9, 256)])
+def test_index_finds_links_about_a_common_mean(mean, number, total):
     """Links at cosine 0.93 to 0.965 among vectors whose mean cosine is ``mean``, by the chosen shared-pivot count."""
     draw = np.random.default_rng(7)
     middle = np.zeros(64)
     middle[0] = np.sqrt(mean)
     noise = draw.normal(size=(6000, 64)) * np.where(middle > 0, 0, 1)
     rows = unit(middle + np.sqrt(1 - mean) * unit(noise))
-    index = pivots.fitted(rows[:4 * pivots_from], pivots_from, 0.93)
+    index = pivots.fitted(rows[:4 * number], np.zeros(4 * number, int), number, 0.93, total)
     near = pivots.partners(rows[4000:], 0.93, seed=9)
     a, b = index.names(rows[4000:]), index.names(near)
     recall = (a[:, :, None] == b[:, None, :]).any(axis=(1, 2)).mean()
     other = (a[:200, None, :, None] == b[None, :, None, :]).any(axis=(2, 3)).mean()
-    print(mean, len(index.points), index.order, index.shared, "recall", recall, "candidates", other)
+    print(mean, total, len(index.points), index.order, index.shared, "recall", recall, "candidates", other)
     assert len(index.points) >= 32 and recall >= 0.98
+    assert mean > 0.5 or index.shared == (2 if total > 10_000 else 1)
 
 
 def test_names_are_pairs_of_near_pivots():
