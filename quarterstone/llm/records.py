@@ -72,7 +72,7 @@ class Encoder:
     spaces all stand after a non-blank falls into independent pieces before each space. Pieces
     are encoded together in one call and cut apart by the byte length of each id; a text with
     other blank runs is encoded whole. The ids of all remembered words lie in one array; a word
-    has a place there, a text is one gathering of places. ``keep`` bounds the remembered words.
+    has a place there, a text is one gathering of places. ``keep`` bounds the words remembered from one slice to the next.
     """
 
     RUN = r"(^|[\s\p{Z}\x{85}\x1c-\x1f\x0b]) "
@@ -137,15 +137,11 @@ class Encoder:
             after = np.array([self.marks[m] for _, _, m in marked], ids.dtype)
             self._remember([w for w, _, _ in marked], [np.insert(ids, np.cumsum(sizes), after)], [sizes + 1])
 
-    def _found(self, words: list[str]) -> np.ndarray:
-        return np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
-
     def places(self, words: list[str], times: np.ndarray) -> np.ndarray:
         """The place of each word, learned where it is not known; ``times`` is how often each occurs."""
-        found = self._found(words)
-        if len(self.known) + 2 * int((found < 0).sum()) > self.keep:
+        if len(self.known) > self.keep:
             self._forget()
-            found = self._found(words)
+        found = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
         missing = np.flatnonzero(found < 0)
         if len(missing):
             new = [words[i] for i in missing]
@@ -156,8 +152,8 @@ class Encoder:
         return found
 
     def _forget(self) -> None:
-        """Keep the words met most often, half as many as may be remembered; what was met long ago counts less."""
-        kept = np.sort(np.argsort(-self.used, kind="stable")[:self.keep // 2])
+        """Keep the words met most often, two thirds of as many as may be remembered; what was met long ago counts less."""
+        kept = np.sort(np.argsort(-self.used, kind="stable")[:self.keep * 2 // 3])
         words = list(self.known)  # in the order of their places
         ids, counts = self.gathered(kept)
         self.known, self.ids, self.starts = {}, ids[:0], np.zeros(1, np.int64)
@@ -188,7 +184,7 @@ class Encoder:
         times = np.bincount(codes[others], minlength=len(words))
         used = np.flatnonzero(times)
         table = np.zeros(len(words), np.int64)
-        table[used] = self.places(words.take(pa.array(used)).to_pylist(), times[used])
+        table[used] = self.places(words.take(pa.array(used)).to_numpy(zero_copy_only=False).tolist(), times[used])
         # the first word of a text has no space before it; such words are not remembered
         firsts, which = np.unique(codes[starts], return_inverse=True)
         heads = self.whole(words.take(pa.array(firsts)).to_pylist())
