@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+import zlib
 from collections.abc import Callable
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,8 +110,27 @@ def _write_reports(t, path: str) -> None:
                                F.col("name").alias("value"))
     stray = t.company.select(F.concat(F.lit("is_n"), F.format_string("%05d", "code"), F.lit(".csv")).alias("file"),
                              F.lit("<!DOCTYPE html><p>not found</p>").alias("value"))
-    # the text source ends a line with \n; the report keeps \r\n between its own lines
-    (files.unionByName(foreign).unionByName(stray).repartition("file").write.partitionBy("file").text(path))
+    # Spark's text writer would open a task's files through Hadoop's local file system, which starts a process for each
+    # file's permissions; rows of one name are lines of one file
+    files.unionByName(foreign).unionByName(stray).repartition("file").sortWithinPartitions("file").foreachPartition(_file_writer(path))
+
+
+def _file_writer(path: str):
+    """Writes a task's rows ``file, value``, ascending by file, as files of those names in 256 folders, so that no folder
+    holds all names. A repeated task writes the same files again."""
+    def write(rows) -> None:
+        from pyarrow.fs import FileSystem
+
+        store, root = FileSystem.from_uri(path)
+        made = set()
+        for file, lines in groupby(rows, lambda row: row["file"]):
+            folder = f"{root}/{zlib.crc32(file.encode()) % 256:02x}"
+            if folder not in made:
+                store.create_dir(folder, recursive=True)
+                made.add(folder)
+            with store.open_output_stream(f"{folder}/{file}") as out:
+                out.write("".join(f"{row['value'] or ''}\n" for row in lines).encode())
+    return write
 
 
 @query

@@ -19,6 +19,7 @@ from quarterstone.sources.cleaning import clean_report, payload_verdict
 # File names: statement prefix, then the six characters of the code (more, if all are
 # digits, so that longer codes stay distinct); fixed values.
 FILE_NAME = r"(?:^|[/=])(bs|is|cf)_(\d{6,}|[^/]{6})[^/]*(?:/part-[^/]*)?$"
+COMPRESSED = r"\.(?:bz2|deflate|gz|lz4|snappy|zst)$"  # names that Spark's text reader unpacks
 HEAD = "报告日期"
 PERIOD_LABEL = r"^\d{4}-\d{2}-\d{2}$"
 
@@ -27,13 +28,15 @@ def read_statement_folder(spark: SparkSession, path: str) -> DataFrame:
     """``statement, code, loaded, content`` of every report file; other files are ignored.
 
     A file may be a plain one (``is_600660.csv``) or a written partition folder of that
-    name. Small files are packed into splits by the reader.
+    name. Small files are packed into splits by the reader. They are read as bytes, since the text reader sets up its
+    codecs anew for each file; it reads those that are compressed.
     """
-    files = (spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-             .select("value", "_metadata.file_path", "_metadata.file_modification_time"))
-    return report_files(files.select(
-        F.col("file_path").alias("file"), F.col("value").alias("content"),
-        F.col("file_modification_time").alias("loaded")))
+    file, loaded = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("loaded")
+    folder = spark.read.option("recursiveFileLookup", True)
+    packed = F.rlike("file", F.lit(COMPRESSED))
+    plain = folder.format("binaryFile").load(path).select(file, F.col("content").cast("string").alias("content"), loaded)
+    coded = folder.text(path, wholetext=True).select(file, F.col("value").alias("content"), loaded)
+    return report_files(plain.where(~packed)).unionByName(report_files(coded.where(packed)))
 
 
 def report_files(files: DataFrame) -> DataFrame:

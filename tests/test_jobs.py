@@ -5,9 +5,12 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries as check_queries
 from quarterstone import jobs
 from quarterstone.plans import catalog
 from quarterstone.plans.items import BALANCE, CASH_FLOW, INCOME
+from quarterstone.sources import statement_files
+from quarterstone.sources.testtables import TestTables
 
 PERIODS = [f"{y}-12-31" for y in range(2017, 2010, -1)]
 
@@ -205,3 +208,30 @@ def test_quotes_feeds_and_checks_by_command(spark, store, tmp_path):
     assert tuple(store.read("load_progress").first()) == (3, 6)
     jobs.main(["refresh", "--store", store.root, "--reports", str(tmp_path / "out")])
     assert jobs.Store(spark, str(tmp_path / "out")).need("_income_mrqa").count() == 1
+
+
+def test_many_small_files_stay_few(spark, store, tmp_path):
+    """Report files lie in few folders, and a load stages few files however many tasks read them."""
+    tables = TestTables(spark, "/root/testdata/sf0.001")
+    check_queries._write_reports(tables, str(tmp_path / "reports"))
+    found = [p for p in (tmp_path / "reports").rglob("*.csv") if not p.name.startswith(".")]
+    assert all(p.is_file() for p in found) and len({p.name for p in found}) == len(found) > 30
+    assert all(p.parent.parent == tmp_path / "reports" for p in found)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a task for each file
+    try:
+        staged, counts = jobs.stage_reports(store, str(tmp_path / "reports"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(staged.inputFiles()) <= 12 and staged.count() == sum(counts.values())
+
+
+def test_compressed_reports_are_read(spark, tmp_path):
+    import gzip
+
+    text = "报告日期,2020-12-31\r\n营业收入(万元),5\r\n"
+    (tmp_path / "is_000001.csv").write_bytes(text.encode())
+    (tmp_path / "is_000002.csv.gz").write_bytes(gzip.compress(text.encode()))
+    (tmp_path / "notes_000003.csv").write_bytes(text.encode())
+    rows = statement_files.read_statement_folder(spark, str(tmp_path))
+    assert sorted((r.statement, r.code, r.content) for r in rows.collect()) == [("is", 1, text), ("is", 2, text)]
