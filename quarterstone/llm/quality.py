@@ -1,10 +1,11 @@
 """Document quality by Bradley-Terry pairwise ranking.
 
 A document's utility is a weighted sum of features of its whole text. Weights are learned from
-preference pairs (a good and a bad document of the labelled sample) by logistic loss on feature
-differences: P(i preferred to j) = 1 / (1 + exp(-(u_i - u_j))). The decision threshold is a
-quantile of the utilities, the share of bad documents in the sample, and a monotone map puts it at
-the wanted score.
+preference pairs (a good and a bad labelled document) by logistic loss on feature
+differences: P(i preferred to j) = 1 / (1 + exp(-(u_i - u_j))). All labelled documents that are not held out
+are learned from: they are dealt to groups of a bounded size, each group's weights are trained in its
+task, and the model has their mean. The decision threshold is the exact quantile of all their
+utilities at the share of bad ones, and a monotone map puts it at the wanted score.
 """
 
 from __future__ import annotations
@@ -16,11 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterstone.llm.common import tidied
-from quarterstone.llm.terms import Words, held_out, learning_rows, one_each, slices, split
+from quarterstone.llm.common import stored, tidied
+from quarterstone.llm.terms import Words, held_out, labelled, slices, split
 from quarterstone.llm.toxicity import logistic
+from quarterstone.operators.percentiles import exact_percentiles
 
-SAMPLE = 12_000  # most labelled documents learned from
+GROUP = 12_000  # labelled documents trained on together; all of them are, in groups of about so many
 PARTNERS = 24  # good documents each bad one is paired with, and the other way round
 THRESHOLD = 0.3
 FEATURES = ["symbols", "digits", "shouted", "marked_ends", "distinct", "distinct_for_length", "top_share", "echoed",
@@ -76,16 +78,17 @@ def expanded(rows: np.ndarray) -> np.ndarray:
 
 
 def train(rows: np.ndarray, labels: np.ndarray, threshold: float = THRESHOLD, partners: int = PARTNERS, rounds: int = 300,
-          rate: float = 0.05, decay: float = 1e-4, seed: int = 6) -> Ranker:
-    """Adam on the mean pair loss. Without documents of both kinds all documents score alike."""
+          rate: float = 0.05, decay: float = 1e-4, seed: int = 6, shape: tuple[np.ndarray, np.ndarray] | None = None) -> Ranker:
+    """Adam on the mean pair loss. Without documents of both kinds all documents score alike. ``shape`` gives the
+    features' means and deviations, if the rows are only some of those learned from."""
     width = len(FEATURES)
     good, bad = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
     if not len(good) or not len(bad):
         one_kind = Ranker(np.zeros(width), np.ones(width), np.zeros(2 * width), 0.0, threshold=threshold)
         one_kind.cut = -2.0 if len(good) else 0.0 if not len(bad) else 2.0
         return one_kind
-    center, scale = rows.mean(axis=0), rows.std(axis=0)
-    scale[scale < 1e-9] = 1
+    center, scale = shape or (rows.mean(axis=0), rows.std(axis=0))
+    scale = np.where(scale < 1e-9, 1, scale)
     x = expanded((rows - center) / scale)
     draw = np.random.default_rng(seed)
     better = np.concatenate([draw.choice(good, len(bad) * partners), np.repeat(good, partners)])
@@ -107,33 +110,72 @@ def _feature_batches(batches):
         for part in slices(batch, 1):
             rows = features(split(part.column(1)))
             lists = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), lists], ["doc_id", "label", "features"])
+            yield pa.RecordBatch.from_arrays([part.column(0), lists], ["doc_id", "features"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> Ranker:
-    rows = one_each(learning_rows(docs, labels, "quality", sample)
-                    .mapInArrow(tidied(_feature_batches), "doc_id long, label int, features array<double>"), "features").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
-    values = rows.column("features").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
-    return train(values, rows.column("label").to_numpy(), threshold)
+def featured(docs: DataFrame) -> DataFrame:
+    """doc_id, features of every document, written once: a row is as short as its features, so texts are never shuffled."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return stored(rows.mapInArrow(tidied(_feature_batches), "doc_id long, features array<double>"), "features")
+
 
+def _matrix(lists) -> np.ndarray:
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
 
-def _score_batches(model: Ranker):
+
+def _trained(shape: tuple[np.ndarray, np.ndarray]):
+    """The weights of a group and the number of its documents; none without documents of both kinds, as it has no pair."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("label", "ascending")])
+        labels = table.column("label").to_numpy()
+        both = 0 < labels.sum() < len(labels)
+        weights = [train(_matrix(table.column("features")), labels, shape=shape).weights] if both else []
+        return pa.table({"n": pa.array([len(labels)] * len(weights), pa.int64()), "weights": pa.array(weights, pa.list_(pa.float64()))})
+    return run
+
+
+def _value_batches(values, name: str):
+    """doc_id and a value of each row's features."""
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 1):
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.score(features(split(part.column(1)))))],
-                                                 ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values(_matrix(batch.column(1))))], ["doc_id", name])
     return run
 
 
-def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+def learn(found: DataFrame, labels: DataFrame, group: int = GROUP, threshold: float = THRESHOLD) -> Ranker:
+    """A ranker from the features (``featured``) of all labelled documents that are not held out. Of several
+    texts of a doc_id that whose features have the smallest hash counts. A row of 28 weights for each
+    group reaches the driver, and sums over all documents."""
+    each = found.filter(~held_out()).groupBy("doc_id").agg(F.min_by("features", F.xxhash64("features")).alias("features"))
+    rows = stored(each.join(labelled(labels, "quality"), "doc_id").select("doc_id", "label", "features"), "learned")
+    parts = [F.col("features")[i] for i in range(len(FEATURES))]
+    n, good, *sums = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0)), *map(F.avg, parts), *map(F.stddev_pop, parts)).first()
+    if good in (0, n):
+        return train(np.zeros((min(n, 1), len(FEATURES))), np.full(min(n, 1), int(good > 0)), threshold)
+    shape = np.array(sums[:len(FEATURES)]), np.array(sums[len(FEATURES):])
+    dealt = rows.groupBy(F.pmod(F.xxhash64(F.lit(17), "doc_id", "label"), F.lit(-(-n // group))))
+    trained = dealt.applyInArrow(_trained(shape), "n long, weights array<double>").toArrow()
+    width = 2 * len(FEATURES)
+    weights = np.zeros(width)
+    if trained.num_rows:
+        ordered = sorted(zip(trained.column("n").to_pylist(), trained.column("weights").to_pylist()))
+        weights = np.average([w for _, w in ordered], axis=0, weights=[k for k, _ in ordered])
+    model = Ranker(shape[0], np.where(shape[1] < 1e-9, 1, shape[1]), weights, 0.0, threshold=threshold)
+    utilities = rows.select("doc_id", "features").mapInArrow(_value_batches(model.utility, "u"), "doc_id long, u double")
+    cut = exact_percentiles(utilities.withColumn("all", F.lit(0)), "all", {"cut": (F.col("u"), (n - good) / n)}, stage=stored)
+    model.cut = cut.first()["cut"]
+    return model
+
+
+def classify(docs: DataFrame, labels: DataFrame, group: int = GROUP, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted for every document.
 
     A null text counts as empty and is scored like any other; a null doc_id counts as held out;
     labels with null values, or other than 0 and 1, are not learned from; a repeated label counts once, and of
     several texts of a labelled doc_id one is learned from. Repeated documents are scored alike. An empty table gives an empty result.
     """
-    model = learn(docs, labels, sample, threshold)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return (rows.mapInArrow(tidied(_score_batches(model)), "doc_id long, score double")
+    found = featured(docs)
+    model = learn(found, labels, group, threshold)
+    return (found.mapInArrow(_value_batches(model.score, "score"), "doc_id long, score double")
             .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")))

@@ -85,13 +85,17 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
 
 
+def labelled(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label), each once, of the labels 0 and 1 of documents that are not held out."""
+    return (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
+            .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out()).distinct())
+
+
 def learning_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """(doc_id, text, label) of at most ``most`` labelled documents that are not held out, those with the
     smallest hash. The chosen ids are at most ``most`` rows, which bounds the broadcast. A doc_id may still
     stand on many rows: ``one_each`` bounds what is learned from them."""
-    chosen = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
-              .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out()).distinct()
-              .orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id", "label").limit(most))
+    chosen = labelled(labels, label).orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id", "label").limit(most)
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label"))
 

@@ -168,3 +168,17 @@ def test_a_repeated_labelled_document_counts_once(spark):
     marks = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id bigint, quality int, toxic int")
     a, b = (toxicity.learn(documents(spark, rows), marks) for rows in (once, once + [once[1]] * 200))
     assert a.buckets.tolist() == b.buckets.tolist() and np.array_equal(a.weights, b.weights) and a.bias == b.bias
+
+
+def test_ranker_learns_from_all_labelled(spark):
+    """Means, deviations, weights and the threshold come from every labelled document, however small the groups."""
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    found = quality.featured(docs)
+    rows = {r.doc_id: r.features for r in found.collect()}
+    known = {r.doc_id: r.quality for r in labels.collect()
+             if r.doc_id in rows and r.quality in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 5}
+    x, y = np.array([rows[i] for i in known]), np.array(list(known.values()))
+    model = quality.learn(found, labels, group=60)
+    assert len(y) > 240 and np.allclose(model.center, x.mean(axis=0)) and np.allclose(model.scale, np.where(x.std(axis=0) < 1e-9, 1, x.std(axis=0)))
+    assert model.cut == pytest.approx(np.quantile(model.utility(x), (y == 0).mean()))
+    assert np.mean((model.utility(x) > model.cut) == (y == 1)) > 0.9
