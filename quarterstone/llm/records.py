@@ -21,6 +21,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -114,7 +115,7 @@ class Encoder:
     def learn(self, words: list[str]) -> None:
         """Remember the ids of each word with a space before it. A mark after Latin letters is a
         piece of its own by the tokenizer's pattern, so such words share their letters' ids."""
-        marks = [w[-1] if w[-1:] in self.marks and w[:-1].isalpha() and max(w) < "\u0250" else "" for w in words]
+        marks = [w[-1] if w.endswith((".", ",")) and w[:-1].isalpha() and (w.isascii() or max(w) < "\u0250") else "" for w in words]
         bases = [w[:-1] if m else w for w, m in zip(words, marks)]
         new = [b for b in dict.fromkeys(bases) if b not in self.known]
         found, counts = [], []
@@ -122,7 +123,7 @@ class Encoder:
             part = new[start:start + 4096]
             ids = self.whole([" " + " ".join(part)])[0]
             ends = np.cumsum(self.sizes[ids])
-            stops = np.cumsum([(len(w) if w.isascii() else len(w.encode())) + 1 for w in part])
+            stops = np.cumsum(np.fromiter(map(len, part) if "".join(part).isascii() else (len(w.encode()) for w in part), np.int64, len(part)) + 1)
             cut = np.searchsorted(ends, stops) + 1
             if cut[-1] != len(ids) or not np.array_equal(ends[cut - 1], stops):
                 pieces = self.whole([" " + w for w in part])
@@ -141,7 +142,7 @@ class Encoder:
         """The place of each word, learned where it is not known; ``times`` is how often each occurs."""
         if len(self.known) > self.keep:
             self._forget()
-        found = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+        found = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(found < 0)
         if len(missing):
             new = [words[i] for i in missing]
