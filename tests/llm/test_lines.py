@@ -175,3 +175,17 @@ def test_windows_of_long_runs(spark):
                     want.add((s, p))
                 seen.add(text[p:p + length])
         assert got == want
+
+
+def test_host_repeats_decide_inside_articles(spark):
+    """A block that a host repeats inside and outside its articles goes; what articles quote from each other stays."""
+    from quarterstone.llm import pages
+
+    notice, quote = "Sign up today and get our weekly letter free of charge", "this quoted sentence of nine words stands in articles only"
+
+    def page(i):
+        foot, advert = f"<div>{notice}</div>" * (i < 6), f"<p>{notice}</p>" * (i % 2)
+        return i, f"http://h/{i}", f"<body>{foot}<p>loose number {i}</p><article><p>Story {i}.</p>{advert}<p>{quote}</p></article></body>"
+
+    rows = spark.createDataFrame([page(i) for i in range(12)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in pages.main_text(rows).collect()} == {i: f"Story {i}. {quote}" for i in range(12)}
