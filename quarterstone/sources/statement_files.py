@@ -8,12 +8,15 @@ documents as well.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterstone.functions import MONEY_TYPE, exploded
 from quarterstone.operators.keyed import keep_first
 from quarterstone.plans.items import STATEMENTS
+from quarterstone.sources import folders
 from quarterstone.sources.cleaning import clean_report, payload_verdict
 
 # File names: statement prefix, then the six characters of the code (more, if all are
@@ -28,14 +31,32 @@ def read_statement_folder(spark: SparkSession, path: str) -> DataFrame:
     """``statement, code, loaded, content`` of every report file; other files are ignored.
 
     A file may be a plain one (``is_600660.csv``) or a written partition folder of that
-    name. Small files are packed into splits by the reader. They are read as bytes, since the text reader sets up its
-    codecs anew for each file; it reads those that are compressed.
+    name. Tasks list the folder and read its files, so that the driver holds no file's status. Spark's readers take a file
+    system that Arrow does not open, and compressed files.
     """
+    root = folders.arrow_root(spark, path)
+    if root is None:
+        return _spark_read(spark, [path])
+    found = folders.files_below(spark, root).withColumn("packed", F.rlike("file", F.lit(COMPRESSED)))
+    reports = report_files(found)
+    numbers = reports.agg(F.count_if(~F.col("packed")).alias("plain"), F.count_if("packed").alias("packed")).first()
+    plain = folders.contents(reports.where(~F.col("packed")).drop("packed"), root, folders.tasks_for(spark, numbers["plain"]))
+    plain = plain.select(F.col("content").cast("string").alias("content"), F.timestamp_millis("modified").alias("loaded"), "statement", "code")
+    if not numbers["packed"]:
+        return plain
+    names = [re.sub(r"([{}\[\]*?\\])", r"\\\1", r["path"]) for r in reports.where("packed").select("path").collect()]
+    start = re.match(r"[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", root).group()
+    return plain.unionByName(_spark_read(spark, [start + name for name in names]))
+
+
+def _spark_read(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """As Spark's readers list and read them: the plain ones as bytes, since the text reader sets up its codecs anew for
+    each file; it reads those that are compressed."""
     file, loaded = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("loaded")
     folder = spark.read.option("recursiveFileLookup", True)
     packed = F.rlike("file", F.lit(COMPRESSED))
-    plain = folder.format("binaryFile").load(path).select(file, F.col("content").cast("string").alias("content"), loaded)
-    coded = folder.text(path, wholetext=True).select(file, F.col("value").alias("content"), loaded)
+    plain = folder.format("binaryFile").load(paths).select(file, F.col("content").cast("string").alias("content"), loaded)
+    coded = folder.text(paths, wholetext=True).select(file, F.col("value").alias("content"), loaded)
     return report_files(plain.where(~packed)).unionByName(report_files(coded.where(packed)))
 
 

@@ -149,9 +149,10 @@ class Store:
         key, stored = f"`{found.key}`", self._opened(name, found)
         kind = dict(stored.dtypes)[found.key]
         rows = rows.withColumn(found.key, F.col(key).cast(kind)).withColumn(PART, self.part_of(found.key, found.buckets))
-        # the delivery is used three times: for its partitions, for its keys and as rows
+        # the delivery is used three times: for its partitions, for its keys and as rows. Dealt out by key first, a
+        # partition is one file; otherwise each task would write one for every partition, all listed by the driver
         staged = f"{self.root}/{name}/staged/{_stamp()}"
-        rows.write.partitionBy(PART).parquet(staged)
+        rows.repartition(found.buckets, F.col(key)).write.partitionBy(PART).parquet(staged)
         parts = self._part_names(staged)
         if not parts:
             return

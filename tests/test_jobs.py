@@ -235,3 +235,40 @@ def test_compressed_reports_are_read(spark, tmp_path):
     (tmp_path / "notes_000003.csv").write_bytes(text.encode())
     rows = statement_files.read_statement_folder(spark, str(tmp_path))
     assert sorted((r.statement, r.code, r.content) for r in rows.collect()) == [("is", 1, text), ("is", 2, text)]
+
+
+def test_report_folder_is_listed_and_read_by_tasks(spark, tmp_path):
+    """The driver holds no file's status; rows, times and ignored names are those of Spark's readers."""
+    import gzip
+    import os
+
+    root = tmp_path / "given files"
+    texts = {"is_000001.csv": "a", "x/y/z/w/bs_000002.csv": "b\nb", "x/cf_000003.csv/part-0-a": "p", "x/is_000009.csv": "", "x/_is/is_000004.csv": "hidden", ".is_000005.csv": "hidden",
+             "x/k=1/is_n 0006.csv": "é", "_k=1/is_000007.csv": "kept", "notes.csv": "other", "x/is_000008.csv._COPYING_": "hidden", "x/is_a[b]cd.csv": "c"}
+    for i, (name, text) in enumerate(texts.items()):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(text.encode())
+        os.utime(root / name, ns=(0, 1_700_000_000_123_456_789 + i * 10**9))
+    rows = statement_files.read_statement_folder(spark, str(root))
+    assert not rows.inputFiles()
+    (root / "x/is_{p}q00.csv.gz").write_bytes(gzip.compress(b"packed"))
+    rows = statement_files.read_statement_folder(spark, str(root))
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(map(tuple, statement_files._spark_read(spark, [str(root)]).collect()), key=str)
+    assert rows.count() == 7 and {r.content for r in rows.collect()} == {"a", "b\nb", "p", "é", "kept", "c", "packed"}
+    one = str(root / "is_000001.csv")
+    assert [tuple(r)[::2] for r in statement_files.read_statement_folder(spark, one).collect()] == [("a", "is")]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        statement_files.read_statement_folder(spark, str(tmp_path / "none")).collect()
+
+
+def test_a_delivery_stages_one_file_a_partition(spark, store):
+    rows = spark.range(200).select(F.col("id").alias("code"), F.lit("v").alias("v"))
+    store.upsert("t", rows)
+    kept, store.folders.remove = store.folders.remove, lambda folder: None
+    try:
+        store.upsert("t", rows.repartition(16))
+    finally:
+        store.folders.remove = kept
+    staged = [f for part in store._part_names(f"{store.root}/t/staged/{store.folders.names(f'{store.root}/t/staged')[0]}").values()
+              for f in store.folders.names(part) if f.endswith(".parquet")]
+    assert len(staged) <= store.manifest("t").buckets and store.read("t").count() == 200
