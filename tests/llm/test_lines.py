@@ -189,3 +189,42 @@ def test_host_repeats_decide_inside_articles(spark):
 
     rows = spark.createDataFrame([page(i) for i in range(12)], "page_id long, url string, html string")
     assert {r.page_id: r.text for r in pages.main_text(rows).collect()} == {i: f"Story {i}. {quote}" for i in range(12)}
+
+
+def test_articles_are_searched_too(spark):
+    """What a host repeats is found inside its articles: on pages without one, and in paragraphs that are else their own."""
+    notice, foot = "sign up today and get our weekly letter free of charge", "all rights of this page and its pictures are kept by us"
+    rows = [(i, f"http://h/{i}", f"<nav>to page {i}</nav><article><p>Story {i}.</p><p>{notice}</p></article>") for i in range(4)]
+    rows += [(4, "http://h/4", f"<p>{notice}</p><p>no article here</p>")]
+    rows += [(i, f"http://h/{i}", f"<article><p>Own text {i} and {foot}</p></article><div>{foot}</div>") for i in range(5, 9)]
+    # copies of one article count once, also on pages that differ elsewhere
+    tale = " ".join(f"word{k}" for k in range(20))
+    rows += [(i, f"http://t/{i}", f"<nav>place {i}</nav><article><p>{tale}</p></article>") for i in range(9, 14)] + [(14, "http://t/14", f"<p>{tale}</p>")]
+    # a box inside an article is outside of its text
+    rows += [(i, f"http://b/{i}", f"<article><p>News {i}</p><aside>{notice}</aside></article>") for i in range(15, 18)]
+    rows += [(i, f"http://b/{i}", f"<article><p>More {i}, {notice}</p></article>") for i in range(18, 21)]
+    want = {i: f"Story {i}. {notice}" for i in range(4)} | {4: "no article here"} | {i: f"Own text {i} and" for i in range(5, 9)}
+    want |= {i: tale for i in range(9, 15)} | {i: f"News {i}" for i in range(15, 18)} | {i: f"More {i}," for i in range(18, 21)}
+    assert {r.page_id: r.text for r in pages.main_text(page_rows(spark, rows)).collect()} == want
+
+
+def test_windows_on_enough_pages_pass(spark):
+    """Against all windows of random streams, counted in several groups; few others pass."""
+    import random
+
+    from quarterstone.llm import windows
+
+    draw = random.Random(3)
+    streams = [("a" if s % 3 else "b", [draw.choice("abc") for _ in range(draw.randrange(30))]) for s in range(60)]
+    pages_of = Counter((host, w) for host, t in streams for w in {tuple(t[p:p + 5]) for p in range(len(t) - 4)})
+    enough = {"a": 4.5, "b": 3.0}
+    want = {(s, q) for s, (host, t) in enumerate(streams) for p in range(len(t) - 4) if pages_of[host, tuple(t[p:p + 5])] >= enough[host] for q in range(p, p + 5)}
+    frame = spark.createDataFrame([(s, host, t[:7], t[7:]) for s, (host, t) in enumerate(streams)], "seq long, host string, loose array<string>, inside array<string>")
+    sizes = spark.createDataFrame(list(enough.items()), "host string, enough double")
+    before, windows.CHUNK_TOKENS = windows.CHUNK_TOKENS, 200
+    try:
+        got = windows.frequent_tokens(frame, sizes, sum(len(t) for _, t in streams), 5, 3).collect()
+    finally:
+        windows.CHUNK_TOKENS = before
+    assert want and want <= {(r.seq, r.pos) for r in got} and len(got) == len({(r.seq, r.pos) for r in got}) < sum(len(t) for _, t in streams)
+    assert all(streams[r.seq][1][r.pos] == r.token and streams[r.seq][0] == r.host for r in got)
