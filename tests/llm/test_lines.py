@@ -219,11 +219,11 @@ def test_windows_on_enough_pages_pass(spark):
     pages_of = Counter((host, w) for host, t in streams for w in {tuple(t[p:p + 5]) for p in range(len(t) - 4)})
     enough = {"a": 4.5, "b": 3.0}
     want = {(s, q) for s, (host, t) in enumerate(streams) for p in range(len(t) - 4) if pages_of[host, tuple(t[p:p + 5])] >= enough[host] for q in range(p, p + 5)}
-    frame = spark.createDataFrame([(s, host, t[:7], t[7:]) for s, (host, t) in enumerate(streams)], "seq long, host string, loose array<string>, inside array<string>")
+    frame = spark.createDataFrame([(s, host, [" ".join(t[:7]), " ".join(t[7:])] if len(t) > 7 else t) for s, (host, t) in enumerate(streams)], "seq long, host string, blocks array<string>")
     sizes = spark.createDataFrame(list(enough.items()), "host string, enough double")
     before, windows.CHUNK_TOKENS = windows.CHUNK_TOKENS, 200
     try:
-        got = windows.frequent_tokens(frame, sizes, sum(len(t) for _, t in streams), 5, 3).collect()
+        got = windows.frequent_tokens(frame, frame, sizes, sum(len(t) for _, t in streams), 5, 3).collect()
     finally:
         windows.CHUNK_TOKENS = before
     assert want and want <= {(r.seq, r.pos) for r in got} and len(got) == len({(r.seq, r.pos) for r in got}) < sum(len(t) for _, t in streams)
